@@ -60,20 +60,14 @@ def scratch_folder(spark, name: str) -> str:
     return tempfile.mkdtemp(prefix=f"{name}-")
 
 
-@query("parquet_roundtrip", f"SELECT * FROM ({P.RAW_PANEL_SQL.replace('avg(o_totalprice)', 'round(avg(o_totalprice), 6)').replace('avg(c_acctbal)', 'round(avg(c_acctbal), 6)')})")
+@query("parquet_roundtrip", P.RAW_PANEL_SQL)
 def parquet_roundtrip(spark, folder):
     """Write by year, rewrite one year, read the years back."""
     path = f"{scratch_folder(spark, 'roundtrip')}/panel"
     panel = P.raw_panel(spark, folder)
     writers.write_by_year(panel, path)
     writers.write_by_year(panel.filter("year = 1997"), path)
-    back = readers.read_years(spark, path, list(range(1990, 2010)))
-    return back.select(
-        *[
-            r(c) if c.startswith("median") else F.col(c)
-            for c in panel.columns
-        ]
-    )
+    return readers.read_years(spark, path, list(range(1990, 2010))).select(panel.columns)
 
 
 @query(
@@ -305,7 +299,7 @@ def tagged_count(spark, folder):
 
 RATIOS_SQL = f"""
 SELECT tract_geoid, year,
-       round(median_rent * 12 / nullif(median_household_income, 0), 6) AS rent_income_ratio,
+       round(cast(median_rent * 12 AS double) / nullif(median_household_income, 0), 6) AS rent_income_ratio,
        round(cast(owner_occupied AS double) / nullif(occupied_housing_units, 0), 6) AS homeownership_rate,
        round(cast(bachelor_degree + graduate_degree AS double) / nullif(total_education, 0), 6) AS college_educated_rate,
        round(cast(vehicles_available - no_vehicles AS double) / nullif(vehicles_available, 0), 6) AS vehicle_access_rate

@@ -72,11 +72,16 @@ def raw_panel(spark: SparkSession, folder: str) -> DataFrame:
         times(status == "F").alias("foreign_born_total"),
         times(status == "O").alias("owner_occupied"),
         times(status == "P").alias("partial"),
-        F.avg("o_totalprice").alias("median_rent"),
-        F.avg("c_acctbal").alias("median_household_income"),
+        whole_mean(F.round(F.col("o_totalprice") * 100)).alias("median_rent"),
+        whole_mean(F.round(F.col("c_acctbal") * 100) + 100000).alias("median_household_income"),
     )
 
 
+def whole_mean(cents) -> F.Column:
+    """Mean of whole cents, cut to whole cents: exact, so every ratio of it is too."""
+    return F.floor(F.sum(cents.cast("long")) / F.count(F.lit(1))).cast("long")
+
+
 RAW_PANEL_SQL = f"""
 SELECT concat(lpad(cast(c_nationkey AS varchar), 5, '0'), c_mktsegment) AS tract_geoid,
        cast(year(o_orderdate) AS integer) AS year,
@@ -85,8 +90,8 @@ SELECT concat(lpad(cast(c_nationkey AS varchar), 5, '0'), c_mktsegment) AS tract
        count(*) FILTER (o_orderstatus = 'F') AS foreign_born_total,
        count(*) FILTER (o_orderstatus = 'O') AS owner_occupied,
        count(*) FILTER (o_orderstatus = 'P') AS partial,
-       avg(o_totalprice) AS median_rent,
-       avg(c_acctbal) AS median_household_income
+       cast(floor(cast(sum(cast(round(o_totalprice * 100) AS bigint)) AS double) / count(*)) AS bigint) AS median_rent,
+       cast(floor(cast(sum(cast(round(c_acctbal * 100) AS bigint) + 100000) AS double) / count(*)) AS bigint) AS median_household_income
 FROM orders JOIN customer ON o_custkey = c_custkey
 GROUP BY 1, 2
 """

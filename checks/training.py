@@ -1,0 +1,104 @@
+"""Models on the panel, with few small trees. No SQL equivalent; tests check their properties."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from checks import proxies as P
+from checks.registry import query
+from migrascope.operators import folds, models, panel
+from migrascope.plans import layers
+
+HORIZON = 2
+REGRESSION = models.small(models.REGRESSOR, trees=3, depth=3)
+CLASSIFICATION = models.small(models.CLASSIFIER, trees=3, depth=3)
+
+
+def features(spark, folder):
+    """Model features of the whole panel, stored once so that training does not redo the joins."""
+    models.ensure_checkpoint_dir(spark)
+    built = layers.build_features(P.panel(spark, folder), origins=P.ORIGINS)
+    return built.checkpoint()
+
+
+def growth_frame(spark, folder, origin="india"):
+    labelled = panel.growth_labels(features(spark, folder), HORIZON, P.ORIGINS)
+    inputs = models.feature_columns(labelled.columns)
+    return models.regression_frame(labelled, origin, HORIZON, inputs), inputs
+
+
+def hotspot_labelled(spark, folder):
+    return panel.hotspot_labels(
+        features(spark, folder), HORIZON, P.ORIGINS, min_population=P.PANEL_MIN_POPULATION
+    )
+
+
+@query("train_growth_regressor")
+def train_growth_regressor(spark, folder):
+    """Fit on all rows; the result is the prediction per tract and year."""
+    frame, inputs = growth_frame(spark, folder)
+    model = models.regressor(inputs, REGRESSION).fit(frame)
+    return model.transform(frame).select("tract_geoid", "year", "target", "prediction")
+
+
+@query("train_growth_huber")
+def train_growth_huber(spark, folder):
+    """The robust linear alternative."""
+    frame, inputs = growth_frame(spark, folder)
+    model = models.regressor(inputs, models.replace(REGRESSION, loss="huber")).fit(frame)
+    return model.transform(frame).select("tract_geoid", "year", "target", "prediction")
+
+
+@query("train_hotspot_classifier")
+def train_hotspot_classifier(spark, folder):
+    labelled = hotspot_labelled(spark, folder)
+    inputs = models.feature_columns(labelled.columns, business_last=True)
+    frame = models.with_class_weight(models.classification_frame(labelled, "foreign_born", HORIZON, inputs))
+    model = models.classifier(inputs, CLASSIFICATION).fit(frame)
+    return model.transform(frame).select("tract_geoid", "year", "target", models.probability().alias("hotspot_prob"))
+
+
+@query("cross_validate")
+def cross_validate(spark, folder):
+    """Scores of three tract-disjoint folds."""
+    frame, inputs = growth_frame(spark, folder)
+    folded = folds.group_folds(frame, "tract_geoid", 3).persist()
+    return models.cross_validate(
+        folded, lambda held: models.regressor(inputs, REGRESSION, held), models.evaluate_regression, 3
+    )
+
+
+@query("calibrate_isotonic")
+def calibrate_isotonic(spark, folder):
+    labelled = hotspot_labelled(spark, folder)
+    inputs = models.feature_columns(labelled.columns, business_last=True)
+    frame = models.with_class_weight(models.classification_frame(labelled, "foreign_born", HORIZON, inputs))
+    calibrated = models.calibrate(frame.persist(), inputs, CLASSIFICATION)
+    return calibrated.transform(frame).select("tract_geoid", "year", "target", "hotspot_prob")
+
+
+@query("feature_importance")
+def feature_importance(spark, folder):
+    frame, inputs = growth_frame(spark, folder)
+    model = models.regressor(inputs, REGRESSION).fit(frame)
+    return models.importance_table(spark, model)
+
+
+@query("permutation_importance")
+def permutation_importance(spark, folder):
+    frame, inputs = growth_frame(spark, folder)
+    model = models.regressor(inputs, REGRESSION).fit(frame)
+    keyed = frame.withColumn("row_key", F.concat_ws("|", "tract_geoid", "year"))
+    return models.permutation_importance(
+        keyed, model, lambda: F.abs(F.col("target") - F.col("prediction")), "row_key"
+    )
+
+
+@query("train_all_origins")
+def train_all_origins(spark, folder):
+    """Two groups and one that does not exist: its failure is reported, the others are trained."""
+    labelled = panel.growth_labels(features(spark, folder), HORIZON, P.ORIGINS)
+    _, status = models.train_all(
+        labelled, models.train_regressor, ["india", "mexico", "atlantis"], HORIZON, REGRESSION, folds=2
+    )
+    return status
