@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks import proxies as P
 from checks.registry import query, r
 from migrascope import dims
+from migrascope.functions.text import text_array
 from migrascope.operators import matching, proximity, serving, spatial
 from migrascope.operators.panel import growth_rates
 
@@ -195,7 +196,8 @@ QUALIFY rank <= {k}
 
 def matched(spark, folder, origins, k, **limits):
     df = matching.match_hotspots(
-        P.hotspots(spark, folder, origins), P.businesses(spark, folder), max_businesses=k, **limits
+        P.hotspots(spark, folder, origins), P.businesses(spark, folder), origins=origins,
+        max_businesses=k, **limits,
     )
     return df.select(*[r(c) if c == "cuisine_score" else c for c in df.columns])
 
@@ -275,7 +277,7 @@ FROM supplier
 )
 def recommend_batch(spark, folder):
     key = F.col("s_suppkey")
-    origins = F.array(*[F.lit(o) for o in dims.ORIGINS])
+    origins = text_array(dims.ORIGINS)
     requests = P.table(spark, folder, "supplier").select(
         key.cast("string").alias("request_id"),
         (F.lit(37.0) + (key * 7919 % 2000) / 1000.0).alias("latitude"),

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from migrascope import dims
+from migrascope.functions.text import text_array
 from migrascope.operators import clean
 
 # The five order priorities stand for five origin groups.
@@ -45,7 +46,7 @@ def sql_list(values: list[str]) -> str:
 
 
 def _pick(values: list[str], index) -> F.Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), (index % len(values)).cast("int"))
+    return F.get(text_array(values), (index % len(values)).cast("int"))
 
 
 # --- tract x year panel ---

@@ -62,7 +62,7 @@ def train_hotspot_classifier(spark, folder):
 def cross_validate(spark, folder):
     """Scores of three tract-disjoint folds."""
     frame, inputs = growth_frame(spark, folder)
-    folded = folds.group_folds(frame, "tract_geoid", 3).persist()
+    folded = folds.group_folds(frame, "tract_geoid", 3)
     return models.cross_validate(
         folded, lambda held: models.regressor(inputs, REGRESSION, held), models.evaluate_regression, 3
     )
@@ -73,7 +73,7 @@ def calibrate_isotonic(spark, folder):
     labelled = hotspot_labelled(spark, folder)
     inputs = models.feature_columns(labelled.columns, business_last=True)
     frame = models.with_class_weight(models.classification_frame(labelled, "foreign_born", HORIZON, inputs))
-    calibrated = models.calibrate(frame.persist(), inputs, CLASSIFICATION)
+    calibrated = models.calibrate(frame, inputs, CLASSIFICATION)
     return calibrated.transform(frame).select("tract_geoid", "year", "target", "hotspot_prob")
 
 

@@ -7,6 +7,8 @@ other therefore lie in the same or in adjacent bands and cells.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,8 +31,16 @@ def band_height(radius: Column) -> Column:
     return F.degrees(radius / EARTH_RADIUS_KM) * BAND_SLACK
 
 
+def known(number: Column) -> Column:
+    """Grid numbers are never NULL (points without coordinates are filtered before).
+
+    Saying so keeps Spark from pushing ``IS NOT NULL`` tests of these long expressions into scans.
+    """
+    return F.coalesce(number, F.lit(-1).cast("long"))
+
+
 def band_of(lat: Column, radius: Column) -> Column:
-    return F.floor((lat + 90.0) / band_height(radius))
+    return known(F.floor((lat + 90.0) / band_height(radius)))
 
 
 def cells_in_band(band: Column, radius: Column) -> Column:
@@ -40,7 +50,7 @@ def cells_in_band(band: Column, radius: Column) -> Column:
     edge = F.greatest(F.abs((band - 1) * height - 90.0), F.abs((band + 2) * height - 90.0))
     reach = F.degrees(F.asin(F.least(F.lit(1.0), F.try_divide(F.sin(angle), F.cos(F.radians(edge))))))
     cells = F.greatest(F.lit(1), F.floor(F.try_divide(F.lit(360.0), reach)))
-    return F.when(edge + F.degrees(angle) >= 90.0, F.lit(1)).otherwise(cells).cast("long")
+    return known(F.when(edge + F.degrees(angle) >= 90.0, F.lit(1)).otherwise(cells).cast("long"))
 
 
 def turn_fraction(lon: Column) -> Column:
@@ -49,22 +59,7 @@ def turn_fraction(lon: Column) -> Column:
 
 
 def cell_of(lon: Column, cells: Column) -> Column:
-    return F.pmod(F.floor(turn_fraction(lon) * cells), cells)
-
-
-def nearby_cells(lat: Column, lon: Column, radius: Column) -> Column:
-    """Array of (band, cell) structs that can hold a point within the radius."""
-    here = band_of(lat, radius)
-
-    def band_cells(band: Column) -> Column:
-        n = cells_in_band(band, radius)
-        own = cell_of(lon, n)
-        return F.transform(
-            F.array_distinct(F.array(F.pmod(own - 1, n), own, F.pmod(own + 1, n))),
-            lambda c: F.struct(band.alias("band"), c.alias("cell")),
-        )
-
-    return F.flatten(F.array(*[band_cells(here + step) for step in (-1, 0, 1)]))
+    return known(F.pmod(F.floor(turn_fraction(lon) * cells), cells))
 
 
 def bounding_box(lat: float, lon: float, radius_km: float, lat_col: Column, lon_col: Column) -> Column:
@@ -73,8 +68,6 @@ def bounding_box(lat: float, lon: float, radius_km: float, lat_col: Column, lon_
     No longitude limit where the circle reaches a pole; two ranges where it crosses the 180th
     meridian.
     """
-    import math
-
     reach = math.degrees(radius_km / EARTH_RADIUS_KM) * BAND_SLACK
     box = lat_col.between(lat - reach, lat + reach)
     if abs(lat) + reach >= 90:

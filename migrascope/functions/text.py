@@ -13,6 +13,16 @@ from migrascope import dims
 EXACT_CODE_LENGTH = 5  # longer codes are compared whole, shorter ones as a prefix
 
 
+def sql_text(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def text_array(items: list[str]) -> Column:
+    """A constant array, written as one SQL expression."""
+    return F.expr(f"array({', '.join(sql_text(i) for i in items)})")
+
+
 def zero_pad(text: Column, width: int) -> Column:
     """Left-pad with zeros; text already wider stays as it is (lpad alone would cut it)."""
     return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
@@ -79,23 +89,21 @@ def keywords_found(name: Column, keywords: list[str], word_boundary: bool = Fals
     contained = {
         word: [p for p in words if word != p and word.startswith(p) and whole(word, p)] for word in words
     }
-    pairs = [
-        x
+    entries = [
+        f"{sql_text(word)}, array({', '.join(sql_text(p) for p in [word, *parts])})"
         for word, parts in contained.items()
         if parts
-        for x in (F.lit(word), F.array(*[F.lit(p) for p in [word, *parts]]))
     ]
-    if not pairs:
+    if not entries:
         return F.array_distinct(found)
-    expanded = F.transform(
-        found, lambda w: F.coalesce(F.element_at(F.create_map(*pairs), w), F.array(w))
-    )
+    parts_of = F.expr(f"map({', '.join(entries)})")
+    expanded = F.transform(found, lambda w: F.coalesce(F.element_at(parts_of, w), F.array(w)))
     return F.array_distinct(F.flatten(expanded))
 
 
 def keyword_score(found: Column, keywords: list[str]) -> Column:
     """Share of the keywords among those found; NULL (no name) counts as none."""
-    hits = F.array_intersect(found, F.array(*[F.lit(k.lower()) for k in keywords]))
+    hits = F.array_intersect(found, text_array([k.lower() for k in keywords]))
     return F.when(F.size(found) > 0, F.size(hits)).otherwise(0) / F.lit(float(len(keywords)))
 
 
@@ -103,7 +111,7 @@ def first_best(names: list[str], scores: list[Column]) -> Column:
     """Name of the highest score; the first listed wins a tie."""
     values = F.array(*scores)
     best = F.array_position(values, F.array_max(values)).cast("int")
-    return F.element_at(F.array(*[F.lit(n) for n in names]), best)
+    return F.element_at(text_array(names), best)
 
 
 def display_name(name: Column) -> Column:

@@ -71,35 +71,26 @@ def score_businesses(businesses: DataFrame, origin: str, tastes: Tastes | None =
 
 
 def tasted_places(businesses: DataFrame, tastes: Tastes, wanted: list[int] | None = None) -> DataFrame:
-    """One narrow row per business and taste, for ``top_places``."""
+    """Businesses with one offer (score and details) per taste, for ``top_places``."""
     columns = businesses.columns
-    scored = []
+    extra = [c for c in (*PAYLOAD, *CONTACT) if c in columns]
+    offers = []
     for (preferred, cuisine), n in tastes.numbered().items():
         if wanted is not None and n not in wanted:
             continue
         own = F.col(f"{cuisine}_score") if cuisine and f"{cuisine}_score" in columns else F.lit(None)
-        scored.append(
+        offers.append(
             F.struct(
                 F.lit(n).alias("taste"),
                 relevance(preferred, cuisine, columns).alias("score"),
-                own.cast("double").alias("cuisine_score"),
+                F.struct(*extra, own.cast("double").alias("cuisine_score")).alias("payload"),
             )
         )
-    extra = [c for c in (*PAYLOAD, *CONTACT) if c in columns]
-    exploded = located(businesses).select(
+    return businesses.select(
         F.col("business_id").alias("place_id"),
         F.col("latitude").alias("place_latitude"),
         F.col("longitude").alias("place_longitude"),
-        *extra,
-        F.inline(F.array(*scored)),
-    )
-    return exploded.select(
-        "taste",
-        "place_id",
-        "score",
-        "place_latitude",
-        "place_longitude",
-        F.struct(*extra, "cuisine_score").alias("payload"),
+        F.array(*offers).alias("offers"),
     )
 
 
@@ -172,13 +163,14 @@ def hotspot_coverage(
         F.lit(float(max_distance)).alias("radius_km"),
         F.lit(1).alias("k"),
     )
+    only = F.struct(
+        F.lit(0).alias("taste"), F.lit(0.0).alias("score"), F.lit(None).cast("string").alias("payload")
+    )
     places = businesses.select(
-        F.lit(0).alias("taste"),
         F.col("business_id").alias("place_id"),
-        F.lit(0.0).alias("score"),
         F.col("latitude").alias("place_latitude"),
         F.col("longitude").alias("place_longitude"),
-        F.lit(None).cast("string").alias("payload"),
+        F.array(only).alias("offers"),
     )
     nearest = top_places(spots, places, [float(max_distance)], 1).select(*LOOKUP, "place_id")
     joined = spots.join(nearest, LOOKUP, "left")

@@ -53,9 +53,7 @@ def pairs_within(
     on the right. Each pair appears once, because a right point has exactly one cell.
     """
     radius = F.lit(float(radius_km))
-    near = located(left).select(
-        "*", F.inline(geo.nearby_cells(F.col("latitude"), F.col("longitude"), radius))
-    )
+    near = _nearby_cells(located(left).withColumn("grid_km", radius)).drop("grid_km")
     band = geo.band_of(F.col("place_latitude"), radius)
     keyed = located(right, "place_latitude", "place_longitude").select(
         "*",
@@ -78,28 +76,27 @@ def top_places(
     """The ``k`` best places within ``radius_km`` of each spot: score desc, distance asc, id asc.
 
     ``spots``: taste, latitude, longitude, radius_km, k (at most ``max_k``) and grid_km, one of
-    ``grid_sizes`` and at least radius_km. ``places``: taste, place_id, score, place_latitude,
-    place_longitude, payload. A place is compared with spots of its own taste only.
+    ``grid_sizes`` and at least radius_km. ``places``: place_id, place_latitude, place_longitude
+    and ``offers``, an array of (taste, score, payload). A place is compared with the spots of the
+    tastes it has an offer for.
 
     Returns one row per distinct spot (the ``LOOKUP`` columns) and chosen place, with
     ``distance_km`` and ``rank``; join it back to the spots on ``LOOKUP``.
     """
     lookups = located(spots).select(*LOOKUP).distinct()
-    sites = _sites(places, grid_sizes, max_k)
-    near = lookups.select(
-        "*", F.inline(geo.nearby_cells(F.col("latitude"), F.col("longitude"), F.col("grid_km")))
-    )
-    cell = ["taste", "grid_km", "band", "cell"]
-    load = near.groupBy(*cell).agg(F.count(F.lit(1)).alias("n")).join(
-        sites.groupBy(*cell).agg(F.count(F.lit(1)).alias("m")), cell
-    )
-    if (load.agg(F.max(F.col("n").cast("double") * F.col("m"))).first()[0] or 0) <= heavy:
-        pairs = near.join(sites, cell)
+    known = located(places, "place_latitude", "place_longitude")
+    near = _nearby_cells(lookups)
+    sites = _in_grid(_best_per_coordinate(known, max_k), grid_sizes)
+    if _heaviest_cell(near, known, grid_sizes, max_k) <= heavy:
+        pairs = near.join(sites, ["taste", "grid_km", "band", "cell"])
     else:
         pairs = _pruned_pairs(lookups, near, sites, heavy)
     ranked = Window.partitionBy(*LOOKUP).orderBy(F.desc("score"), "distance_km", "place_id")
+    # A degree of latitude alone may already be too far; that is cheaper to see than the distance.
+    apart = F.radians(F.abs(F.col("place_latitude") - F.col("latitude"))) * EARTH_RADIUS_KM
     return (
-        pairs.withColumn("exact_km", _distance())
+        pairs.filter(apart <= F.col("radius_km") + geo.BOUND_SLACK_KM)
+        .withColumn("exact_km", _distance())
         .filter(F.col("exact_km") <= F.col("radius_km"))
         .withColumn("distance_km", F.round("exact_km", DIGITS))
         .withColumn("rank", F.row_number().over(ranked))
@@ -110,29 +107,57 @@ def top_places(
     )
 
 
+def _nearby_cells(points: DataFrame) -> DataFrame:
+    """One row per point and grid cell (band, cell) that can hold something within ``grid_km``."""
+    size = F.col("grid_km")
+    here = geo.band_of(F.col("latitude"), size)
+    banded = points.select("*", F.explode(F.array(here - 1, here, here + 1)).alias("band"))
+    counted = banded.withColumn("__n", geo.cells_in_band(F.col("band"), size))
+    placed = counted.withColumn("__own", geo.cell_of(F.col("longitude"), F.col("__n")))
+    n, own = F.col("__n"), F.col("__own")
+    cells = F.array_distinct(F.array(F.pmod(own - 1, n), own, F.pmod(own + 1, n)))
+    return placed.select(*points.columns, "band", F.explode(cells).alias("cell"))
+
+
 def _distance() -> Column:
     return geo.haversine_km(
         F.col("latitude"), F.col("longitude"), F.col("place_latitude"), F.col("place_longitude")
     )
 
 
-def _sites(places: DataFrame, grid_sizes: list[float], max_k: int) -> DataFrame:
-    """The best ``max_k`` places of each coordinate and taste, keyed by grid cell.
+def _heaviest_cell(near: DataFrame, places: DataFrame, grid_sizes: list[float], max_k: int) -> float:
+    """Most pairs of lookups and places in one cell; reads nothing of the places but coordinates."""
+    crowd = places.groupBy("place_latitude", "place_longitude").agg(
+        F.least(F.count(F.lit(1)), F.lit(max_k)).alias("m")
+    )
+    cell = ["grid_km", "band", "cell"]
+    places_in = _in_grid(crowd, grid_sizes).groupBy(*cell).agg(F.sum("m").alias("m"))
+    lookups_in = near.groupBy("taste", *cell).agg(F.count(F.lit(1)).alias("n"))
+    pairs = lookups_in.join(places_in, cell).agg(F.max(F.col("n").cast("double") * F.col("m")))
+    return pairs.first()[0] or 0.0
+
+
+def _best_per_coordinate(places: DataFrame, max_k: int) -> DataFrame:
+    """The best ``max_k`` places of each coordinate and taste.
 
     Spark prunes each task to ``max_k`` rows per coordinate before the shuffle.
     """
     best = Window.partitionBy("taste", "place_latitude", "place_longitude").orderBy(
         F.desc("score"), "place_id"
     )
-    kept = (
-        located(places, "place_latitude", "place_longitude")
-        .withColumn("score", F.round("score", DIGITS))
+    offers = places.select("place_id", "place_latitude", "place_longitude", F.inline("offers"))
+    return (
+        offers.withColumn("score", F.round("score", DIGITS))
         .withColumn("__n", F.row_number().over(best))
         .filter(F.col("__n") <= max_k)
         .drop("__n")
     )
+
+
+def _in_grid(places: DataFrame, grid_sizes: list[float]) -> DataFrame:
+    """Add the grid cell, once per grid size in use."""
     sizes = F.array(*[F.lit(float(s)) for s in grid_sizes])
-    sized = kept.select("*", F.explode(sizes).alias("grid_km"))
+    sized = places.select("*", F.explode(sizes).alias("grid_km"))
     band = geo.band_of(F.col("place_latitude"), F.col("grid_km"))
     cells = geo.cells_in_band(band, F.col("grid_km"))
     return sized.select(
