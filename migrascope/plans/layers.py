@@ -68,12 +68,13 @@ def run_etl(
 
 
 def run_features(
-    spark: SparkSession, out: str, years: list[int], geometry: DataFrame | None = None, has_county: bool = True
+    spark: SparkSession, out: str, years: list[int], geometry: DataFrame | None = None,
+    has_county: bool = True, origins: list[str] | None = None,
 ) -> DataFrame:
     acs = readers.read_years(spark, f"{out}/acs", years)
     county = readers.read_years(spark, f"{out}/cbp", years, required=False) if has_county else None
     edges = spatial.contiguity_edges(geometry) if geometry is not None else None
-    features = build_features(acs, county, edges, years=sorted(years))
+    features = build_features(acs, county, edges, origins, sorted(years))
     writers.write_by_year(features, f"{out}/features")
     return readers.read_table(spark, f"{out}/features")
 
