@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from migrascope import dims
 from migrascope.operators.proximity import DIGITS, LOOKUP, located, top_places, within_point
 
-PAYLOAD = ["business_name", "business_category", "employees", "business_age"]
+DETAILS = ["business_name", "business_category", "employees", "business_age"]
 CONTACT = ["address", "phone"]
 GRID_SIZES_KM = [100.0 / 2**i for i in range(10)]  # 100 km down to 0.2 km
 
@@ -71,9 +71,9 @@ def score_businesses(businesses: DataFrame, origin: str, tastes: Tastes | None =
 
 
 def tasted_places(businesses: DataFrame, tastes: Tastes, wanted: list[int] | None = None) -> DataFrame:
-    """Businesses with one offer (score and details) per taste, for ``top_places``."""
+    """Businesses with their score for each taste, for ``top_places``."""
     columns = businesses.columns
-    extra = [c for c in (*PAYLOAD, *CONTACT) if c in columns]
+    extra = [c for c in (*DETAILS, *CONTACT) if c in columns]
     offers = []
     for (preferred, cuisine), n in tastes.numbered().items():
         if wanted is not None and n not in wanted:
@@ -83,13 +83,14 @@ def tasted_places(businesses: DataFrame, tastes: Tastes, wanted: list[int] | Non
             F.struct(
                 F.lit(n).alias("taste"),
                 relevance(preferred, cuisine, columns).alias("score"),
-                F.struct(*extra, own.cast("double").alias("cuisine_score")).alias("payload"),
+                own.cast("double").alias("cuisine_score"),
             )
         )
     return businesses.select(
         F.col("business_id").alias("place_id"),
         F.col("latitude").alias("place_latitude"),
         F.col("longitude").alias("place_longitude"),
+        *extra,
         F.array(*offers).alias("offers"),
     )
 
@@ -134,16 +135,16 @@ def match_hotspots(
         F.col("longitude").alias("hotspot_longitude"),
         F.col("hotspot_prob").alias("hotspot_probability"),
         F.col("place_id").alias("business_id"),
-        F.col("payload.business_name").alias("business_name"),
-        F.col("payload.business_category").alias("business_category"),
+        "business_name",
+        "business_category",
         F.col("place_latitude").alias("business_latitude"),
         F.col("place_longitude").alias("business_longitude"),
         "distance_km",
         F.col("score").alias("relevance_score"),
-        F.col("payload.employees").alias("business_employees"),
-        F.col("payload.business_age").alias("business_age"),
+        F.col("employees").alias("business_employees"),
+        "business_age",
         "origin_group",
-        F.col("payload.cuisine_score").alias("cuisine_score"),
+        "cuisine_score",
         "rank",
     )
 
@@ -163,9 +164,7 @@ def hotspot_coverage(
         F.lit(float(max_distance)).alias("radius_km"),
         F.lit(1).alias("k"),
     )
-    only = F.struct(
-        F.lit(0).alias("taste"), F.lit(0.0).alias("score"), F.lit(None).cast("string").alias("payload")
-    )
+    only = F.struct(F.lit(0).alias("taste"), F.lit(0.0).alias("score"))
     places = businesses.select(
         F.col("business_id").alias("place_id"),
         F.col("latitude").alias("place_latitude"),
@@ -274,28 +273,26 @@ def recommend_batch(
     sizes = sorted({r.grid_km for r in used})  # at most the grid sizes times the tastes
     places = tasted_places(businesses, tastes, sorted({r.taste for r in used}))
     best = top_places(spots, places, sizes, max_k, **limits)
-    p = "payload."
-    payload = {f for f in best.schema["payload"].dataType.names}
 
     def known(column: str) -> Column:
-        return F.col(p + column) if column in payload else F.lit(None)
+        return F.col(column) if column in best.columns else F.lit(None)
 
     joined = spots.withColumnRenamed("latitude", "user_latitude").withColumnRenamed(
         "longitude", "user_longitude"
     )
     keys = ["taste", "grid_km", "radius_km", "k", "user_latitude", "user_longitude"]
-    best = best.withColumnRenamed("latitude", "user_latitude").withColumnRenamed(
+    found = best.withColumnRenamed("latitude", "user_latitude").withColumnRenamed(
         "longitude", "user_longitude"
     )
     wanted = F.coalesce(F.size("business_categories"), F.lit(0)) <= 0
-    chosen = wanted | F.array_contains("business_categories", F.col(p + "business_category"))
-    return joined.join(best, keys).filter(chosen).select(
+    chosen = wanted | F.array_contains("business_categories", F.col("business_category"))
+    return joined.join(found, keys).filter(chosen).select(
         "request_id",
         F.col("place_id").alias("business_id"),
         *_recommendation(
-            F.col(p + "business_name"), F.col(p + "business_category"), F.col("place_latitude"),
-            F.col("place_longitude"), F.col("distance_km"), F.col("score"), F.col(p + "employees"),
-            F.col(p + "business_age"), F.col(p + "cuisine_score"), known("address"), known("phone"),
+            F.col("business_name"), F.col("business_category"), F.col("place_latitude"),
+            F.col("place_longitude"), F.col("distance_km"), F.col("score"), F.col("employees"),
+            F.col("business_age"), F.col("cuisine_score"), known("address"), known("phone"),
         ),
         "user_latitude",
         "user_longitude",

@@ -76,17 +76,18 @@ def top_places(
     """The ``k`` best places within ``radius_km`` of each spot: score desc, distance asc, id asc.
 
     ``spots``: taste, latitude, longitude, radius_km, k (at most ``max_k``) and grid_km, one of
-    ``grid_sizes`` and at least radius_km. ``places``: place_id, place_latitude, place_longitude
-    and ``offers``, an array of (taste, score, payload). A place is compared with the spots of the
-    tastes it has an offer for.
+    ``grid_sizes`` and at least radius_km. ``places``: place_id, place_latitude, place_longitude,
+    ``offers``, an array of structs that begin with taste and score, and any columns to carry
+    along. A place is compared with the spots of the tastes it has an offer for.
 
-    Returns one row per distinct spot (the ``LOOKUP`` columns) and chosen place, with
-    ``distance_km`` and ``rank``; join it back to the spots on ``LOOKUP``.
+    Returns one row per distinct spot (the ``LOOKUP`` columns) and chosen place with the place's
+    columns, ``distance_km`` and ``rank``; join it back to the spots on ``LOOKUP``.
     """
     lookups = located(spots).select(*LOOKUP).distinct()
     known = located(places, "place_latitude", "place_longitude")
     near = _nearby_cells(lookups)
     sites = _in_grid(_best_per_coordinate(known, max_k), grid_sizes)
+    carried = [c for c in sites.columns if c not in ("taste", "grid_km", "band", "cell")]
     if _heaviest_cell(near, known, grid_sizes, max_k) <= heavy:
         pairs = near.join(sites, ["taste", "grid_km", "band", "cell"])
     else:
@@ -102,8 +103,7 @@ def top_places(
         .withColumn("rank", F.row_number().over(ranked))
         .filter(F.col("rank") <= max_k)
         .filter(F.col("rank") <= F.col("k"))
-        .select(*LOOKUP, "place_id", "score", "place_latitude", "place_longitude", "payload",
-                "distance_km", "rank")
+        .select(*LOOKUP, *carried, "distance_km", "rank")
     )
 
 
@@ -111,12 +111,12 @@ def _nearby_cells(points: DataFrame) -> DataFrame:
     """One row per point and grid cell (band, cell) that can hold something within ``grid_km``."""
     size = F.col("grid_km")
     here = geo.band_of(F.col("latitude"), size)
-    banded = points.select("*", F.explode(F.array(here - 1, here, here + 1)).alias("band"))
+    banded = points.select("*", F.explode_outer(F.array(here - 1, here, here + 1)).alias("band"))
     counted = banded.withColumn("__n", geo.cells_in_band(F.col("band"), size))
     placed = counted.withColumn("__own", geo.cell_of(F.col("longitude"), F.col("__n")))
     n, own = F.col("__n"), F.col("__own")
     cells = F.array_distinct(F.array(F.pmod(own - 1, n), own, F.pmod(own + 1, n)))
-    return placed.select(*points.columns, "band", F.explode(cells).alias("cell"))
+    return placed.select(*points.columns, "band", F.explode_outer(cells).alias("cell"))
 
 
 def _distance() -> Column:
@@ -145,9 +145,11 @@ def _best_per_coordinate(places: DataFrame, max_k: int) -> DataFrame:
     best = Window.partitionBy("taste", "place_latitude", "place_longitude").orderBy(
         F.desc("score"), "place_id"
     )
-    offers = places.select("place_id", "place_latitude", "place_longitude", F.inline("offers"))
+    # The outer form: for the plain one Spark would push a test of the array's size, and with it
+    # all the scoring, a second time into the scan.
+    offered = places.select(*[c for c in places.columns if c != "offers"], F.inline_outer("offers"))
     return (
-        offers.withColumn("score", F.round("score", DIGITS))
+        offered.withColumn("score", F.round("score", DIGITS))
         .withColumn("__n", F.row_number().over(best))
         .filter(F.col("__n") <= max_k)
         .drop("__n")

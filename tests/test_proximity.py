@@ -75,7 +75,7 @@ def test_top_places_equal_brute_force(spark, heavy):
     places = b.select(
         "*",
         F.array(
-            F.struct(F.lit(7).alias("taste"), score.alias("score"), F.col("place_id").alias("payload"))
+            F.struct(F.lit(7).alias("taste"), score.alias("score"))
         ).alias("offers"),
     )
     radius, k = 40.0, 3
@@ -101,7 +101,7 @@ def test_crowded_coordinate_keeps_only_k_per_site(spark):
         F.col("id").cast("string").alias("place_id"),
         F.when(F.col("id") % 3 == 0, F.lit(40.0)).otherwise(F.lit(40.0) + F.col("id") / 1e5).alias("place_latitude"),
         F.lit(-100.0).alias("place_longitude"),
-        F.array(F.struct(F.lit(0).alias("taste"), F.lit(0.5).alias("score"), F.lit(1).alias("payload"))).alias("offers"),
+        F.array(F.struct(F.lit(0).alias("taste"), F.lit(0.5).alias("score"))).alias("offers"),
     )
     kept = proximity._best_per_coordinate(places, 5)
     assert kept.filter("place_latitude = 40.0").count() == 5
