@@ -313,14 +313,19 @@ def predict_hotspots(spark, folder):
                    FROM ({P.PANEL_SQL}))
        SELECT tract_geoid, year, round(india_density, 6) AS current_density, round(growth * 100, 6) AS predicted_growth,
               round(growth * 100 - 5, 6) AS lower, round(growth * 100 + 5, 6) AS upper, 'india' AS origin_group, 2 AS horizon
-       FROM g WHERE growth IS NOT NULL AND tract_geoid LIKE '0000%'""",
+       FROM g WHERE growth IS NOT NULL AND cast(substr(tract_geoid, 1, 5) AS integer) IN
+            (SELECT n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name IN ('AMERICA', 'ASIA'))""",
 )
 def predict_growth(spark, folder):
-    """Last year's growth stands in for the trained regressor's prediction."""
+    """All tracts of two regions; last year's growth stands in for the trained regressor's prediction."""
     features = P.panel(spark, folder)
     known = growth_rates(features, ["india"]).filter("india_growth_1yr IS NOT NULL")
     predictions = known.select("tract_geoid", "year", (F.col("india_growth_1yr") * 100).alias("predicted_growth"))
-    wanted = features.filter(F.col("tract_geoid").startswith("0000")).select("tract_geoid")
+    region = P.table(spark, folder, "region").filter(F.col("r_name").isin("AMERICA", "ASIA"))
+    nation = P.table(spark, folder, "nation").join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    county = nation.select(F.lpad(F.col("n_nationkey").cast("string"), 5, "0").alias("county_fips"))
+    tracts = features.select("tract_geoid", F.substring("tract_geoid", 1, 5).alias("county_fips"))
+    wanted = tracts.join(county, "county_fips", "left_semi").select("tract_geoid")
     df = serving.predict_growth(features, predictions, "india", tract_geoids=wanted)
     return df.select(
         "tract_geoid", "year", r("current_density"), r("predicted_growth"),

@@ -96,9 +96,9 @@ def permutation_importance(spark, folder):
 
 @query("train_all_origins")
 def train_all_origins(spark, folder):
-    """Two groups and one that does not exist: its failure is reported, the others are trained."""
+    """All groups and one that does not exist: its failure is reported, the others are trained."""
     labelled = panel.growth_labels(features(spark, folder), HORIZON, P.ORIGINS)
     _, status = models.train_all(
-        labelled, models.train_regressor, ["india", "mexico", "atlantis"], HORIZON, REGRESSION, folds=2
+        labelled, models.train_regressor, [*P.ORIGINS, "atlantis"], HORIZON, REGRESSION, folds=2
     )
     return status
