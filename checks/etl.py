@@ -299,10 +299,10 @@ def tagged_count(spark, folder):
 
 RATIOS_SQL = f"""
 SELECT tract_geoid, year,
-       round(cast(median_rent * 12 AS double) / nullif(median_household_income, 0), 6) AS rent_income_ratio,
-       round(cast(owner_occupied AS double) / nullif(occupied_housing_units, 0), 6) AS homeownership_rate,
-       round(cast(bachelor_degree + graduate_degree AS double) / nullif(total_education, 0), 6) AS college_educated_rate,
-       round(cast(vehicles_available - no_vehicles AS double) / nullif(vehicles_available, 0), 6) AS vehicle_access_rate
+       cast(median_rent * 12 AS double) / nullif(median_household_income, 0) AS rent_income_ratio,
+       cast(owner_occupied AS double) / nullif(occupied_housing_units, 0) AS homeownership_rate,
+       cast(bachelor_degree + graduate_degree AS double) / nullif(total_education, 0) AS college_educated_rate,
+       cast(vehicles_available - no_vehicles AS double) / nullif(vehicles_available, 0) AS vehicle_access_rate
 FROM ({P.PANEL_SQL})
 """
 
@@ -310,7 +310,7 @@ FROM ({P.PANEL_SQL})
 @query(
     "origin_density",
     f"""SELECT tract_geoid, year, {", ".join(f"{o}_count" for o in P.ORIGINS)},
-              {rs([f"{o}_density" for o in P.ORIGINS] + ["foreign_born_density"])}
+              {", ".join(f"{o}_density" for o in [*P.ORIGINS, "foreign_born"])}
        FROM ({P.PANEL_SQL})""",
 )
 def origin_density(spark, folder):
@@ -318,16 +318,15 @@ def origin_density(spark, folder):
         "tract_geoid",
         "year",
         *[f"{o}_count" for o in P.ORIGINS],
-        *[r(f"{o}_density") for o in P.ORIGINS],
-        r("foreign_born_density"),
+        *[f"{o}_density" for o in P.ORIGINS],
+        "foreign_born_density",
     )
 
 
 @query("demographic_ratios", RATIOS_SQL)
 def demographic_ratios(spark, folder):
     panel = P.panel(spark, folder).drop("college_educated_rate")
-    with_ratios = panel.select("tract_geoid", "year", *clean.demographic_ratios())
-    return with_ratios.select("tract_geoid", "year", *[r(c) for c in with_ratios.columns[2:]])
+    return panel.select("tract_geoid", "year", *clean.demographic_ratios())
 
 
 @query(
@@ -362,10 +361,10 @@ ACS_FIELDS = {
 @query(
     "process_acs",
     f"""SELECT tract_geoid, year, india_people AS india_count,
-              round(cast(india_people AS double) / nullif(total_pop, 0) * 1000, 6) AS india_density,
-              round(cast(0 AS double), 6) AS peru_density,
-              round(cast(foreign_born_total AS double) / nullif(total_pop, 0) * 1000, 6) AS foreign_born_density,
-              round(cast(owner_occupied AS double) / nullif(total_pop, 0), 6) AS homeownership_rate,
+              cast(india_people AS double) / nullif(total_pop, 0) * 1000 AS india_density,
+              cast(0 AS double) AS peru_density,
+              cast(foreign_born_total AS double) / nullif(total_pop, 0) * 1000 AS foreign_born_density,
+              cast(owner_occupied AS double) / nullif(total_pop, 0) AS homeownership_rate,
               cast(mexico_people > 0 AS integer) + cast(china_people > 0 AS integer) AS language_diversity
        FROM ({P.RAW_PANEL_SQL})""",
 )
@@ -383,8 +382,8 @@ def process_acs(spark, folder):
     ]
     done = clean.process_acs(panel.select("tract_geoid", "year", *demographic, *origin))
     return done.select(
-        "tract_geoid", "year", "india_count", r("india_density"), r("peru_density"),
-        r("foreign_born_density"), r("homeownership_rate"), "language_diversity",
+        "tract_geoid", "year", "india_count", "india_density", "peru_density",
+        "foreign_born_density", "homeownership_rate", "language_diversity",
     )
 
 
@@ -392,7 +391,7 @@ def process_acs(spark, folder):
 
 ROLLUP_SQL = f"""
 SELECT county_fips, year, business_category, cast(sum(est) AS bigint) AS est,
-       cast(sum(emp) AS bigint) AS emp, sum(ap) AS ap
+       cast(sum(emp) AS bigint) AS emp, cast(sum(ap) AS bigint) AS ap
 FROM ({P.INDUSTRY_CLEAN_SQL}) GROUP BY ALL
 """
 LOCATION_SQL = f"""
@@ -424,38 +423,37 @@ def county_table(spark, folder):
 
 @query(
     "county_rollup",
-    f"SELECT county_fips, year, business_category, est, emp, round(ap, 2) AS ap FROM ({ROLLUP_SQL})",
+    f"SELECT county_fips, year, business_category, est, emp, ap FROM ({ROLLUP_SQL})",
 )
 def county_rollup(spark, folder):
     return county_table(spark, folder).select(
-        "county_fips", "year", "business_category", "est", "emp", r("ap", 2)
+        "county_fips", "year", "business_category", "est", "emp", "ap"
     )
 
 
 @query(
     "industry_ratios",
     f"""SELECT county_fips, year, business_category,
-              round(cast(est AS double) / nullif(emp, 0) * 1000, 6) AS establishments_per_1000,
-              round(cast(emp AS double) / nullif(est, 0), 6) AS avg_employees_per_establishment,
-              round(ap / nullif(emp, 0), 4) AS avg_annual_payroll
+              cast(est AS double) / nullif(emp, 0) * 1000 AS establishments_per_1000,
+              cast(emp AS double) / nullif(est, 0) AS avg_employees_per_establishment,
+              cast(ap AS double) / nullif(emp, 0) AS avg_annual_payroll
        FROM ({ROLLUP_SQL})""",
 )
 def industry_ratios(spark, folder):
     return county_table(spark, folder).select(
-        "county_fips", "year", "business_category", r("establishments_per_1000"),
-        r("avg_employees_per_establishment"), r("avg_annual_payroll", 4),
+        "county_fips", "year", "business_category", "establishments_per_1000",
+        "avg_employees_per_establishment", "avg_annual_payroll",
     )
 
 
-INDUSTRY_MEASURES = {"est": ("bigint", None), "emp": ("bigint", None), "ap": ("double", 2)}
+INDUSTRY_MEASURES = {"est": ("bigint", None), "emp": ("bigint", None), "ap": ("bigint", None)}
 COUNTY_WIDE_SQL = pivot_sql(
     ROLLUP_SQL, "county_fips, year", "business_category", rollup.INDUSTRY_CATEGORIES, INDUSTRY_MEASURES
 )
 
 
 def county_wide_table(spark, folder):
-    wide = rollup.county_wide(county_table(spark, folder))
-    return wide.select(*[r(c, 2) if c.endswith("_ap") else c for c in wide.columns])
+    return rollup.county_wide(county_table(spark, folder))
 
 
 @query("county_wide", COUNTY_WIDE_SQL)
@@ -524,13 +522,13 @@ def acs_cbp_join(spark, folder):
 
 @query(
     "row_ratios",
-    f"""SELECT naics, est, emp, round(cast(est AS double) / nullif(emp, 0) * 1000, 6) AS establishments_per_1000,
-              round(cast(emp AS double) / nullif(est, 0), 6) AS avg_employees_per_establishment, count(*) AS n
+    f"""SELECT naics, est, emp, cast(est AS double) / nullif(emp, 0) * 1000 AS establishments_per_1000,
+              cast(emp AS double) / nullif(est, 0) AS avg_employees_per_establishment, count(*) AS n
        FROM ({P.INDUSTRY_CLEAN_SQL}) GROUP BY ALL""",
 )
 def row_ratios(spark, folder):
     rows = clean.process_cbp(P.industry(spark, folder)).select(
-        "naics", "est", "emp", r("establishments_per_1000"), r("avg_employees_per_establishment")
+        "naics", "est", "emp", "establishments_per_1000", "avg_employees_per_establishment"
     )
     return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
 

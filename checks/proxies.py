@@ -154,7 +154,7 @@ def industry(spark: SparkSession, folder: str) -> DataFrame:
         _pick(NAICS, F.col("l_partkey")).alias("naics"),
         F.lit(1).cast("long").alias("est"),
         F.col("l_quantity").cast("long").alias("emp"),
-        F.col("l_extendedprice").alias("ap"),
+        F.round(F.col("l_extendedprice") * 100).cast("long").alias("ap"),
         F.year("l_shipdate").alias("year"),
     )
 
@@ -163,7 +163,8 @@ INDUSTRY_SQL = f"""
 SELECT lpad(cast(s_nationkey AS varchar), 5, '0') AS county_fips,
        cast(year(l_shipdate) AS integer) AS year,
        {sql_list(NAICS)}[cast(l_partkey % {len(NAICS)} AS integer) + 1] AS naics,
-       cast(1 AS bigint) AS est, cast(l_quantity AS bigint) AS emp, l_extendedprice AS ap
+       cast(1 AS bigint) AS est, cast(l_quantity AS bigint) AS emp,
+       cast(round(l_extendedprice * 100) AS bigint) AS ap
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
 """
 
