@@ -15,7 +15,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, IsotonicRegression, LinearRegression
+from pyspark.ml.regression import (
+    GBTRegressor,
+    IsotonicRegression,
+    IsotonicRegressionModel,
+    LinearRegression,
+)
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -243,7 +248,7 @@ def permutation_importance(
 class CalibratedClassifier:
     """Classifiers of the calibration folds, each with its isotonic map; probabilities are averaged."""
 
-    members: tuple[tuple[PipelineModel, "IsotonicRegressionModel"], ...]
+    members: tuple[tuple[PipelineModel, IsotonicRegressionModel], ...]
 
     def transform(self, df: DataFrame) -> DataFrame:
         """``df`` plus ``raw_i`` and ``calibrated_i`` per member and their mean ``hotspot_prob``."""
@@ -263,8 +268,6 @@ class CalibratedClassifier:
 
     @staticmethod
     def load(path: str, members: int = dims.CALIBRATION_FOLDS) -> "CalibratedClassifier":
-        from pyspark.ml.regression import IsotonicRegressionModel
-
         return CalibratedClassifier(
             tuple(
                 (

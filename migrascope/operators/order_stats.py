@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANGE_ROWS = 250_000  # distinct values one task sorts
@@ -40,7 +40,7 @@ def _ranges(distinct: DataFrame, value: str, range_rows: int) -> DataFrame:
 def running_totals(
     df: DataFrame,
     value: str,
-    sums: dict[str, "F.Column"],
+    sums: dict[str, Column],
     groups: list[str] | None = None,
     range_rows: int = RANGE_ROWS,
 ) -> DataFrame:

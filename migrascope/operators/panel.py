@@ -160,7 +160,7 @@ def sanitize(df: DataFrame, columns: list[str]) -> DataFrame:
 def _future_growth(column: str, horizon: int) -> tuple[Column, Column]:
     future = F.lead(column, horizon).over(by_tract())
     now = F.col(column)
-    return future, (future - now) / (now + F.lit(dims.LABEL_EPSILON)) * F.lit(100.0)
+    return future, values.ratio(future - now, now + F.lit(dims.LABEL_EPSILON)) * F.lit(100.0)
 
 
 def _label_sources(df: DataFrame, origins: list[str]) -> dict[str, str]:
