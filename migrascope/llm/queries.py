@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from migrascope.llm import chat, secrets, toxicity, url_filter
-from migrascope.llm.common import row_key, table
+from migrascope.llm import chat, jaccard, secrets, substring, toxicity, url_filter
+from migrascope.llm.common import row_key, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +21,8 @@ URL_RULES = [
     url_filter.Rule("net/fr/", url_filter.BLOCK),
 ]
 TOXIC_FROM = 0.3
+REPEAT_WORDS = 50
+NGRAM_RULE = jaccard.Rule(shingle=4, percent=85)
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +62,15 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.segments(turns.unionByName(added)))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = substring.identified(table(spark, sf_dir, "documents"))
+    return substring.kept(docs, substring.repeated(docs, REPEAT_WORDS), REPEAT_WORDS)
+
+
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"), NGRAM_RULE)
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repositories are a source's languages, owners are the sources."""
     docs = table(spark, sf_dir, "documents").select(
@@ -71,7 +83,19 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.judged(docs))
 
 
-QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_url_filter, op2_toxicity, op3_chat_format, op10_secret_scan)
-}
+OPERATORS = (op1_url_filter, op2_toxicity, op3_chat_format, op6_substring_dedup, op9_ngram_jaccard, op10_secret_scan)
+
+
+def shipped(query: Query) -> Query:
+    """The query, after the package has been sent to the Python workers."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES: dict[str, Query] = {f.__name__: shipped(f) for f in OPERATORS}
 ORACLES: dict[str, str] = {}
