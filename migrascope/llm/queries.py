@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from migrascope.llm import chat, jaccard, secrets, substring, toxicity, url_filter
-from migrascope.llm.common import row_key, ship, table
+from migrascope.llm import chat, jaccard, license_scan, mixing, secrets, substring, toxicity, url_filter
+from migrascope.llm.common import fresh, row_key, saved, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,7 @@ URL_RULES = [
 ]
 TOXIC_FROM = 0.3
 REPEAT_WORDS = 50
+MIX_FRACTION = 0.5
 NGRAM_RULE = jaccard.Rule(shingle=4, percent=85)
 
 
@@ -62,11 +63,44 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.segments(turns.unionByName(added)))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = substring.identified(table(spark, sf_dir, "documents"))
     return substring.kept(docs, substring.repeated(docs, REPEAT_WORDS), REPEAT_WORDS)
 
 
+def measured(docs: DataFrame) -> DataFrame:
+    """Documents with their topic, told by plain markers, and their words; names that are taken grow longer."""
+    text = F.coalesce("text", F.lit(""))
+    marks = {"legal": ("icense", "ICENSE"), "credential": ("token", "TOKEN", "assword", "AKIA"), "table": (" | ",)}
+    topic = F.lit("prose")
+    for name, found in reversed(marks.items()):
+        topic = F.when(functools.reduce(lambda x, y: x | y, (F.contains(text, F.lit(m)) for m in found)), name).otherwise(topic)
+    return docs.withColumns({fresh(docs, "topic"): topic, fresh(docs, "n_words"): mixing.n_words(F.col("text"))})
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """The drawn documents of the mixture: half of all words, raked to source, language and topic."""
+    topic, words = fresh(docs, "topic"), fresh(docs, "n_words")
+    rows = measured(docs)
+    margins = [
+        mixing.Margin("source", power=0.7),
+        mixing.Margin("lang", shares=(("en", 0.55), ("de", 0.16), ("fr", 0.16), ("es", 0.13))),
+        mixing.Margin(topic, power=0.8),
+    ]
+    cells = saved(mixing.cells_of(rows, margins, words))
+    odds = mixing.calibrate(mixing.rake(cells, margins), MIX_FRACTION)
+    return mixing.sample(rows, odds, margins, "doc_id", ["text"])
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return mixed(docs).drop("text")
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"), NGRAM_RULE)
 
@@ -83,7 +117,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.judged(docs))
 
 
-OPERATORS = (op1_url_filter, op2_toxicity, op3_chat_format, op6_substring_dedup, op9_ngram_jaccard, op10_secret_scan)
+OPERATORS = (op1_url_filter, op2_toxicity, op3_chat_format, op4_license_scan, op6_substring_dedup, op7_mixing, op9_ngram_jaccard, op10_secret_scan)
 
 
 def shipped(query: Query) -> Query:
