@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from migrascope.llm import chat, jaccard, license_scan, mixing, secrets, substring, toxicity, url_filter
+from migrascope.llm import chat, hnsw, jaccard, license_scan, mixing, secrets, substring, toxicity, url_filter
 from migrascope.llm.common import fresh, row_key, saved, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +101,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(docs).drop("text")
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return hnsw.nearest(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"), NGRAM_RULE)
 
@@ -117,7 +122,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.judged(docs))
 
 
-OPERATORS = (op1_url_filter, op2_toxicity, op3_chat_format, op4_license_scan, op6_substring_dedup, op7_mixing, op9_ngram_jaccard, op10_secret_scan)
+OPERATORS = (op1_url_filter, op2_toxicity, op3_chat_format, op4_license_scan, op6_substring_dedup, op7_mixing, op8_nearest_neighbours, op9_ngram_jaccard, op10_secret_scan)
 
 
 def shipped(query: Query) -> Query:
