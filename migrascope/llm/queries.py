@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from migrascope.llm import chat, hnsw, jaccard, license_scan, mixing, secrets, substring, toxicity, url_filter
+from migrascope.llm import chat, decontaminate, hnsw, jaccard, license_scan, mixing, secrets, substring, toxicity, url_filter
 from migrascope.llm.common import fresh, row_key, saved, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,11 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage, with the passage and how it was told."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = substring.identified(table(spark, sf_dir, "documents"))
     return substring.kept(docs, substring.repeated(docs, REPEAT_WORDS), REPEAT_WORDS)
@@ -122,7 +127,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.judged(docs))
 
 
-OPERATORS = (op1_url_filter, op2_toxicity, op3_chat_format, op4_license_scan, op6_substring_dedup, op7_mixing, op8_nearest_neighbours, op9_ngram_jaccard, op10_secret_scan)
+OPERATORS = (op1_url_filter, op2_toxicity, op3_chat_format, op4_license_scan, op5_decontamination, op6_substring_dedup, op7_mixing, op8_nearest_neighbours, op9_ngram_jaccard, op10_secret_scan)
 
 
 def shipped(query: Query) -> Query:

@@ -19,6 +19,8 @@ LONG = 512  # bytes of a word from which on it is hashed by a digest
 
 _SEPARATOR = np.zeros(256, dtype=bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
+PLAIN = _SEPARATOR.copy()  # as separators, any ASCII character but letters and digits
+PLAIN[[c for c in range(128) if not chr(c).isalnum()]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _MASK = np.array([(1 << 8 * i) - 1 for i in range(9)], dtype=np.uint64)
@@ -48,8 +50,8 @@ def powers(n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def split(column: pa.Array, lower: bool = False) -> Words:
-    """Words of each row; a null row has none."""
+def split(column: pa.Array, lower: bool = False, separators: np.ndarray = _SEPARATOR) -> Words:
+    """Words of each row; a null row has none. ``separators`` tells for each byte whether it ends a word."""
     column = pc.fill_null(column, "").cast(pa.large_string())
     _, offsets, data = column.buffers()
     bounds = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
@@ -60,7 +62,7 @@ def split(column: pa.Array, lower: bool = False) -> Words:
     bounds = bounds - bounds[0]
     if lower:
         raw = _LOWER[raw]
-    inside = ~_SEPARATOR[raw]
+    inside = ~separators[raw]
     opens, closes = inside.copy(), inside.copy()
     opens[1:] &= ~inside[:-1]
     closes[:-1] &= ~inside[1:]
