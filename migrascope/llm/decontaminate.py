@@ -3,8 +3,11 @@
 1. Fit, over all passages of the corpus (blocks of ``PASSAGE`` words): passage frequencies of hashed terms, then
    a randomised SVD of the TF-IDF matrix A. Each task multiplies its passages with a random matrix and back
    (A'A times a random matrix, a Nystroem sketch), the sums are aggregated by term, and a small factorisation
-   of the sketch gives the latent axes. What leaves the tasks is ``TERMS`` rows of ``SKETCH`` numbers each, and
-   the same on the driver, whatever the corpus holds.
+   of the sketch gives the latent axes. Only terms that the benchmark has take part, and of its common words
+   (``COMMON`` of the passages and more) only the ``RAREST`` rarest of each item. Terms are also divided by the
+   square root of their frequency, the metric of correspondence analysis, or common words would take all axes.
+   What leaves the tasks is ``TERMS`` rows of ``SKETCH`` numbers at most, and the same on the driver, whatever
+   the corpus holds.
 2. Search: benchmark passages are a stated query set, taken in blocks of ``ITEM_BLOCK`` items; every window of
    every document (a passage long, half a passage apart) is compared with all of a block by cosine.
 3. Check: candidates are compared word by word: the longest common subsequence of the item and the words
@@ -21,7 +24,7 @@ takes a longer name for its own where needed.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,13 +36,15 @@ from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, Lon
 from migrascope.llm import words
 from migrascope.llm.common import arrow_type, slices
 
-TERMS = 1 << 14
-RANK = 48
-SKETCH = 56
+TERMS = 1 << 16
+RANK = 64
+SKETCH = 72
+COMMON = 0.02
+RAREST = 16
 PASSAGE = 32
 ITEM_BLOCK = 2048
-SLICE = 500_000  # bytes of text whose words are projected at once
-MIN_COSINE = 0.45
+SLICE = 1_000_000  # bytes of text whose words are projected at once
+MIN_COSINE = 0.55
 VERBATIM = 0.8  # share of an item's words in order that is a leak by itself
 PARAPHRASE = 0.6  # share that is one together with the answer
 ANSWER = 0.8  # share of the answer's words that must be there
@@ -62,100 +67,158 @@ def plain(column: pa.Array) -> words.Words:
 
 
 def terms_of(found: words.Words) -> np.ndarray:
-    return (found.hash % np.uint64(TERMS)).astype(np.int32)
+    return (found.hash & np.uint64(TERMS - 1)).astype(np.int64)
 
 
-def cuts(found: words.Words, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """First word of each run of ``size`` words of a row, and the row of each run."""
+def runs_of(found: words.Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of ``size`` words of a row: first word and row of each run, and the run of each word."""
     counts = -(-np.diff(found.first) // size)
     row = np.repeat(np.arange(len(counts)), counts)
     inner = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-    return found.first[row] + inner * size, row
+    starts = found.first[row] + inner * size
+    return starts, row, np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(found.hash))))
 
 
-def passage_counts(docs: DataFrame) -> DataFrame:
-    """(term, n): passages that hold each term; term -1 counts the passages."""
+def distinct_terms(benchmark: DataFrame) -> np.ndarray:
+    """Which terms the benchmark has; ``TERMS`` flags."""
+    return _flags(benchmark, lambda terms: terms)
+
+
+def needed_terms(benchmark: DataFrame, frequency: np.ndarray) -> np.ndarray:
+    """Terms that take part: rare ones, and the rarest of each item."""
+
+    def pick(terms: np.ndarray) -> np.ndarray:
+        terms = np.unique(terms)
+        terms = terms[np.argsort(frequency[terms], kind="stable")]
+        return terms[(frequency[terms] < COMMON) | (np.arange(len(terms)) < RAREST)]
+
+    return _flags(benchmark, pick)
+
+
+def _flags(benchmark: DataFrame, pick: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    kind = arrow_type(COUNTS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(TERMS, bool)
+        for part in slices(batches, "text", SLICE):
+            found = plain(part.column("text"))
+            terms = terms_of(found)
+            for first, last in zip(found.first[:-1], found.first[1:], strict=True):
+                held[pick(terms[first:last])] = True
+        term = np.flatnonzero(held).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(np.ones(len(term), np.int64))], schema=kind)
+
+    flags = np.zeros(TERMS, bool)
+    for r in benchmark.select("text").mapInArrow(run, COUNTS).select("term").distinct().collect():
+        flags[r["term"]] = True
+    return flags
+
+
+def passage_frequency(docs: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, float]:
+    """Share of all passages that hold each of the flagged terms, and the number of passages."""
     kind = arrow_type(COUNTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, counts = 0, np.zeros(TERMS, dtype=np.int64)
         for part in slices(batches, "text", SLICE):
             found = plain(part.column("text"))
-            starts, _ = cuts(found, PASSAGE)
-            if not len(starts):
-                continue
+            starts, _, passage = runs_of(found, PASSAGE)
             total += len(starts)
-            passage = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(found.hash))))
-            held = np.unique(passage * TERMS + terms_of(found))
-            counts += np.bincount(held % TERMS, minlength=TERMS)
+            own = terms_of(found)
+            taken = terms[own]
+            counts += np.bincount(np.unique(passage[taken] * TERMS + own[taken]) % TERMS, minlength=TERMS)
         term = np.append(-1, np.flatnonzero(counts)).astype(np.int32)
         values = np.append(total, counts[counts > 0])
         yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(values)], schema=kind)
 
-    return docs.select("text").mapInArrow(run, COUNTS).groupBy("term").agg(F.sum("n").alias("n"))
-
-
-def weights_of(docs: DataFrame) -> np.ndarray:
-    """Inverse passage frequency of every term."""
     counts, total = np.zeros(TERMS), 1.0
-    for r in passage_counts(docs).collect():  # TERMS rows at most
+    summed = docs.select("text").mapInArrow(run, COUNTS).groupBy("term").agg(F.sum("n").alias("n"))
+    for r in summed.collect():  # TERMS rows at most
         if r["term"] < 0:
             total = max(1.0, float(r["n"]))
         else:
             counts[r["term"]] = r["n"]
-    return np.log(total / np.maximum(counts, 1.0)).astype(np.float32)
+    return np.maximum(counts, 0.5) / total, total
 
 
-def sketch(docs: DataFrame, idf: np.ndarray, omega: np.ndarray) -> np.ndarray:
-    """A'A omega, where A holds the TF-IDF rows of all passages."""
+@dataclass(frozen=True)
+class Projection:
+    """Takes the counts of terms to rows of ``matrix``; ``place`` is a term's row, or -1."""
+
+    place: np.ndarray
+    matrix: np.ndarray
+
+    def sums(self, found: words.Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Projected sum, first word and row of each run of ``size`` words."""
+        starts, row, run = runs_of(found, size)
+        at = self.place[terms_of(found)]
+        taken = np.flatnonzero(at >= 0)
+        out = np.zeros((len(starts), self.matrix.shape[1]), np.float32)
+        if len(taken):
+            of = run[taken]
+            first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+            out[of[first]] = np.add.reduceat(self.matrix[at[taken]], first, axis=0)
+        return out, starts, row
+
+
+def sketch(docs: DataFrame, place: np.ndarray, weighted: np.ndarray) -> np.ndarray:
+    """Term counts of all passages, transposed, times their projections: A'A omega but for the left weights."""
     kind = arrow_type(SKETCHED)
-    weighted = idf[:, None] * omega
+    projection = Projection(place, weighted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(weighted.shape, dtype=np.float64)
         for part in slices(batches, "text", SLICE):
             found = plain(part.column("text"))
-            starts, _ = cuts(found, PASSAGE)
-            if not len(starts):
-                continue
-            terms = terms_of(found)
-            passage = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(terms))))
-            projected = np.add.reduceat(weighted[terms], starts, axis=0)
-            order = np.argsort(terms, kind="stable")
-            ordered = terms[order]
-            first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-            sums[ordered[first]] += np.add.reduceat(projected[passage[order]], first, axis=0)
+            projected, _, _ = projection.sums(found, PASSAGE)
+            _, _, passage = runs_of(found, PASSAGE)
+            at = place[terms_of(found)]
+            taken = np.flatnonzero(at >= 0)
+            taken = taken[np.argsort(at[taken], kind="stable")]
+            if len(taken):
+                ordered = at[taken]
+                first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+                sums[ordered[first]] += np.add.reduceat(projected[passage[taken]], first, axis=0)
         held = np.flatnonzero(sums.any(axis=1))
-        rows = (sums[held] * idf[held, None]).astype(np.float32)
+        rows = sums[held].astype(np.float32)
         offsets = pa.array(np.arange(len(held) + 1) * rows.shape[1], pa.int32())
         lists = pa.ListArray.from_arrays(offsets, pa.array(rows.ravel()), type=kind.field("row").type)
         yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), lists], schema=kind)
 
     parts = docs.select("text").mapInArrow(run, SKETCHED)
-    sums = [F.sum(F.get("row", F.lit(i)).cast("double")).alias(f"s{i}") for i in range(omega.shape[1])]
-    out = np.zeros(omega.shape)
+    sums = [F.sum(F.get("row", F.lit(i)).cast("double")).alias(f"s{i}") for i in range(weighted.shape[1])]
+    out = np.zeros(weighted.shape)
     for r in parts.groupBy("term").agg(*sums).collect():  # TERMS rows at most
         out[r["term"]] = r[1:]
     return out
 
 
 def axes(sketched: np.ndarray, omega: np.ndarray, rank: int) -> np.ndarray:
-    """Latent axes of the terms, scaled so that all count alike, from the sketch of A'A."""
-    shift = 1e-9 * max(1.0, np.linalg.norm(sketched))
+    """Latent axes of the terms, from the sketch A'A omega."""
+    if not sketched.any():
+        return np.zeros((len(sketched), 1))
+    shift = 1e-9 * np.linalg.norm(sketched)
     moved = sketched + shift * omega
     core = omega.T @ moved
     values, vectors = np.linalg.eigh((core + core.T) / 2)
     fine = values > values[-1] * 1e-10
     left, sizes, _ = np.linalg.svd(moved @ (vectors[:, fine] / np.sqrt(values[fine])), full_matrices=False)
-    kept = sizes[:rank] > sizes[:1].max(initial=0.0) * 1e-6
-    return left[:, :rank][:, kept] / sizes[:rank][kept]
+    kept = sizes[:rank] > sizes[0] * 1e-6
+    return left[:, :rank][:, kept]
 
 
-def fit(docs: DataFrame, rank: int = RANK, seed: int = 1) -> np.ndarray:
-    """(TERMS, rank) matrix that takes term counts to latent space."""
-    idf = weights_of(docs)
-    omega = np.random.default_rng(seed).standard_normal((TERMS, SKETCH)).astype(np.float32)
-    return (idf[:, None] * axes(sketch(docs, idf, omega).astype(np.float64), omega.astype(np.float64), rank)).astype(np.float32)
+def fit(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, seed: int = 1) -> Projection:
+    """Latent space of the benchmark's terms over all passages of the documents."""
+    frequency, total = passage_frequency(docs, distinct_terms(benchmark))
+    needed = np.flatnonzero(needed_terms(benchmark, frequency))
+    place = np.full(TERMS, -1, dtype=np.int64)
+    place[needed] = np.arange(len(needed))
+    share = frequency[needed]
+    weight = np.maximum(-np.log(np.minimum(share, 1.0)), 0.01) / np.sqrt(share)
+    weight = weight[:, None] / weight.max(initial=1.0)
+    omega = np.random.default_rng(seed).standard_normal((len(needed), SKETCH))
+    sketched = sketch(docs, place, (weight * omega).astype(np.float32)) * weight
+    return Projection(place, (weight * axes(sketched, omega, rank)).astype(np.float32))
 
 
 @dataclass(frozen=True)
@@ -193,7 +256,7 @@ def last_sentence(text: Column) -> Column:
 class Search:
     """One block of benchmark items, ready to be held against documents."""
 
-    def __init__(self, rows: list[tuple[int, str, str]], latent: np.ndarray) -> None:
+    def __init__(self, rows: list[tuple[int, str, str]], latent: Projection) -> None:
         self.latent, self.items = latent, []
         texts_ = plain(pa.array([r[1] for r in rows], pa.string()))
         answers = plain(pa.array([r[2] for r in rows], pa.string()))
@@ -206,11 +269,9 @@ class Search:
 
     def windows(self, found: words.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Latent vector, row and first word (in the buffer) of each window."""
-        half = PASSAGE // 2
-        starts, row = cuts(found, half)
+        halves, starts, row = self.latent.sums(found, PASSAGE // 2)
         if not len(starts):
-            return np.zeros((0, self.latent.shape[1]), np.float32), row, starts
-        halves = np.add.reduceat(self.latent[terms_of(found)], starts, axis=0)
+            return halves, row, starts
         joined = np.append(row[1:] == row[:-1], False)
         lone = np.append(True, row[1:] != row[:-1]) & ~joined
         vectors = halves.copy()
@@ -285,7 +346,7 @@ def add_leaks(docs: DataFrame, search: Search, leaks: str, text: str = "text") -
 def leaks(docs: DataFrame, benchmark: DataFrame, answer: Column | None = None) -> DataFrame:
     """(doc_id, item_id, cosine, lcs, coverage, answer_found) of every leak."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    latent, out = fit(rows), None
+    latent, out = fit(rows, benchmark), None
     for block in blocks(benchmark, answer):
         found = add_leaks(rows, Search(block, latent), "leaks").select("doc_id", F.inline("leaks"))
         out = found if out is None else out.unionByName(found)

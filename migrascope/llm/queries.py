@@ -115,16 +115,19 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"), NGRAM_RULE)
 
 
-def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repositories are a source's languages, owners are the sources."""
-    docs = table(spark, sf_dir, "documents").select(
+def secret_rows(docs: DataFrame) -> DataFrame:
+    """Input of the secret scan: repositories are a source's languages, owners are the sources."""
+    return docs.select(
         row_key(F.col("doc_id"), F.col("text")).alias("row"),
         "doc_id",
         F.concat_ws("/", "source", "lang").alias("repo"),
         F.col("source").alias("owner"),
         "text",
     )
-    return secrets.report(secrets.judged(docs))
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(secrets.judged(secret_rows(table(spark, sf_dir, "documents"))))
 
 
 OPERATORS = (op1_url_filter, op2_toxicity, op3_chat_format, op4_license_scan, op5_decontamination, op6_substring_dedup, op7_mixing, op8_nearest_neighbours, op9_ngram_jaccard, op10_secret_scan)

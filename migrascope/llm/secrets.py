@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from migrascope.llm.common import arrow_type, saved, slices, texts
+from migrascope.llm.common import arrow_type, fresh, saved, slices, texts
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
@@ -169,3 +169,18 @@ def redact(text: str, spans: list[dict], mark: str = "[secret]") -> str:
             out += [text[at : s["inner_start"]], mark]
         at = max(at, s["inner_end"])
     return "".join(out) + text[at:]
+
+
+def redacted(docs: DataFrame, judged_rows: DataFrame, key: Column, text: str = "text") -> DataFrame:
+    """All rows and columns of ``docs``; live-looking secrets in the text are replaced. ``key`` is the row's key."""
+    names, row, spans = docs.columns, fresh(docs, "row"), fresh(docs, "live")
+    live = judged_rows.filter(F.size("live") > 0).select(F.col("row").alias(row), F.col("live").alias(spans))
+    marked = docs.withColumn(row, key).join(live.dropDuplicates([row]), row, "left").drop(row)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, text):
+            pairs = zip(part.column(text).to_pylist(), part.column(spans).to_pylist(), strict=True)
+            plain = pa.array([redact(t, s) if s else t for t, s in pairs], part.column(text).type)
+            yield pa.RecordBatch.from_arrays([plain if c == text else part.column(c) for c in names], names=names)
+
+    return marked.mapInArrow(run, docs.schema)
