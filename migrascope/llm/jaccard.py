@@ -1,10 +1,12 @@
 """N-gram Jaccard join: exact links between documents whose shingle sets overlap enough, as components.
 
 1. Documents with equal sets are one class; everything below handles each class once.
-2. Near copies first: each class is compared with the least class and with its neighbour in size among those
-   that share one of its few least shingle hashes. That links most of what there is, a few pairs a class.
+2. Near copies first: each class is compared with the smallest class and with its neighbour in size among those
+   that share one of its few least hashes and have a like sketch. That links most of what there is, with a few
+   pairs a class.
 3. The rest, completely: sets that overlap enough share a shingle within their prefixes (the first
-   n - ceil(t n) + 1 of n shingles in one order for all). The order puts frequent shingles last. The classes
+   n - ceil(t n) + 1 of n shingles in one order for all). The order puts long shingles first and frequent
+   ones last. The classes
    that share a prefix shingle, and are not connected yet, form a signature tree: nodes hold OR-combined
    token bitmaps, size ranges and least bit counts. The dual traversal drops pairs of nodes whose greatest
    possible overlap is too small; pairs of classes that are left are compared by their sets.
@@ -28,15 +30,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from migrascope.llm import words
 from migrascope.llm.common import arrow_type, slices, written
 from migrascope.llm.graph import components
 
-LEAST = 6  # least shingle hashes that near copies meet on
+LEAST = 8  # least mixed shingle hashes of a class: a sketch of its set
+MEET = 3  # of them that near copies meet on
+ALIKE = 5  # of them that near copies share
+BAND = 1.4  # ratio of sizes that near copies are looked for in
 FREQUENT = 65_536  # bound of the list of frequent shingles
 FREQUENT_SHARE = 0.005  # of the documents of a task
+BUCKET = 1 << 18  # prefix shingles that one group of a task holds
+FLUSH = 1 << 20  # prefix shingles a task holds before it passes them on
 GROUP = 1024
 LEAF = 8
 MAX_BITS = 1 << 16
@@ -53,8 +60,16 @@ PROFILE = StructType(
         StructField("times", LongType()),
     ]
 )
-PREFIX = StructType([StructField("token", LongType()), StructField("cls", LongType())])
-SETS = StructType([StructField("cls", LongType()), StructField("tokens", ArrayType(LongType()))])
+PACKED = StructType(
+    [
+        StructField("bucket", LongType()),
+        StructField("classes", BinaryType()),
+        StructField("counts", BinaryType()),
+        StructField("tokens", BinaryType()),
+    ]
+)
+SHARED = StructType([StructField("token", LongType()), StructField("cls", LongType())])
+FETCHED = StructType([StructField("cls", LongType()), StructField("text", StringType())])
 PAIRS = StructType([StructField("a", LongType()), StructField("b", LongType())])
 
 
@@ -70,16 +85,27 @@ class Rule:
 
 
 def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text, A-Z lower-cased."""
+    """The distinct shingles of each text, A-Z lower-cased, as sorted numbers.
+
+    A number starts with the complement of the shingle's length in letters and ends with 56 bits of its hash.
+    So the order, which is the one of the prefixes, begins with the longest shingles, that is the rarest.
+    """
     found = words.split(column, lower=True)
-    hashes, inside = words.grams(found, k)
+    hashes, _ = words.grams(found, k)
+    letters = np.concatenate([np.zeros(1, np.int64), np.cumsum(found.end - found.start)])
+
+    def numbered(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        rank = (255 - np.minimum(sizes, 255)).astype(np.uint64)
+        return (rank << np.uint64(56)) | (values >> np.uint64(8))
+
+    tokens = numbered(hashes, letters[k:] - letters[:-k]) if len(hashes) else hashes
     sets = []
-    for first, last in zip(found.first[:-1], found.first[1:], strict=True):
+    for first, last in zip(found.first[:-1].tolist(), found.first[1:].tolist(), strict=True):
         if 0 < last - first < k:
-            short = words.grams(words.Words(found.data, found.hash[first:last], found.start[first:last], found.end[first:last], np.array([0, last - first])), int(last - first))
-            sets.append(words.mix(short[0] + np.uint64(last - first)))
+            whole = (found.hash[first:last] * words.powers(last - first)).sum(dtype=np.uint64, keepdims=True)
+            sets.append(numbered(words.mix(whole + np.uint64(last - first)), letters[last : last + 1] - letters[first]))
         else:
-            sets.append(np.unique(hashes[first : max(first, last - k + 1)]))
+            sets.append(np.unique(tokens[first : max(first, last - k + 1)]))
     return sets
 
 
@@ -93,13 +119,21 @@ def class_of(tokens: np.ndarray) -> tuple[np.int64, np.int64]:
 def bitmap(tokens: np.ndarray) -> bytes:
     """Bits of the tokens, in a power of two of bits that follows the size of the set."""
     width = 64
-    while width < min(2 * len(tokens), MAX_BITS):
+    while width < min(4 * len(tokens), MAX_BITS):
         width *= 2
     bits = np.zeros(width, dtype=bool)
     bits[(tokens >> np.uint64(40)).astype(np.int64) & (width - 1)] = True
     return np.packbits(bits, bitorder="little").tobytes()
 
 
+def sketch(tokens: np.ndarray) -> list[int]:
+    """The least hashes of the set, mixed anew so that they don't follow the order of the prefixes."""
+    mixed = words.mix(tokens)
+    if len(mixed) > LEAST:
+        mixed = np.partition(mixed, LEAST)[:LEAST]
+    return words.signed(np.sort(mixed)).tolist()
+
+
 def profiles(docs: DataFrame, rule: Rule) -> DataFrame:
     """A row for each document, and rows (doc_id null) of shingles that are frequent in a task."""
     kind = arrow_type(PROFILE)
@@ -113,7 +147,7 @@ def profiles(docs: DataFrame, rule: Rule) -> DataFrame:
                     rows.append({"doc_id": doc_id, "n": 0})
                     continue
                 cls, check = class_of(tokens)
-                least = tokens[:LEAST].view(np.int64).tolist()
+                least = sketch(tokens)
                 rows.append({"doc_id": doc_id, "n": len(tokens), "cls": int(cls), "check": int(check), "least": least, "bits": bitmap(tokens)})
                 if int(cls) not in seen:
                     seen.add(int(cls))
@@ -128,32 +162,69 @@ def profiles(docs: DataFrame, rule: Rule) -> DataFrame:
     return docs.mapInArrow(run, PROFILE)
 
 
-def prefixes(docs: DataFrame, rule: Rule, frequent: np.ndarray) -> DataFrame:
-    """(token, cls): the prefix of each class, frequent shingles last in the order."""
-    kind = arrow_type(PREFIX)
+def shared_prefixes(docs: DataFrame, rule: Rule, frequent: np.ndarray, total: int) -> DataFrame:
+    """(token, cls): prefix shingles that at least two classes have; ``total`` of them set the number of buckets.
+
+    Tasks pass on packed arrays instead of a row a shingle. A shingle goes to the bucket that its hash names,
+    where 32 more bits of the hash tell shingles apart; should two agree in all, that adds a candidate.
+    """
+    buckets = 1
+    while buckets * BUCKET < total:
+        buckets *= 2
+    packed_kind, kind = arrow_type(PACKED), arrow_type(SHARED)
+
+    def pack(parts: list[np.ndarray], classes: list[int]) -> pa.RecordBatch:
+        token = words.mix(np.concatenate(parts))
+        cls = np.repeat(np.array(classes, np.int64), [len(p) for p in parts])
+        bucket = (token & np.uint64(buckets - 1)).astype(np.int64)
+        order = np.lexsort((cls, bucket))
+        bucket, cls, token = bucket[order], cls[order], (token[order] >> np.uint64(32)).astype(np.uint32)
+        new = np.append(True, (bucket[1:] != bucket[:-1]) | (cls[1:] != cls[:-1]))
+        first = np.flatnonzero(new)
+        counts = np.diff(np.append(first, len(cls))).astype(np.uint32)
+        rows, ends = [], np.append(np.flatnonzero(np.append(True, np.diff(bucket[first]) != 0)), len(first))
+        for x, y in zip(ends[:-1], ends[1:], strict=True):
+            low, high = first[x], first[y] if y < len(first) else len(cls)
+            rows.append((int(bucket[low]), cls[first[x:y]].tobytes(), counts[x:y].tobytes(), token[low:high].tobytes()))
+        return pa.RecordBatch.from_pylist([dict(zip(PACKED.names, r, strict=True)) for r in rows], schema=packed_kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        parts: list[np.ndarray] = []
+        classes: list[int] = []
+        held = 0
         for part in slices(batches, "text"):
-            tokens_, classes = [], []
             for tokens in shingle_sets(part.column("text"), rule.shingle):
-                if not len(tokens):
-                    continue
-                cls = int(class_of(tokens)[0])
-                if cls in seen:
+                if not len(tokens) or (cls := int(class_of(tokens)[0])) in seen:
                     continue
                 seen.add(cls)
                 length = rule.prefix(len(tokens))
                 if len(frequent):
                     often = frequent[np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)] == tokens
                     tokens = np.concatenate([tokens[~often], tokens[often]])
-                tokens_.append(tokens[:length])
-                classes.append(np.full(length, cls, np.int64))
-            if tokens_:
-                flat = [pa.array(words.signed(np.concatenate(tokens_))), pa.array(np.concatenate(classes))]
-                yield pa.RecordBatch.from_arrays(flat, schema=kind)
-
-    return docs.select("text").mapInArrow(run, PREFIX)
+                parts.append(tokens[:length].copy())
+                classes.append(cls)
+                held += length
+            if held > FLUSH:
+                yield pack(parts, classes)
+                parts, classes, held = [], [], 0
+        if held:
+            yield pack(parts, classes)
+
+    def meet(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = pa.Table.from_batches(list(batches))
+        get = lambda name, kind: np.concatenate([np.frombuffer(b, kind) for b in found.column(name).to_pylist()])
+        cls, token = np.repeat(get("classes", np.int64), get("counts", np.uint32)), get("tokens", np.uint32)
+        order = np.lexsort((cls, token))
+        cls, token = cls[order], token[order]
+        new = np.append(True, (token[1:] != token[:-1]) | (cls[1:] != cls[:-1]))
+        cls, token = cls[new], token[new].astype(np.int64)
+        same = token[1:] == token[:-1]
+        several = np.append(same, False) | np.append(False, same)
+        named = (key[0].as_py() << 32) | token[several]
+        yield pa.RecordBatch.from_arrays([pa.array(named), pa.array(cls[several])], schema=kind)
+
+    return docs.select("text").mapInArrow(run, PACKED).groupBy("bucket").applyInArrow(meet, SHARED)
 
 
 class Tree:
@@ -251,103 +322,136 @@ def candidates(members: DataFrame, rule: Rule) -> DataFrame:
     return ordered.mapInArrow(run, PAIRS).distinct()
 
 
-def blocks(members: DataFrame) -> DataFrame:
+def blocks(groups: DataFrame) -> DataFrame:
     """Cuts groups beyond ``GROUP`` members; each member goes to every task its block takes part in."""
-    parts = members.groupBy("token").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts"))
+    parts = F.ceil(F.col("size") / GROUP).cast("int")
     own = F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    spread = members.join(parts, "token").withColumn("side", own).select("*", other)
-    return spread.withColumns({"i": F.least("side", "other"), "j": F.greatest("side", "other")}).drop("other", "parts")
+    spread = groups.withColumn("parts", parts).withColumn("side", own)
+    spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return spread.withColumns({"i": F.least("side", "other"), "j": F.greatest("side", "other")}).drop("other", "parts", "size")
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
-    """(cls, tokens) of the wanted classes (doc_id, cls), from one document of each."""
-    kind = arrow_type(SETS)
+def fetched(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
+    """(cls, text) of the wanted classes (doc_id, cls), from one document of each."""
+    kind = arrow_type(FETCHED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            found, own = [], []
-            for cls, tokens in zip(part.column("cls").to_pylist(), shingle_sets(part.column("text"), rule.shingle), strict=True):
-                if len(tokens) and int(class_of(tokens)[0]) == cls:
-                    found.append(cls)
-                    own.append(words.signed(tokens))
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(own, kind.field("tokens").type)], schema=kind)
+            sets = shingle_sets(part.column("text"), rule.shingle)
+            pairs = zip(part.column("cls").to_pylist(), sets, strict=True)
+            own = pa.array([len(s) > 0 and int(class_of(s)[0]) == c for c, s in pairs], pa.bool_())
+            yield pa.RecordBatch.from_arrays([part.column(c).filter(own) for c in FETCHED.names], schema=kind)
 
-    return docs.join(wanted, "doc_id").select("cls", "text").mapInArrow(run, SETS).dropDuplicates(["cls"])
+    return docs.join(wanted, "doc_id").select("cls", "text").mapInArrow(run, FETCHED).dropDuplicates(["cls"])
 
 
-def linked(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+def linked(pairs: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
     """Those of the pairs (a, b) whose sets overlap enough; an exact count of common shingles."""
     kind = arrow_type(PAIRS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            one, two = batch.column("one"), batch.column("two")
+        for part in slices(batches, "one", 500_000):
             keep = []
-            for i in range(batch.num_rows):
-                x, y = one[i].values.to_numpy(), two[i].values.to_numpy()
-                common = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
+            ones, twos = (shingle_sets(part.column(c), rule.shingle) for c in ("one", "two"))
+            for x, y in zip(ones, twos, strict=True):
+                common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * common >= rule.percent * (len(x) + len(y) - common))
             mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], schema=kind)
+            yield pa.RecordBatch.from_arrays([part.column(c).filter(mask) for c in PAIRS.names], schema=kind)
 
-    left = sets.select(F.col("cls").alias("a"), F.col("tokens").alias("one"))
-    right = sets.select(F.col("cls").alias("b"), F.col("tokens").alias("two"))
+    left = found.select(F.col("cls").alias("a"), F.col("text").alias("one"))
+    right = found.select(F.col("cls").alias("b"), F.col("text").alias("two"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "one", "two").mapInArrow(run, PAIRS)
 
 
 def near(classes: DataFrame, rule: Rule) -> DataFrame:
-    """A few pairs a class: with the least class and the next one in size that share a least shingle."""
-    met = classes.select("cls", "n", F.explode("least").alias("token"))
-    centre = met.groupBy("token").agg(F.min(F.struct("cls", "n")).alias("c"))
-    fits = (100 * F.least("n", "m") >= rule.percent * F.greatest("n", "m")) & (F.col("cls") != F.col("other"))
-    hub = met.join(centre, "token").select("cls", "n", F.col("c.cls").alias("other"), F.col("c.n").alias("m"))
-    order = Window.partitionBy("token").orderBy("n", "cls")
-    chain = met.select("cls", "n", F.lag("cls").over(order).alias("other"), F.lag("n").over(order).alias("m"))
-    return hub.unionByName(chain).filter(fits).select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct()
+    """A few pairs a class: with the smallest and the next smaller class of those with alike sketches."""
+    band = F.floor(F.log("n") / F.log(F.lit(BAND)))
+    met = classes.select("cls", "n", "least", band.alias("band"), F.explode(F.slice("least", 1, MEET)).alias("token"))
+    order = Window.partitionBy("token", "band").orderBy("n", "cls")
+    own = F.struct("cls", "n", "least")
+    placed = met.withColumns({"hub": F.first(own).over(order), "last": F.lag(own).over(order)})
+    beside = placed.select("cls", "n", "least", F.explode(F.array("hub", "last")).alias("other"))
+    fits = (
+        (F.col("cls") != F.col("other.cls"))
+        & (100 * F.least("n", "other.n") >= rule.percent * F.greatest("n", "other.n"))
+        & (F.size(F.array_intersect("least", "other.least")) >= F.least(F.lit(ALIKE), F.size("least")))
+    )
+    return beside.filter(fits).select(F.least("cls", "other.cls").alias("a"), F.greatest("cls", "other.cls").alias("b")).distinct()
 
 
 def join(docs: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    found = written(profiles(rows, rule), "profiles")
-    documents = found.filter("n IS NOT NULL").select("doc_id", "n", "cls", "check", "least", "bits")
+    profile = written(profiles(rows, rule), "profiles")
+    documents = profile.filter("n IS NOT NULL")
     sound = F.assert_true(F.min("check") == F.max("check"), F.lit("two sets share a digest"))
     classes = written(
         documents.filter("doc_id IS NOT NULL AND n > 0")
         .groupBy("cls")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("least").alias("least"), F.first("bits").alias("bits"), sound.alias("sound"))
+        .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("least").alias("least"), sound.alias("sound"))
         .drop("sound"),
         "classes",
     )
-    frequent = found.filter("frequent IS NOT NULL").groupBy("frequent").agg(F.sum("times").alias("times"))
-    top = frequent.orderBy(F.desc("times"), "frequent").limit(FREQUENT).collect()
+    top = (
+        profile.filter("frequent IS NOT NULL")
+        .groupBy("frequent")
+        .agg(F.sum("times").alias("times"))
+        .orderBy(F.desc("times"), "frequent")
+        .limit(FREQUENT)
+        .collect()
+    )
     often = np.sort(np.array([r["frequent"] for r in top], dtype=np.int64).view(np.uint64))
+    total = classes.agg(F.sum("n")).first()[0] or 0
 
-    def sets_for(pairs: DataFrame) -> DataFrame:
-        used = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
-        return written(sets_of(rows, classes.select("cls", "doc_id").join(used, "cls"), rule), "sets")
+    def compared(pairs: DataFrame) -> DataFrame:
+        used = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+        wanted = written(classes.select("cls", "doc_id").join(used, "cls"), "wanted")
+        return written(linked(pairs, written(fetched(rows, wanted, rule), "fetched"), rule), "links")
 
-    pairs = written(near(classes, rule), "near")
-    links = written(linked(pairs, sets_for(pairs), rule), "links")
+    first = compared(written(near(classes, rule), "near"))
+    links = first
+    placed = shared_prefixes(rows.filter("doc_id IS NOT NULL"), rule, often, total * (100 - rule.percent) // 100)
+    placed = written(placed, "placed")
     connected = written(components(links), "connected")
 
-    shared = prefixes(rows.filter("doc_id IS NOT NULL"), rule, often)
-    order = Window.partitionBy("token").orderBy("cls")
-    beside = [(F.lag("cls").over(order) != F.col("cls")), (F.lead("cls").over(order) != F.col("cls"))]
-    several = shared.withColumns({"p": beside[0], "q": beside[1]}).filter("p OR q").select("token", "cls").distinct()
-    placed = several.join(connected.withColumnRenamed("v", "cls"), "cls", "left").select("token", "cls", F.coalesce("least", "cls").alias("comp"))
-    placed = written(placed, "placed")
-    mixed = placed.groupBy("token").agg(F.min("comp").alias("p"), F.max("comp").alias("q")).filter("p <> q").select("token")
-    members = placed.join(mixed, "token").join(classes.select("cls", "n", "bits"), "cls")
-    left = written(candidates(blocks(members), rule), "candidates")
-    more = written(linked(left, sets_for(left), rule), "links")
+    left = written(candidates(members(placed, connected, classes, documents), rule), "candidates")
+    # one pair of each two components, then what is still apart
+    sides = with_components(left, connected)
+    one = sides.groupBy("p", "q").agg(F.min(F.struct("a", "b")).alias("pair")).select("pair.*")
+    links = stars(connected).unionByName(compared(written(one, "one")))
+    connected = written(components(links), "connected")
+    rest = with_components(left, connected).join(one, ["a", "b"], "left_anti").select("a", "b")
+    final = components(stars(connected).unionByName(compared(written(rest, "rest"))))
 
-    stars = connected.select(F.col("v").alias("a"), F.col("least").alias("b"))
-    final = components(stars.unionByName(more))
     named = classes.select("cls", "doc_id").join(final.withColumnRenamed("v", "cls"), "cls", "left")
     named = named.select("cls", "doc_id", F.coalesce("least", "cls").alias("comp"))
     smallest = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     labelled = named.join(smallest, "comp").select("cls", "component_id")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return documents.join(labelled, "cls", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
+    joined = documents.select("doc_id", "n", "cls").join(labelled, "cls", "left")
+    return joined.select("doc_id", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
+
+
+def stars(connected: DataFrame) -> DataFrame:
+    return connected.select(F.col("v").alias("a"), F.col("least").alias("b"))
+
+
+def with_components(pairs: DataFrame, connected: DataFrame) -> DataFrame:
+    """Pairs of different components, with the two components in order."""
+    one = connected.select(F.col("v").alias("a"), F.col("least").alias("ca"))
+    two = connected.select(F.col("v").alias("b"), F.col("least").alias("cb"))
+    both = pairs.join(one, "a", "left").join(two, "b", "left")
+    ca, cb = F.coalesce("ca", "a"), F.coalesce("cb", "b")
+    return both.select("a", "b", F.least(ca, cb).alias("p"), F.greatest(ca, cb).alias("q")).filter("p <> q")
+
+
+def members(placed: DataFrame, connected: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
+    """Classes that share a prefix shingle with one of another component, in groups of bounded size."""
+    named = placed.join(connected.withColumnRenamed("v", "cls"), "cls", "left")
+    named = named.select("token", "cls", F.coalesce("least", "cls").alias("comp"))
+    mixed = named.groupBy("token").agg(F.min("comp").alias("p"), F.max("comp").alias("q"), F.count("*").alias("size"))
+    open_ = written(named.join(mixed.filter("p <> q").select("token", "size"), "token"), "open")
+    used = open_.select("cls").distinct()
+    bits = documents.join(classes.select("cls", "doc_id").join(used, "cls"), ["cls", "doc_id"]).select("cls", "n", "bits")
+    return blocks(open_).join(bits.dropDuplicates(["cls"]), "cls")
