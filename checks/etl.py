@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -70,6 +71,35 @@ def parquet_roundtrip(spark, folder):
     return readers.read_years(spark, path, list(range(1990, 2010))).select(panel.columns)
 
 
+CSV_SQL = """
+SELECT lpad(cast(l_suppkey % 50 AS varchar), 2, '0') AS fipstate, lpad(cast(l_partkey % 999 AS varchar), 3, '0') AS fipscty,
+       cast(l_orderkey AS varchar) AS naics, cast(l_linenumber AS bigint) AS est, cast(l_quantity AS bigint) AS emp,
+       CASE WHEN year(l_shipdate) % 2 = 0 THEN cast(l_quantity AS bigint) * 10 END AS ap, cast(year(l_shipdate) AS integer) AS year
+FROM lineitem
+"""
+
+
+@query("csv_layouts", CSV_SQL)
+def csv_layouts(spark, folder):
+    """Odd and even years are delivered with other columns, orders and cases; each file's header counts."""
+    year = F.year("l_shipdate")
+    rows = P.table(spark, folder, "lineitem").select(
+        F.lpad((F.col("l_suppkey") % 50).cast("string"), 2, "0").alias("fipstate"),
+        F.lpad((F.col("l_partkey") % 999).cast("string"), 3, "0").alias("fipscty"),
+        F.col("l_orderkey").cast("string").alias("naics"),
+        F.col("l_linenumber").cast("long").alias("est"),
+        F.col("l_quantity").cast("long").alias("emp"),
+        (F.col("l_quantity").cast("long") * 10).alias("ap"),
+        year.alias("year"),
+    )
+    path = f"{scratch_folder(spark, 'layouts')}/{uuid.uuid4().hex}"
+    even = rows.filter("year % 2 = 0").select("fipstate", "fipscty", "naics", "emp", "ap", "est", "year")
+    odd = rows.filter("year % 2 = 1").select("EST", "naics", "FIPSTATE", "fipscty", "Emp", "year")
+    for part in (even, odd):
+        part.write.mode("append").option("header", True).partitionBy("year").csv(path)
+    return readers.read_county_industry(spark, path)
+
+
 @query(
     "json_flatten",
     "SELECT event_id, event_type, cast(json_extract(props, '$.k') AS integer) AS k, "

@@ -140,6 +140,29 @@ def distance_band_edges(spark, folder):
     return spatial.distance_band_edges(points, 5.0)
 
 
+@query(
+    "distance_band_neighbours",
+    f"""WITH pts AS (SELECT tract_geoid, latitude, longitude, length(tract_geoid) AS weight FROM ({BIZ_POINTS_SQL})),
+        sites AS (SELECT latitude, longitude, count(*) AS members, sum(weight) AS w FROM pts GROUP BY ALL),
+        near AS (SELECT a.latitude, a.longitude, sum(b.members) AS n, sum(b.w) AS w
+                 FROM sites a JOIN sites b ON abs(a.latitude - b.latitude) < 0.1
+                  AND {P.haversine_sql("a.latitude", "a.longitude", "b.latitude", "b.longitude")} <= 5
+                 GROUP BY ALL)
+        SELECT tract_geoid, cast(weight AS double) AS weight, cast(n - 1 AS bigint) AS neighbours,
+               cast(w - weight AS double) AS weight_band
+        FROM pts JOIN near USING (latitude, longitude)""",
+)
+def distance_band_neighbours(spark, folder):
+    """Neighbours of every point, those at its own place included, and a sum over them."""
+    points = P.directory(spark, folder).select(
+        F.col("business_id").alias("tract_geoid"),
+        F.col("LATITUDE").alias("latitude"),
+        F.col("LONGITUDE").alias("longitude"),
+        F.length("business_id").cast("double").alias("weight"),
+    )
+    return spatial.distance_band_lag(points, 5.0, ["weight"])
+
+
 @query(
     "radius_join",
     f"""SELECT tract_geoid, business_id, round(km, 6) AS distance_km FROM (

@@ -16,7 +16,7 @@ from migrascope.operators.proximity import DIGITS, LOOKUP, located, top_places,
 
 DETAILS = ["business_name", "business_category", "employees", "business_age"]
 CONTACT = ["address", "phone"]
-GRID_SIZES_KM = [100.0 / 2**i for i in range(10)]  # 100 km down to 0.2 km
+GRID_SIZES_KM = [25_600.0 / 2**i for i in range(18)]  # more than half way round the earth down to 0.2 km
 
 
 @dataclass(frozen=True)
@@ -246,17 +246,20 @@ def recommend(
 
 def grid_size(radius: Column) -> Column:
     """Smallest grid that holds the radius, so that many radii share few grids."""
-    return F.coalesce(*[F.when(radius <= size, F.lit(size)) for size in reversed(GRID_SIZES_KM)])
+    fitting = [F.when(radius <= size, F.lit(size)) for size in reversed(GRID_SIZES_KM)]
+    return F.coalesce(*fitting, F.when(radius.isNotNull(), F.lit(GRID_SIZES_KM[0])))
 
 
 def recommend_batch(
     requests: DataFrame,
     businesses: DataFrame,
     tastes: Tastes | None = None,
-    max_k: int = 50,
     **limits,
 ) -> DataFrame:
-    """``recommend`` for a table of valid requests at once (see ``serving.validate_*``)."""
+    """``recommend`` for a table of valid requests at once (see ``serving.validate_*``).
+
+    Any radius and any number of recommendations is answered in full.
+    """
     tastes = tastes or Tastes()
     spots = requests.select(
         "request_id",
@@ -269,10 +272,11 @@ def recommend_batch(
         F.col("max_distance").alias("radius_km"),
         F.col("max_recommendations").alias("k"),
     )
-    used = spots.select("grid_km", "taste").filter("grid_km IS NOT NULL").distinct().collect()
+    known_radius = spots.filter("grid_km IS NOT NULL")
+    used = known_radius.groupBy("grid_km", "taste").agg(F.max("k").alias("k")).collect()
     sizes = sorted({r.grid_km for r in used})  # at most the grid sizes times the tastes
     places = tasted_places(businesses, tastes, sorted({r.taste for r in used}))
-    best = top_places(spots, places, sizes, max_k, **limits)
+    best = top_places(known_radius, places, sizes, max((r.k or 0 for r in used), default=0), **limits)
 
     def known(column: str) -> Column:
         return F.col(column) if column in best.columns else F.lit(None)

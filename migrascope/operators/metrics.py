@@ -45,7 +45,7 @@ def brier_score(df: DataFrame, label: str, prob: str, groups: list[str] | None =
 
 
 def _class_totals(
-    df: DataFrame, label: str, prob: str, groups: list[str] | None, range_rows: int
+    df: DataFrame, label: str, prob: str, groups: list[str] | None, range_rows: int | None
 ) -> DataFrame:
     """Positives and negatives at and below every distinct score."""
     counts = {
@@ -57,7 +57,7 @@ def _class_totals(
 
 
 def roc_auc(
-    df: DataFrame, label: str, prob: str, groups: list[str] | None = None, range_rows: int = RANGE_ROWS
+    df: DataFrame, label: str, prob: str, groups: list[str] | None = None, range_rows: int | None = RANGE_ROWS
 ) -> DataFrame:
     """Area under the ROC curve: the chance that a positive outranks a negative, ties half."""
     totals = _class_totals(df, label, prob, groups, range_rows)
@@ -75,7 +75,7 @@ def _from_above() -> tuple[Column, Column]:
 
 
 def average_precision(
-    df: DataFrame, label: str, prob: str, groups: list[str] | None = None, range_rows: int = RANGE_ROWS
+    df: DataFrame, label: str, prob: str, groups: list[str] | None = None, range_rows: int | None = RANGE_ROWS
 ) -> DataFrame:
     """Precision at each distinct threshold, weighted by the recall gained there."""
     totals = _class_totals(df, label, prob, groups, range_rows)
@@ -87,7 +87,7 @@ def average_precision(
 
 
 def classification_metrics(
-    df: DataFrame, label: str, prob: str, groups: list[str] | None = None, range_rows: int = RANGE_ROWS
+    df: DataFrame, label: str, prob: str, groups: list[str] | None = None, range_rows: int | None = RANGE_ROWS
 ) -> DataFrame:
     """ROC-AUC, average precision and Brier score out of the same class totals."""
     totals = _class_totals(df, label, prob, groups, range_rows)
@@ -107,7 +107,7 @@ def classification_metrics(
 
 
 def pr_curve(
-    df: DataFrame, label: str, prob: str, groups: list[str] | None = None, range_rows: int = RANGE_ROWS
+    df: DataFrame, label: str, prob: str, groups: list[str] | None = None, range_rows: int | None = RANGE_ROWS
 ) -> DataFrame:
     """Precision and recall at every distinct threshold, plus the end point (1, 0)."""
     totals = _class_totals(df, label, prob, groups, range_rows)
@@ -207,7 +207,7 @@ def bucket_by_cuts(column: Column, cuts: list[float], names: list[str]) -> Colum
 
 
 def quantile_buckets(
-    df: DataFrame, column: str, names: list[str], out: str, range_rows: int = RANGE_ROWS
+    df: DataFrame, column: str, names: list[str], out: str, range_rows: int | None = RANGE_ROWS
 ) -> DataFrame:
     """Equal-frequency buckets; equal values share a bucket, unlike ntile."""
     parts = len(names)

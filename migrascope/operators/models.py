@@ -12,7 +12,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
@@ -56,6 +56,9 @@ REGRESSOR = TreeSettings(trees=1200, learning_rate=0.03, depth=6, min_rows=40)
 CLASSIFIER = TreeSettings(trees=1000, learning_rate=0.05, depth=6, min_rows=50)
 
 
+SHUFFLE_ROWS = 10_000  # rows among which an input is permuted
+
+
 def feature_columns(columns: list[str], business_last: bool = False) -> list[str]:
     """Model inputs among the given columns, each once, in a fixed order.
 
@@ -92,7 +95,7 @@ def regression_frame(labelled: DataFrame, origin: str, horizon: int, inputs: lis
     if target not in labelled.columns:
         raise ValueError(f"no column {target}")
     kept = [c for c in ("tract_geoid", "year", "total_pop") if c not in inputs]
-    frame = labelled.select(*kept, *inputs, F.col(target).alias("target"))
+    frame = labelled.select(*kept, *inputs, F.col(target).alias("target")).filter("target IS NOT NULL")
     return metrics.winsorize(sanitize(frame, inputs), "target")
 
 
@@ -101,14 +104,18 @@ def classification_frame(labelled: DataFrame, origin: str, horizon: int, inputs:
     if target not in labelled.columns:
         raise ValueError(f"no column {target}")
     kept = [c for c in ("tract_geoid", "year", "total_pop") if c not in inputs]
-    label = F.coalesce(F.col(target), F.lit(0)).cast("double").alias("target")
-    return sanitize(labelled.select(*kept, *inputs, label), inputs)
+    label = F.col(target).cast("double").alias("target")
+    return sanitize(labelled.select(*kept, *inputs, label).filter("target IS NOT NULL"), inputs)
+
 
+def with_class_weight(df: DataFrame, label: str = "target", fitted: Column | None = None) -> DataFrame:
+    """Add ``weight``; the two class weights are fetched and written in as literals.
 
-def with_class_weight(df: DataFrame, label: str = "target") -> DataFrame:
-    """Add ``weight``; the two class weights are fetched and written in as literals."""
+    ``fitted`` tells the rows that the weights are balanced over, by default all.
+    """
     weight = F.lit(1.0)
-    for row in fold_ops.balanced_weights(df, label).collect():  # two rows
+    rows = df if fitted is None else df.filter(fitted)
+    for row in fold_ops.balanced_weights(rows, label).collect():  # two rows
         weight = F.when(F.col(label) == row.label, row.weight).otherwise(weight)
     return df.withColumn("weight", weight)
 
@@ -163,8 +170,9 @@ def cross_validate(
     make: Callable[[str], Pipeline],
     evaluate: Callable[[DataFrame], DataFrame],
     folds: int = dims.CV_FOLDS,
+    weighted: bool = False,
 ) -> DataFrame:
-    """Scores per fold. ``frame`` has a ``fold`` column.
+    """Scores per fold. ``frame`` has a ``fold`` column; ``weighted`` balances the classes of each fit.
 
     Each fit sees all rows, with the held-out fold marked as validation: boosting stops when the
     error there no longer falls, and the same fold is then scored.
@@ -172,6 +180,8 @@ def cross_validate(
     scores = None
     for k in range(folds):
         marked = frame.withColumn("held_out", F.col("fold") == k)
+        if weighted:
+            marked = with_class_weight(marked, fitted=~F.col("held_out"))
         model = make("held_out").fit(marked)
         scored = model.transform(marked.filter("held_out"))
         row = evaluate(scored).select(F.lit(k + 1).alias("fold"), "*")
@@ -210,37 +220,39 @@ def permutation_importance(
     model: PipelineModel,
     error: Callable[[], Column],
     key: str,
-    rows: int = dims.ATTRIBUTION_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
-    """Rise of the mean error when one input is shuffled, over a sample of at most ``rows`` rows.
+    """Rise of the mean error when one input is shuffled, over all rows, or a sample of ``rows``.
 
-    The sample carries every input shuffled once: rows are numbered in digest order, and feature
-    f takes the value of the row that is next in another digest order seeded by f. All features
-    are scored in one pass.
+    Rows are dealt to groups of about ``SHUFFLE_ROWS`` by a digest of their key. Within a group each
+    row takes its inputs from the next one in the order of another digest, the last from the first:
+    a random permutation that needs one shuffle. Copies of a row, one per input with that input
+    replaced, are scored where they arise and leave the task as sums only.
     """
     names = model.stages[0].getInputCols()
-    sample = sample_rows(frame, key, rows)
-    numbered = sample.select(
-        "*", F.row_number().over(Window.orderBy(F.md5(F.col(key).cast("string")), key)).alias("rn")
-    )  # one partition of at most `rows` rows
-    feature = F.explode(F.array(*[F.lit(n) for n in ["", *names]])).alias("feature")
-    copies = numbered.select("*", feature)
-    donors = numbered.select(
-        feature,
-        F.col(key).alias("donor_key"),
-        F.create_map(*[x for n in names for x in (F.lit(n), F.col(n))]).alias("donor"),
-    )
-    order = Window.partitionBy("feature").orderBy(F.md5(F.concat("feature", F.lit("|"), F.col("donor_key").cast("string"))))
-    donors = donors.select("feature", F.row_number().over(order).alias("rn"), "donor")
-    shuffled = copies.join(donors, ["feature", "rn"]).select(
+    used = frame if rows is None else sample_rows(frame, key, rows)
+    text = F.col(key).cast("string")
+    groups = max(1, used.count() // SHUFFLE_ROWS)
+    dealt = used.withColumn("__group", F.pmod(F.xxhash64(F.lit("group"), text), F.lit(groups)))
+    order = Window.partitionBy("__group").orderBy(F.md5(text), key)
+    own = F.struct(*names)
+    first = F.first(own).over(order)
+    donor = F.coalesce(F.lead(own).over(order), first)
+    feature = F.explode(F.array(*[F.lit(n) for n in ["", *names]])).alias("__feature")
+    copies = dealt.withColumn("__donor", donor).select("*", feature)
+    shuffled = copies.select(
         *[c for c in frame.columns if c not in names],
-        "feature",
-        *[F.when(F.col("feature") == n, F.col("donor")[n]).otherwise(F.col(n)).alias(n) for n in names],
+        "__feature",
+        *[F.when(F.col("__feature") == n, F.col(f"__donor.{n}")).otherwise(F.col(n)).alias(n) for n in names],
+    )
+    by_feature = model.transform(shuffled).groupBy(F.col("__feature").alias("feature")).agg(
+        F.avg(error()).alias("mean_error")
     )
-    by_feature = model.transform(shuffled).groupBy("feature").agg(F.avg(error()).alias("mean_error"))
-    base = by_feature.filter("feature = ''").first()["mean_error"]
-    return by_feature.filter("feature <> ''").select(
-        "feature", (F.col("mean_error") - F.lit(base)).alias("importance")
+    means = {r["feature"]: r["mean_error"] for r in by_feature.collect()}  # one row per input
+    base = means.pop("", None)
+    return frame.sparkSession.createDataFrame(
+        [(n, None if m is None or base is None else m - base) for n, m in sorted(means.items())],
+        "feature string, importance double",
     )
 
 
@@ -294,7 +306,7 @@ def calibrate(
     members = []
     for k in range(folds):
         held_out = F.col("calibration_fold") == k
-        model = classifier(inputs, settings).fit(folded.filter(~held_out))
+        model = classifier(inputs, settings).fit(with_class_weight(folded.filter(~held_out)))
         scored = model.transform(folded.filter(held_out)).select("target", probability().alias("p"))
         points = scored.groupBy("p").agg(
             F.avg("target").alias("rate"), F.count(F.lit(1)).cast("double").alias("n")
@@ -341,17 +353,17 @@ def train_classifier(
     """Stratified grouped cross-validation, a fit on all rows, and isotonic calibration."""
     ensure_checkpoint_dir(labelled.sparkSession)
     inputs = feature_columns(labelled.columns, business_last=True)
-    frame = with_class_weight(classification_frame(labelled, origin, horizon, inputs))
+    frame = classification_frame(labelled, origin, horizon, inputs)
     rate = frame.agg(F.avg("target")).first()[0]
     if rate is not None and rate < dims.LOW_POSITIVE_RATE:
         log.warning("%s: positive rate %.4f", origin, rate)
     frame = fold_ops.stratified_group_folds(frame, "tract_geoid", "target", folds).persist()
     try:
         scores = cross_validate(
-            frame, lambda held: classifier(inputs, settings, held), evaluate_classification, folds
+            frame, lambda held: classifier(inputs, settings, held), evaluate_classification, folds, weighted=True
         )
         scores = labelled.sparkSession.createDataFrame(scores.collect(), scores.schema)  # one row per fold
-        model = classifier(inputs, settings).fit(frame)
+        model = classifier(inputs, settings).fit(with_class_weight(frame))
         calibrated = calibrate(frame, inputs, settings)
     finally:
         frame.unpersist()
@@ -366,7 +378,28 @@ def score_hotspots(
     clean = sanitize(features.select(*kept, *trained.inputs), trained.inputs)
     scored = trained.calibrated.transform(clean)
     flagged = score_threshold(scored, F.col("hotspot_prob"), threshold)
-    return flagged.withColumn("origin_group", F.lit(trained.origin))
+    return flagged.withColumns({"origin_group": F.lit(trained.origin), "horizon": F.lit(trained.horizon)})
+
+
+def score_all(features: DataFrame, trained: list[TrainedModel], threshold: float = 0.5) -> DataFrame:
+    """``score_hotspots`` of several models, in one pass over the features: a row per model and tract-year."""
+    inputs = list(dict.fromkeys(c for t in trained for c in t.inputs))
+    kept = [c for c in ("tract_geoid", "year") if c not in inputs]
+    out = sanitize(features.select(*kept, *inputs), inputs)
+    own = []
+    for i, t in enumerate(trained):
+        members = range(len(t.calibrated.members))
+        scored = t.calibrated.transform(out).withColumnRenamed("hotspot_prob", f"prob_{i}")
+        out = scored.drop(*(f"{kind}_{k}" for kind in ("raw", "calibrated") for k in members))
+        own.append(
+            F.struct(
+                F.col(f"prob_{i}").alias("hotspot_prob"),
+                F.lit(t.origin).alias("origin_group"),
+                F.lit(t.horizon).alias("horizon"),
+            )
+        )
+    rows = out.select("tract_geoid", "year", F.inline(F.array(*own)))
+    return rows.withColumn("hotspot_pred", values.flag(F.col("hotspot_prob") >= threshold))
 
 
 def score_growth(features: DataFrame, trained: TrainedModel) -> DataFrame:
@@ -382,7 +415,7 @@ def train_all(
     train: Callable[..., TrainedModel],
     origins: list[str] | None = None,
     horizon: int = 2,
-    settings: TreeSettings = CLASSIFIER,
+    settings: TreeSettings | None = None,
     folds: int = dims.CV_FOLDS,
     path: str | None = None,
     concurrent: int = 4,
@@ -394,6 +427,7 @@ def train_all(
     """
     spark = labelled.sparkSession
     names = origins or dims.ORIGINS
+    settings = settings or (REGRESSOR if train is train_regressor else CLASSIFIER)
     cached = labelled.persist()
 
     def one(origin: str) -> tuple[str, TrainedModel | None, str | None]:
@@ -404,7 +438,7 @@ def train_all(
             return origin, trained, None
         except Exception as error:  # recorded in the status table
             log.exception("training failed for %s", origin)
-            return origin, None, f"{type(error).__name__}: {error}"[:500]
+            return origin, None, f"{type(error).__name__}: {error}"
 
     try:
         with ThreadPoolExecutor(concurrent) as pool:
@@ -435,6 +469,17 @@ def load_model(path: str, origin: str, horizon: int) -> PipelineModel:
     return PipelineModel.load(f"{path}/origin={origin}/horizon={horizon}/model")
 
 
+def load_trained(spark: SparkSession, path: str, origin: str, horizon: int) -> TrainedModel:
+    """What ``save_trained`` stored: enough to score and evaluate in another session."""
+    root = f"{path}/origin={origin}/horizon={horizon}"
+    model = load_model(path, origin, horizon)
+    scores = spark.read.parquet(f"{root}/fold_scores")
+    calibrated = None
+    if isinstance(model.stages[-1], GBTClassificationModel):
+        calibrated = CalibratedClassifier.load(f"{root}/calibrated")
+    return TrainedModel(origin, horizon, model, list(model.stages[0].getInputCols()), scores, calibrated)
+
+
 def evaluate_regressor(labelled: DataFrame, trained: TrainedModel) -> dict[str, DataFrame]:
     """Predictions with residuals, metrics, and the error per population quintile."""
     target = growth_label(trained.origin, trained.horizon)

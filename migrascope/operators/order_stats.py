@@ -1,7 +1,7 @@
 """Exact running totals and quantiles over the whole table without a one-task window.
 
 Rows are first summed per distinct value, so a value shared by a third of the table is one row.
-Distinct values are then cut into ranges of similar size. A window runs inside each range, and the
+Distinct values are then range-partitioned and saved once. A window runs inside each range, and the
 totals of the ranges below are added on top.
 """
 
@@ -9,32 +9,27 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGE_ROWS = 250_000  # distinct values one task sorts
-MAX_RANGES = 4096
-SKETCH_ACCURACY = 20_000
+from migrascope.session import ensure_checkpoint_dir
 
 
-def _ranges(distinct: DataFrame, value: str, range_rows: int) -> DataFrame:
-    """Add ``__range``, an order-preserving range number of about ``range_rows`` rows each.
+RANGE_ROWS: int | None = None  # distinct values of a range; None: as many ranges as shuffle partitions
 
-    The cut points (at most ``MAX_RANGES`` numbers) are fetched once, so that every use of the
-    result sees the same ranges.
+
+def _ranges(distinct: DataFrame, value: str, range_rows: int | None) -> DataFrame:
+    """Add ``__range``, an order-preserving number of the range (one Spark partition) of a value.
+
+    The result is saved, so that every use of it sees the same ranges.
     """
-    n = distinct.count()
-    wanted = min(MAX_RANGES, math.ceil(n / range_rows))
-    cuts: list[float] = []
-    if wanted > 1:
-        probs = [i / wanted for i in range(1, wanted)]
-        row = distinct.agg(F.percentile_approx(value, probs, SKETCH_ACCURACY)).first()
-        cuts = sorted({float(c) for c in row[0]})
-    if not cuts:
-        return distinct.withColumn("__range", F.lit(0.0))
-    splits = [-math.inf, *cuts, math.inf]
-    return Bucketizer(splits=splits, inputCol=value, outputCol="__range").transform(distinct)
+    ensure_checkpoint_dir(distinct.sparkSession)
+    if range_rows is None:
+        parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    else:
+        parts = max(1, math.ceil(distinct.count() / range_rows))
+    ranged = distinct.repartitionByRange(parts, value)
+    return ranged.withColumn("__range", F.spark_partition_id()).checkpoint()
 
 
 def running_totals(
@@ -42,7 +37,7 @@ def running_totals(
     value: str,
     sums: dict[str, Column],
     groups: list[str] | None = None,
-    range_rows: int = RANGE_ROWS,
+    range_rows: int | None = RANGE_ROWS,
 ) -> DataFrame:
     """One row per group and distinct value, ascending.
 
@@ -58,7 +53,7 @@ def running_totals(
     totals = ranged.groupBy(*groups, "__range").agg(*[F.sum(n).alias(n) for n in sums])
     lower = Window.partitionBy(*groups).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*groups)
-    offsets = totals.select(  # at most MAX_RANGES rows per group
+    offsets = totals.select(  # a row per range and group
         *groups,
         "__range",
         *[F.coalesce(F.sum(n).over(lower), F.lit(0)).alias(f"__{n}_offset") for n in sums],
@@ -82,7 +77,7 @@ def running_totals(
 
 
 def quantiles(
-    df: DataFrame, column: str, probs: list[float], range_rows: int = RANGE_ROWS
+    df: DataFrame, column: str, probs: list[float], range_rows: int | None = RANGE_ROWS
 ) -> list[float] | None:
     """Exact quantiles with linear interpolation between neighbours; None for an empty column.
 

@@ -26,7 +26,7 @@ from migrascope.session import ensure_checkpoint_dir
 
 DIGITS = 6  # scores and distances are ranked and reported to this many decimals
 FANOUT = 8  # boxes per side when a box is split; a power of two keeps boxes exactly nested
-MAX_LEVEL = 5
+MAX_LEVEL = 12  # boxes are then smaller than the spacing of coordinates: each holds one coordinate
 TIE_SLACK_KM = 2 * 10.0**-DIGITS  # distances this close may round to the same value
 LOOKUP = ["taste", "grid_km", "radius_km", "k", "latitude", "longitude"]
 BOX_KEYS = ["taste", "grid_km", "radius_km", "k"]
@@ -88,10 +88,7 @@ def top_places(
     near = _nearby_cells(lookups)
     sites = _in_grid(_best_per_coordinate(known, max_k), grid_sizes)
     carried = [c for c in sites.columns if c not in ("taste", "grid_km", "band", "cell")]
-    if _heaviest_cell(near, known, grid_sizes, max_k) <= heavy:
-        pairs = near.join(sites, ["taste", "grid_km", "band", "cell"])
-    else:
-        pairs = _pruned_pairs(lookups, near, sites, heavy)
+    pairs = _pruned_pairs(lookups, near, sites, heavy)
     ranked = Window.partitionBy(*LOOKUP).orderBy(F.desc("score"), "distance_km", "place_id")
     # A degree of latitude alone may already be too far; that is cheaper to see than the distance.
     apart = F.radians(F.abs(F.col("place_latitude") - F.col("latitude"))) * EARTH_RADIUS_KM
@@ -125,18 +122,6 @@ def _distance() -> Column:
     )
 
 
-def _heaviest_cell(near: DataFrame, places: DataFrame, grid_sizes: list[float], max_k: int) -> float:
-    """Most pairs of lookups and places in one cell; reads nothing of the places but coordinates."""
-    crowd = places.groupBy("place_latitude", "place_longitude").agg(
-        F.least(F.count(F.lit(1)), F.lit(max_k)).alias("m")
-    )
-    cell = ["grid_km", "band", "cell"]
-    places_in = _in_grid(crowd, grid_sizes).groupBy(*cell).agg(F.sum("m").alias("m"))
-    lookups_in = near.groupBy("taste", *cell).agg(F.count(F.lit(1)).alias("n"))
-    pairs = lookups_in.join(places_in, cell).agg(F.max(F.col("n").cast("double") * F.col("m")))
-    return pairs.first()[0] or 0.0
-
-
 def _best_per_coordinate(places: DataFrame, max_k: int) -> DataFrame:
     """The best ``max_k`` places of each coordinate and taste.
 

@@ -7,8 +7,10 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from migrascope.session import ensure_checkpoint_dir
+
 HEAVY_KEY_PAIRS = 4_000_000  # row pairs of one key that a single task may produce
-MAX_SPLIT_KEYS = 100_000  # size bound of the broadcast table of split keys
+BROADCAST_KEYS = 100_000  # up to so many split keys go to every task; more are joined by key
 
 
 def split_join(
@@ -22,28 +24,30 @@ def split_join(
     """Inner join on ``on``; a key with more than ``heavy`` pairs is cut into blocks.
 
     Each side of such a key is divided by a hash of its id, and every left part meets every right
-    part exactly once. Keys are counted with partial aggregation and the list of split keys holds
-    at most ``MAX_SPLIT_KEYS`` rows, the heaviest first; any further key is joined unsplit.
+    part exactly once. Keys are counted with partial aggregation. The inputs are read for the count and
+    again for the join: pass saved frames where they are dear to compute.
     """
+    ensure_checkpoint_dir(left.sparkSession)
     side = max(1, math.isqrt(heavy))
     counted = left.groupBy(*on).agg(F.count(F.lit(1)).alias("__nl")).join(
         right.groupBy(*on).agg(F.count(F.lit(1)).alias("__nr")), on
     )
     pairs = F.col("__nl").cast("double") * F.col("__nr")
-    parts = (
-        counted.filter(pairs > heavy)
-        .orderBy(pairs.desc())
-        .limit(MAX_SPLIT_KEYS)
-        .select(
-            *on,
-            F.ceil(F.col("__nl") / side).alias("__pl"),
-            F.ceil(F.col("__nr") / side).alias("__pr"),
-        )
+    cut = counted.filter(pairs > heavy).select(
+        *on,
+        F.ceil(F.col("__nl") / side).alias("__pl"),
+        F.ceil(F.col("__nr") / side).alias("__pr"),
     )
+    parts = cut.checkpoint()
+    split_keys = parts.count()
+    if not split_keys:
+        return left.join(right, on)
+    if split_keys <= BROADCAST_KEYS:
+        parts = F.broadcast(parts)
 
     def block(df: DataFrame, row_id: str, own: str, other: str) -> DataFrame:
         own_count, other_count = (F.coalesce(c, F.lit(1)) for c in (f"__p{own}", f"__p{other}"))
-        keyed = df.join(F.broadcast(parts), on, "left").select(
+        keyed = df.join(parts, on, "left").select(
             *df.columns,
             F.pmod(F.xxhash64(row_id), own_count).alias(f"__{own}"),
             F.explode(_upto(other_count)).alias(f"__{other}"),

@@ -9,6 +9,7 @@ from migrascope import dims
 from migrascope.functions import values
 from migrascope.operators.proximity import DIGITS, located, pairs_within
 from migrascope.operators.skew import split_join
+from migrascope.session import ensure_checkpoint_dir
 
 SNAP_DIGITS = 7  # vertices closer than this many decimals are the same corner
 
@@ -16,41 +17,34 @@ SNAP_DIGITS = 7  # vertices closer than this many decimals are the same corner
 def contiguity_edges(geometry: DataFrame, id_col: str = "tract_geoid") -> DataFrame:
     """Edges (src, dst, kind): queen neighbours share a corner, rook neighbours a side.
 
-    Corners and sides are join keys, so no polygon is compared with one it does not touch. A
-    corner used by very many polygons is split over tasks.
+    ``geometry`` has one ring of points per tract (``ring``) or all rings of its parts and holes
+    (``rings``). Corners and sides are join keys, so no polygon is compared with one it does not
+    touch. A corner used by very many polygons is split over tasks.
     """
-    corner = F.transform(
-        "ring",
-        lambda p: F.struct(
-            F.round(p["x"], SNAP_DIGITS).alias("x"), F.round(p["y"], SNAP_DIGITS).alias("y")
-        ),
+    rings = F.col("rings") if "rings" in geometry.columns else F.array("ring")
+    parted = geometry.select(F.col(id_col).alias("id"), F.explode(rings).alias("ring"))
+    rounded = parted.select("id", F.transform("ring", _corner).alias("ring"))
+    sides = F.transform(
+        F.filter(F.sequence(F.lit(0), F.size("ring")), lambda i: i < F.size("ring") - 1),
+        lambda i: F.array_sort(F.array(F.get("ring", i), F.get("ring", i + 1))),
     )
-    rings = geometry.select(F.col(id_col).alias("id"), corner.alias("ring"))
-    corners = rings.select("id", F.explode(F.array_distinct("ring")).alias("part"))
-    sides = rings.select(
-        "id",
-        F.explode(
-            F.array_distinct(
-                F.transform(
-                    F.sequence(F.lit(1), F.size("ring") - 1),
-                    lambda i: F.array_sort(F.array(F.get("ring", i - 1), F.get("ring", i))),
-                )
-            )
-        ).alias("part"),
-    ).filter(F.col("part")[0] != F.col("part")[1])
-    return _sharing(corners, "queen").unionByName(_sharing(sides, "rook"))
-
-
-def _sharing(parts: DataFrame, kind: str) -> DataFrame:
-    """Both directions of every pair of ids that have a part in common."""
-    left = parts.withColumnRenamed("id", "a")
-    right = parts.withColumnRenamed("id", "b")
-    pairs = split_join(left, right, ["part"], "a", "b").filter("a < b").select("a", "b").distinct()
+    corners = F.transform("ring", lambda c: F.struct(F.lit("queen").alias("kind"), F.array(c).alias("part")))
+    sides = F.transform(
+        F.filter(sides, lambda s: s[0] != s[1]), lambda s: F.struct(F.lit("rook").alias("kind"), s.alias("part"))
+    )
+    ensure_checkpoint_dir(geometry.sparkSession)
+    parts = rounded.select("id", F.inline(F.concat(corners, sides))).distinct().checkpoint()
+    left, right = parts.withColumnRenamed("id", "a"), parts.withColumnRenamed("id", "b")
+    met = split_join(left, right, ["kind", "part"], "a", "b").filter("a < b").select("kind", "a", "b").distinct()
     both = F.array(
         F.struct(F.col("a").alias("src"), F.col("b").alias("dst")),
         F.struct(F.col("b").alias("src"), F.col("a").alias("dst")),
     )
-    return pairs.select(F.inline(both)).withColumn("kind", F.lit(kind))
+    return met.select(F.inline(both), "kind")
+
+
+def _corner(point):
+    return F.struct(F.round(point["x"], SNAP_DIGITS).alias("x"), F.round(point["y"], SNAP_DIGITS).alias("y"))
 
 
 def point_sites(points: DataFrame, id_col: str = "tract_geoid") -> DataFrame:
@@ -66,6 +60,7 @@ def distance_band_edges(
     """Edges (src, dst, dst_members, distance_km) between distinct sites in the distance band.
 
     Points at the same coordinates are one site, so a crowd at one place adds no pairs.
+    ``distance_band_lag`` gives each point its neighbours, those at its own place included.
     """
     sites = point_sites(points, id_col)
     left = sites.select(F.col("site").alias("src"), "latitude", "longitude")
@@ -79,6 +74,52 @@ def distance_band_edges(
     return pairs.select("src", "dst", "dst_members", F.round("distance_km", DIGITS).alias("distance_km"))
 
 
+def distance_band_lag(
+    points: DataFrame,
+    radius_km: float = dims.DISTANCE_BAND_KM,
+    variables: list[str] | None = None,
+    id_col: str = "tract_geoid",
+) -> DataFrame:
+    """Per point: ``neighbours`` in the distance band and, as ``{variable}_band``, the sum over them.
+
+    Points at the same coordinates are neighbours too. Points are summed per coordinate, the sums
+    go over pairs of coordinates, and each point takes its own share out again, so a crowd at one
+    place costs a row, not its square. A point without coordinates has no neighbours.
+    """
+    variables = variables or []
+    known = {v: F.coalesce(F.col(v).cast("double"), F.lit(0.0)) for v in variables}
+    ensure_checkpoint_dir(points.sparkSession)
+    sites = (
+        located(points)
+        .groupBy("latitude", "longitude")
+        .agg(
+            F.count(F.lit(1)).alias("members"),
+            *[F.sum(c).alias(f"__{v}") for v, c in known.items()],
+        )
+        .checkpoint()
+    )
+    site = F.struct("latitude", "longitude")
+    left = sites.select("latitude", "longitude", site.alias("src"))
+    right = sites.select(
+        F.col("latitude").alias("place_latitude"),
+        F.col("longitude").alias("place_longitude"),
+        site.alias("dst"),
+        "members",
+        *[f"__{v}" for v in variables],
+    )
+    pairs = pairs_within(left, right, radius_km, "src", "dst")
+    sums = pairs.groupBy("latitude", "longitude").agg(
+        F.sum("members").alias("__n"), *[F.sum(f"__{v}").alias(f"__{v}") for v in variables]
+    )
+    joined = points.join(sums, ["latitude", "longitude"], "left")
+    own = [
+        F.coalesce(F.col(f"__{v}") - c, F.lit(0.0)).alias(f"{v}_band") for v, c in known.items()
+    ]
+    return joined.select(
+        id_col, *variables, F.coalesce(F.col("__n") - 1, F.lit(0)).alias("neighbours"), *own
+    )
+
+
 def lag_names(variable: str, origins: list[str]) -> dict[str, str]:
     """Output columns of a variable and the kind of neighbour each is taken over."""
     names = {f"{variable}_lag_queen": "queen", f"{variable}_lag_rook": "rook"}

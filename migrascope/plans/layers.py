@@ -103,23 +103,37 @@ def run_modeling(
 
 
 def run_scoring(features: DataFrame, trained: dict[str, models.TrainedModel], out: str) -> None:
-    """Hotspot scores of all trained origin groups, one folder per group."""
-    for model in trained.values():
-        writers.write_by_origin(models.score_hotspots(features, model), f"{out}/hotspot_scores")
+    """Hotspot scores of all trained origin groups in one pass, one folder per group and horizon."""
+    if trained:
+        writers.write_scores(models.score_all(features, list(trained.values())), f"{out}/hotspot_scores")
+
+
+def run_stored_scoring(
+    spark: SparkSession, out: str, path: str, horizon: int = 2, origins: list[str] | None = None
+) -> None:
+    """Scores the stored features with stored classifiers, as a session of its own would."""
+    features = readers.read_table(spark, f"{out}/features")
+    names = origins or dims.ORIGINS
+    trained = {o: models.load_trained(spark, f"{path}/classification", o, horizon) for o in names}
+    run_scoring(features, trained, out)
 
 
 def run_matching(
     spark: SparkSession, out: str, centroids: DataFrame, tastes: Tastes | None = None,
-    year: int | None = None, **options,
+    year: int | None = None, horizon: int = 2, **options,
 ) -> DataFrame:
-    """Match the stored scores of one year (the latest by default) with the stored businesses."""
+    """Match the stored scores of one year (the latest by default) and horizon with the stored businesses.
+
+    The stored matches are replaced as a whole.
+    """
     scores = readers.read_table(spark, f"{out}/hotspot_scores")
+    scores = scores.filter(scores.horizon == horizon)
     if year is None:
         year = scores.agg({"year": "max"}).first()[0]
     points = centroids.select("tract_geoid", "latitude", "longitude")
     hotspots = scores.filter(scores.year == year).join(points, "tract_geoid")
     businesses = readers.read_table(spark, f"{out}/businesses")
-    writers.write_by_origin(matching.match_hotspots(hotspots, businesses, tastes, **options), f"{out}/matches")
+    writers.write_matches(matching.match_hotspots(hotspots, businesses, tastes, **options), f"{out}/matches")
     return readers.read_table(spark, f"{out}/matches")
 
 
@@ -128,7 +142,7 @@ def run_inference(
     horizon: int = 2, tastes: Tastes | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Top hotspots of an origin group and the best businesses around one place."""
-    scores = readers.read_hotspot_scores(spark, f"{out}/hotspot_scores", origin, centroids)
+    scores = readers.read_hotspot_scores(spark, f"{out}/hotspot_scores", origin, centroids, horizon)
     latest = scores.agg({"year": "max"}).first()[0]
     scores = scores.filter(scores.year == latest)
     businesses = readers.read_table(spark, f"{out}/businesses")

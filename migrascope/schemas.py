@@ -33,10 +33,11 @@ FEATURE = struct(attributes=struct(**{f: STRING for f in dims.DIRECTORY_FIELDS})
 DIRECTORY_JSON = struct(features=T.ArrayType(FEATURE))
 
 TRACT_GEOMETRY = struct(tract_geoid=STRING, ring=T.ArrayType(POINT))
+TRACT_PARTS = struct(tract_geoid=STRING, rings=T.ArrayType(T.ArrayType(POINT)))
 EDGES = struct(src=STRING, dst=STRING, kind=STRING)
 
 HOTSPOT_SCORES = struct(
-    tract_geoid=STRING, year=INT, origin_group=STRING, hotspot_prob=DOUBLE, hotspot_pred=INT
+    tract_geoid=STRING, year=INT, origin_group=STRING, horizon=INT, hotspot_prob=DOUBLE, hotspot_pred=INT
 )
 
 RECOMMENDATION_REQUESTS = struct(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,8 +22,10 @@ def read_acs(
     fmt: str = "parquet",
 ) -> DataFrame:
     """Raw tract table, optionally only some years and states (by the first two GEOID digits)."""
-    reader = spark.read.schema(schemas.ACS_RAW)
-    df = reader.parquet(path) if fmt == "parquet" else reader.option("header", True).csv(path)
+    if fmt == "parquet":
+        df = spark.read.schema(schemas.ACS_RAW).parquet(path)
+    else:
+        df = typed(read_delimited(spark, path), schemas.ACS_RAW)
     if years:
         df = df.filter(F.col("year").isin(years))
     if states:
@@ -38,23 +41,56 @@ def in_states(geoid, states: list[str]):
 def read_county_industry(
     spark: SparkSession, path: str, years: list[int] | None = None, sep: str = ","
 ) -> DataFrame:
-    """Delimited county files in ``year=YYYY`` folders; columns are found by header name.
+    """Delimited county files in ``year=YYYY`` folders; columns are found by each file's own header.
 
     FIPS parts and NAICS stay text so that leading zeros survive.
     """
-    raw = spark.read.option("header", True).option("sep", sep).csv(path)
-    names = {c.lower(): c for c in raw.columns}
-    fields = [f for f in schemas.CBP_RAW.fields if f.name in names]
+    raw = read_delimited(spark, path, sep)
+    fields = [f for f in schemas.CBP_RAW.fields if f.name in raw.columns]
     missing = {"fipstate", "fipscty", "naics", "est"} - {f.name for f in fields}
     if missing:
         raise ValueError(f"columns missing in {path}: {sorted(missing)}")
-    columns = [F.col(names[f.name]).try_cast(f.dataType.simpleString()).alias(f.name) for f in fields]
-    if "year" in names:
-        columns.append(F.col(names["year"]).cast("int").alias("year"))
+    columns = [F.col(f.name).try_cast(f.dataType.simpleString()).alias(f.name) for f in fields]
+    if "year" in raw.columns:
+        columns.append(F.col("year").cast("int").alias("year"))
     df = raw.select(*columns)
     return df.filter(F.col("year").isin(years)) if years else df
 
 
+def read_delimited(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """Text columns of delimited files, named in lower case by each file's own header.
+
+    Layouts change between deliveries. Files with the same header are one scan, and the scans are
+    put together by name; a column that a file does not have is NULL for it. Only the headers are
+    read while the plan is built, a line of each file.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for row in files.sort("path").collect():  # one short row per delivered file
+        header = spark.read.option("header", True).option("sep", sep).csv(row.path).columns
+        layouts.setdefault(tuple(header), []).append(row.path)
+    frames = []
+    for paths in layouts.values():
+        reader = spark.read.option("header", True).option("sep", sep).option("basePath", path)
+        frame = reader.csv(paths)
+        frames.append(frame.select([F.col(f"`{c}`").cast("string").alias(c.lower()) for c in frame.columns]))
+    if not frames:
+        raise FileNotFoundError(f"no files in {path}")
+    return concat_years(frames)
+
+
+def typed(df: DataFrame, schema) -> DataFrame:
+    """Text columns as the types of a schema, in its order; an absent column is NULL."""
+    return df.select(
+        *[
+            (F.col(f.name.lower()) if f.name.lower() in df.columns else F.lit(None))
+            .try_cast(f.dataType.simpleString())
+            .alias(f.name)
+            for f in schema.fields
+        ]
+    )
+
+
 def read_business_directory(spark: SparkSession, path: str, state: str | None = None) -> DataFrame:
     """JSON responses ``{features: [{attributes, geometry}]}``, one row per feature."""
     pages = spark.read.schema(schemas.DIRECTORY_JSON).option("multiLine", True).json(path)
@@ -79,14 +115,21 @@ def flatten_directory(pages: DataFrame, state: str | None = None) -> DataFrame:
 
 
 def read_years(
-    spark: SparkSession, root: str, years: list[int], required: bool = True
+    spark: SparkSession, root: str, years: list[int], required: bool = True,
+    schema: str = "county_fips string, year int",
 ) -> DataFrame:
     """Rows of the requested years from a table partitioned by ``year``.
 
     A missing year is reported and skipped. With none found: an error if ``required``, else an
-    empty table with the same columns.
+    empty table with the same columns; an absent layer then is an empty table of ``schema``.
     """
-    df = spark.read.parquet(root).filter(F.col("year").isin(years))
+    try:
+        df = spark.read.parquet(root).filter(F.col("year").isin(years))
+    except AnalysisException as error:
+        if required or error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        log.warning("no table in %s", root)
+        return spark.createDataFrame([], schema)
     found = {row.year for row in df.select("year").distinct().collect()}  # at most len(years) rows
     for year in sorted(set(years) - found):
         log.warning("no rows for year %s in %s", year, root)
@@ -108,8 +151,11 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_hotspot_scores(spark: SparkSession, path: str, origin_group: str, centroids: DataFrame) -> DataFrame:
-    """Stored scores of one origin group (pruned by partition) with tract coordinates."""
-    scores = spark.read.parquet(path).filter(F.col("origin_group") == origin_group)
+def read_hotspot_scores(
+    spark: SparkSession, path: str, origin_group: str, centroids: DataFrame, horizon: int = 2
+) -> DataFrame:
+    """Stored scores of one origin group and horizon (pruned by partition) with tract coordinates."""
+    own = (F.col("origin_group") == origin_group) & (F.col("horizon") == horizon)
+    scores = spark.read.parquet(path).filter(own)
     points = centroids.select("tract_geoid", "latitude", "longitude")
     return scores.join(points, "tract_geoid")
