@@ -227,7 +227,9 @@ def normalised(vectors: np.ndarray) -> np.ndarray:
 def index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Shards of ``distinct_vectors`` rows, each with its graph, as stored rows."""
     sizes = vectors.groupBy("dim").agg(F.ceil(F.count("*") / shard_rows).cast("int").alias("shards"))
+    total = sizes.agg(F.sum("shards")).first()[0] or 1
     dealt = vectors.join(sizes, "dim").withColumn("shard", F.pmod("h", F.col("shards")).cast("int"))
+    dealt = dealt.repartition(int(total), "dim", "shard")  # a given number: building is worth a task a shard
     kind = arrow_type(SHARD)
 
     def make(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,6 +309,6 @@ def nearest(
 ) -> DataFrame:
     """Index of all vectors, searched with those that ``is_query`` (over vec_id) picks."""
     rows = usable(vectors, vec_id, vector)
-    shards = written(index(distinct_vectors(rows, k)), "shards")
+    shards = written(index(written(distinct_vectors(rows, k), "vectors")), "shards")
     queries = rows.filter(is_query).dropDuplicates(["vec_id", "v"])
     return search(shards, written(query_blocks(queries), "blocks"), k)
