@@ -73,12 +73,11 @@ def gram_buckets(host: Column, path: Column) -> Column:
 
     def grams(part: str, text: Column, n: int) -> Column:
         letters = F.split(F.concat(F.lit("^"), text, F.lit("$")), "")
-        starts = F.filter(F.sequence(F.lit(0), F.size(letters)), lambda i: i <= F.size(letters) - n)
+        count = F.greatest(F.size(letters) - n + 1, F.lit(0))
+        shifted = [F.slice(letters, F.lit(j + 1), count) for j in range(n)]  # no look-ups by place
         return F.transform(
-            starts,
-            lambda i: F.pmod(
-                F.xxhash64(F.lit(f"{part}{n}"), *(F.get(letters, i + j) for j in range(n))), F.lit(BUCKETS)
-            ).cast("int"),
+            F.arrays_zip(*shifted),
+            lambda g: F.pmod(F.xxhash64(F.lit(f"{part}{n}"), *(g[str(j)] for j in range(n))), F.lit(BUCKETS)).cast("int"),
         )
 
     return F.concat(*(grams(p, t, n) for p, t in (("host", host), ("path", path)) for n in GRAMS))
