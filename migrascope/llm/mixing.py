@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from migrascope.llm.common import fresh, saved
+from migrascope.llm.common import fresh, saved, written
 
 ROUNDS = 40
 TOLERANCE = 1e-6
@@ -123,10 +123,12 @@ def sample(docs: DataFrame, calibrated: DataFrame, margins: list[Margin], doc_id
     """The drawn documents, with ``weight`` (of their cell) and ``probability``."""
     weight, probability = fresh(docs, "weight"), fresh(docs, "probability")
     keys = [F.col(m.column).alias(f"__{i}") for i, m in enumerate(margins)]
-    odds = saved(calibrated.select(*keys, F.col("weight").alias(weight), F.col("probability").alias(probability)))
+    chosen = calibrated.select(*keys, F.col("weight").alias(weight), F.col("probability").alias(probability))
+    odds = written(chosen, "odds")  # a table of known size: Spark broadcasts it if it is small enough
     same = F.lit(True)
     for i, m in enumerate(margins):
         same &= docs[m.column].eqNullSafe(odds[f"__{i}"])
     key = F.when(F.col(doc_id).isNull(), F.xxhash64(*content)).otherwise(F.xxhash64(F.col(doc_id)))
-    joined = docs.join(odds, same).drop(*(f"__{i}" for i in range(len(margins))))
-    return joined.filter(uniform(seed, key) < F.col(probability))
+    draw = fresh(docs, "draw")
+    joined = docs.withColumn(draw, uniform(seed, key)).join(odds, same)
+    return joined.filter(F.col(draw) < F.col(probability)).drop(draw, *(f"__{i}" for i in range(len(margins))))
