@@ -271,7 +271,7 @@ class Tree:
             level -= 1
             size = len(self.levels[level][0])
             inner = np.arange(LEAF)
-            cx = np.repeat(x[:, None] * LEAF + inner, LEAF, axis=1).reshape(len(x), -1).ravel()
+            cx = np.repeat(x[:, None] * LEAF + inner, LEAF, axis=1).ravel()
             cy = np.tile(y[:, None] * LEAF + inner, (1, LEAF)).ravel()
             fine = (cx < size) & (cy < size) & ((cx < cy) if level == 0 else (cx <= cy))
             cx, cy = cx[fine], cy[fine]
@@ -450,8 +450,11 @@ def members(placed: DataFrame, connected: DataFrame, classes: DataFrame, documen
     """Classes that share a prefix shingle with one of another component, in groups of bounded size."""
     named = placed.join(connected.withColumnRenamed("v", "cls"), "cls", "left")
     named = named.select("token", "cls", F.coalesce("least", "cls").alias("comp"))
-    mixed = named.groupBy("token").agg(F.min("comp").alias("p"), F.max("comp").alias("q"), F.count("*").alias("size"))
-    open_ = written(named.join(mixed.filter("p <> q").select("token", "size"), "token"), "open")
+    who = [F.min("cls").alias("low"), F.max("cls").alias("high"), F.bit_xor(F.xxhash64("cls")).alias("all")]
+    groups = named.groupBy("token").agg(F.min("comp").alias("p"), F.max("comp").alias("q"), F.count("*").alias("size"), *who)
+    # shingles that run together are shared by the same classes: one of them is enough
+    once = groups.filter("p <> q").groupBy("size", "low", "high", "all").agg(F.min("token").alias("token"))
+    open_ = written(named.join(once.select("token", "size"), "token"), "open")
     used = open_.select("cls").distinct()
     bits = documents.join(classes.select("cls", "doc_id").join(used, "cls"), ["cls", "doc_id"]).select("cls", "n", "bits")
     return blocks(open_).join(bits.dropDuplicates(["cls"]), "cls")
