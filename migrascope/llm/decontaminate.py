@@ -148,17 +148,20 @@ class Projection:
     place: np.ndarray
     matrix: np.ndarray
 
-    def sums(self, found: words.Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Projected sum, first word and row of each run of ``size`` words."""
+    def taken(self, found: words.Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """First word and row of each run of ``size`` words; run and matrix row of each word that takes part."""
         starts, row, run = runs_of(found, size)
         at = self.place[terms_of(found)]
-        taken = np.flatnonzero(at >= 0)
-        out = np.zeros((len(starts), self.matrix.shape[1]), np.float32)
-        if len(taken):
-            of = run[taken]
+        words_ = np.flatnonzero(at >= 0)
+        return starts, row, run[words_], at[words_]
+
+    def sums(self, runs: int, of: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Projected sum of each run."""
+        out = np.zeros((runs, self.matrix.shape[1]), np.float32)
+        if len(of):
             first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
-            out[of[first]] = np.add.reduceat(self.matrix[at[taken]], first, axis=0)
-        return out, starts, row
+            out[of[first]] = np.add.reduceat(self.matrix[at], first, axis=0)
+        return out
 
 
 def sketch(docs: DataFrame, place: np.ndarray, weighted: np.ndarray) -> np.ndarray:
@@ -170,15 +173,13 @@ def sketch(docs: DataFrame, place: np.ndarray, weighted: np.ndarray) -> np.ndarr
         sums = np.zeros(weighted.shape, dtype=np.float64)
         for part in slices(batches, "text", SLICE):
             found = plain(part.column("text"))
-            projected, _, _ = projection.sums(found, PASSAGE)
-            _, _, passage = runs_of(found, PASSAGE)
-            at = place[terms_of(found)]
-            taken = np.flatnonzero(at >= 0)
-            taken = taken[np.argsort(at[taken], kind="stable")]
-            if len(taken):
-                ordered = at[taken]
+            starts, _, of, at = projection.taken(found, PASSAGE)
+            if len(at):
+                projected = projection.sums(len(starts), of, at)
+                order = np.argsort(at, kind="stable")
+                ordered = at[order]
                 first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-                sums[ordered[first]] += np.add.reduceat(projected[passage[taken]], first, axis=0)
+                sums[ordered[first]] += np.add.reduceat(projected[of[order]], first, axis=0)
         held = np.flatnonzero(sums.any(axis=1))
         rows = sums[held].astype(np.float32)
         offsets = pa.array(np.arange(len(held) + 1) * rows.shape[1], pa.int32())
@@ -269,7 +270,8 @@ class Search:
 
     def windows(self, found: words.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Latent vector, row and first word (in the buffer) of each window."""
-        halves, starts, row = self.latent.sums(found, PASSAGE // 2)
+        starts, row, of, at = self.latent.taken(found, PASSAGE // 2)
+        halves = self.latent.sums(len(starts), of, at)
         if not len(starts):
             return halves, row, starts
         joined = np.append(row[1:] == row[:-1], False)
