@@ -1,19 +1,20 @@
 """N-gram Jaccard join: exact links between documents whose shingle sets overlap enough, as components.
 
 1. Documents with equal sets are one class; everything below handles each class once.
-2. Near copies first: each class is compared with the smallest class and with its neighbour in size among those
-   that share one of its few least hashes and have a like sketch. That links most of what there is, with a few
-   pairs a class.
+2. Families: classes with alike sketches (a few least hashes) are grouped, loosely and cheaply, by ids alone.
+   Each family is settled completely where its texts meet once: a signature tree over its classes, then exact
+   set comparisons of what the tree leaves, skipping what is connected already.
 3. The rest, completely: sets that overlap enough share a shingle within their prefixes (the first
    n - ceil(t n) + 1 of n shingles in one order for all). The order puts long shingles first and frequent
-   ones last. The classes
-   that share a prefix shingle, and are not connected yet, form a signature tree: nodes hold OR-combined
-   token bitmaps, size ranges and least bit counts. The dual traversal drops pairs of nodes whose greatest
-   possible overlap is too small; pairs of classes that are left are compared by their sets.
-
-No set of links is lost: steps 1 and 2 only save work, and the prefix rule of step 3 is exact. A prefix group
-beyond ``GROUP`` members is cut into blocks, every two of which meet in one task of their own, so that memory
-is bounded however frequent a shingle is. The list of frequent shingles is bounded by ``FREQUENT`` and only
+   ones last. Classes of different families that share a prefix shingle meet in signature trees again, and
+   pairs that are left are compared by their sets.
+
+The nodes of a signature tree hold OR-combined token bitmaps, size ranges and least bit counts. The dual
+traversal drops pairs of nodes whose greatest possible overlap is too small, or that are connected.
+
+No set of links is lost: what families miss, the prefix rule of step 3 finds, which is exact. A family or prefix
+group beyond ``GROUP`` members is cut into blocks; blocks of a family are settled alone first, then every two
+that are not wholly connected meet in a task of their own, so that memory is bounded however large it is. The list of frequent shingles is bounded by ``FREQUENT`` and only
 decides the order, never a result.
 
 Defined cases: null text has no words; a document without words has no shingles and no links, one with fewer
@@ -38,13 +39,14 @@ from migrascope.llm.graph import components
 
 LEAST = 8  # least mixed shingle hashes of a class: a sketch of its set
 MEET = 3  # of them that near copies meet on
-ALIKE = 5  # of them that near copies share
-BAND = 1.4  # ratio of sizes that near copies are looked for in
+ALIKE = 4  # of them that members of a family share
+BAND = 1.4  # ratio of sizes that families are looked for in
 FREQUENT = 65_536  # bound of the list of frequent shingles
 FREQUENT_SHARE = 0.005  # of the documents of a task
 BUCKET = 1 << 18  # prefix shingles that one group of a task holds
 FLUSH = 1 << 20  # prefix shingles a task holds before it passes them on
-GROUP = 1024
+GROUP = 1024  # members of a block
+BLOCK_SHINGLES = 1 << 20  # and their shingles
 LEAF = 8
 MAX_BITS = 1 << 16
 
@@ -83,6 +85,10 @@ class Rule:
     def prefix(self, n: int) -> int:
         return n - -(-self.percent * n // 100) + 1
 
+    def links(self, x: np.ndarray, y: np.ndarray) -> bool:
+        common = len(np.intersect1d(x, y, assume_unique=True))
+        return 100 * common >= self.percent * (len(x) + len(y) - common)
+
 
 def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
     """The distinct shingles of each text, A-Z lower-cased, as sorted numbers.
@@ -287,7 +293,7 @@ def _fold(bits: bytes, width: int) -> np.ndarray:
 
 
 def candidates(members: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs of unconnected classes of a token that the tree cannot rule out.
+    """Pairs of classes of different families with a token in common that the tree cannot rule out.
 
     ``members``: (token, i, j, side, cls, n, comp, bits); groups with i < j hold two blocks of a token.
     """
@@ -353,9 +359,7 @@ def linked(pairs: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
         for part in slices(batches, "one", 500_000):
             keep = []
             ones, twos = (shingle_sets(part.column(c), rule.shingle) for c in ("one", "two"))
-            for x, y in zip(ones, twos, strict=True):
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= rule.percent * (len(x) + len(y) - common))
+            keep += [rule.links(x, y) for x, y in zip(ones, twos, strict=True)]
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([part.column(c).filter(mask) for c in PAIRS.names], schema=kind)
 
@@ -364,20 +368,91 @@ def linked(pairs: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "one", "two").mapInArrow(run, PAIRS)
 
 
-def near(classes: DataFrame, rule: Rule) -> DataFrame:
+def near(classes: DataFrame) -> DataFrame:
     """A few pairs a class: with the smallest and the next smaller class of those with alike sketches."""
     band = F.floor(F.log("n") / F.log(F.lit(BAND)))
     met = classes.select("cls", "n", "least", band.alias("band"), F.explode(F.slice("least", 1, MEET)).alias("token"))
     order = Window.partitionBy("token", "band").orderBy("n", "cls")
     own = F.struct("cls", "n", "least")
     placed = met.withColumns({"hub": F.first(own).over(order), "last": F.lag(own).over(order)})
-    beside = placed.select("cls", "n", "least", F.explode(F.array("hub", "last")).alias("other"))
-    fits = (
-        (F.col("cls") != F.col("other.cls"))
-        & (100 * F.least("n", "other.n") >= rule.percent * F.greatest("n", "other.n"))
-        & (F.size(F.array_intersect("least", "other.least")) >= F.least(F.lit(ALIKE), F.size("least")))
-    )
-    return beside.filter(fits).select(F.least("cls", "other.cls").alias("a"), F.greatest("cls", "other.cls").alias("b")).distinct()
+    beside = placed.select("cls", "least", F.explode(F.array("hub", "last")).alias("other"))
+    alike = F.size(F.array_intersect("least", "other.least")) >= F.least(F.lit(ALIKE), F.size("least"))
+    found = beside.filter((F.col("cls") != F.col("other.cls")) & alike)
+    return found.select(F.least("cls", "other.cls").alias("a"), F.greatest("cls", "other.cls").alias("b")).distinct()
+
+
+def settled(rows: DataFrame, rule: Rule) -> DataFrame:
+    """Links (a, b) that connect what can be connected within each group (family, i, j).
+
+    ``rows``: family, i, j, side, cls, n, comp, text. Where i < j, only links between sides are looked for.
+    A link between classes that are connected already is left out.
+    """
+    kind = arrow_type(PAIRS)
+
+    def group(members: list[tuple]) -> list[tuple[int, int]]:
+        cls, n, comp, side = (np.array([m[k] for m in members], dtype=np.int64) for k in range(4))
+        if len(cls) < 2 or comp.min() == comp.max():
+            return []
+        sets = shingle_sets(pa.array([m[4] for m in members], pa.string()), rule.shingle)
+        parent = {c: c for c in comp.tolist()}
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        found = []
+        both = side.min() != side.max()
+        for a, b in zip(*(x.tolist() for x in Tree(n, comp, [bitmap(t) for t in sets]).pairs(rule.percent)), strict=True):
+            if both and side[a] == side[b]:
+                continue
+            x, y = find(int(comp[a])), find(int(comp[b]))
+            if x != y and rule.links(sets[a], sets[b]):
+                parent[max(x, y)] = min(x, y)
+                found.append((int(cls[a]), int(cls[b])))
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, members = None, []
+
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in group(members)], schema=kind)
+
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in ("family", "i", "j")), strict=True)
+            values = zip(*(batch.column(c).to_pylist() for c in ("cls", "n", "comp", "side", "text")), strict=True)
+            for now, value in zip(keys, values, strict=True):
+                if now != key:
+                    yield done()
+                    key, members = now, []
+                members.append(value)
+        yield done()
+
+    ordered = rows.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "cls")
+    return ordered.mapInArrow(run, PAIRS)
+
+
+def family_links(classes: DataFrame, families: DataFrame, rows: DataFrame, rule: Rule) -> DataFrame:
+    """All links within the families (v, least), as far as components need them."""
+    placed = classes.join(families.select(F.col("v").alias("cls"), F.col("least").alias("family")), "cls")
+    wanted = written(placed.select("cls", "doc_id"), "wanted")
+    texts_ = written(fetched(rows, wanted, rule), "fetched")
+    parts = F.ceil(F.greatest(F.count("*") / GROUP, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    sizes = placed.groupBy("family").agg(parts.alias("parts"))
+    side = F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")
+    members_ = written(placed.join(sizes, "family").select("family", "cls", "n", "parts", side.alias("side")), "family")
+    alone = members_.withColumns({"i": F.col("side"), "j": F.col("side"), "comp": F.col("cls")})
+    first = written(settled(alone.join(texts_, "cls"), rule), "links")
+    connected = components(first).withColumnRenamed("v", "cls")
+    open_ = members_.filter("parts > 1").join(connected, "cls", "left").withColumn("comp", F.coalesce("least", "cls"))
+    open_ = written(open_.drop("least", "parts"), "open")
+    ends = open_.groupBy("family", "side").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    one, two = (ends.select("family", *(F.col(c).alias(f"{c}_{k}") for c in ("side", "low", "high"))) for k in "ij")
+    wholly = (F.col("low_i") == F.col("high_i")) & (F.col("low_j") == F.col("high_j")) & (F.col("low_i") == F.col("low_j"))
+    meet = one.join(two, "family").filter("side_i < side_j").filter(~wholly)
+    met = meet.select("family", F.col("side_i").alias("i"), F.col("side_j").alias("j"), F.explode(F.array("side_i", "side_j")).alias("side"))
+    between = settled(open_.join(met, ["family", "side"]).join(texts_, "cls"), rule)
+    return written(first.unionByName(between), "links")
 
 
 def join(docs: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -404,25 +479,14 @@ def join(docs: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str = "text"
     often = np.sort(np.array([r["frequent"] for r in top], dtype=np.int64).view(np.uint64))
     total = classes.agg(F.sum("n")).first()[0] or 0
 
-    def compared(pairs: DataFrame) -> DataFrame:
-        used = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-        wanted = written(classes.select("cls", "doc_id").join(used, "cls"), "wanted")
-        return written(linked(pairs, written(fetched(rows, wanted, rule), "fetched"), rule), "links")
-
-    first = compared(written(near(classes, rule), "near"))
-    links = first
+    families = written(components(near(classes)), "families")
+    links = family_links(classes, families, rows, rule)
     placed = shared_prefixes(rows.filter("doc_id IS NOT NULL"), rule, often, total * (100 - rule.percent) // 100)
-    placed = written(placed, "placed")
-    connected = written(components(links), "connected")
-
-    left = written(candidates(members(placed, connected, classes, documents), rule), "candidates")
-    # one pair of each two components, then what is still apart
-    sides = with_components(left, connected)
-    one = sides.groupBy("p", "q").agg(F.min(F.struct("a", "b")).alias("pair")).select("pair.*")
-    links = stars(connected).unionByName(compared(written(one, "one")))
-    connected = written(components(links), "connected")
-    rest = with_components(left, connected).join(one, ["a", "b"], "left_anti").select("a", "b")
-    final = components(stars(connected).unionByName(compared(written(rest, "rest"))))
+    left = written(candidates(members(written(placed, "placed"), families, classes, documents), rule), "candidates")
+    used = left.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    wanted = written(classes.select("cls", "doc_id").join(used, "cls"), "wanted")
+    more = linked(left, written(fetched(rows, wanted, rule), "fetched"), rule)
+    final = components(links.unionByName(more))
 
     named = classes.select("cls", "doc_id").join(final.withColumnRenamed("v", "cls"), "cls", "left")
     named = named.select("cls", "doc_id", F.coalesce("least", "cls").alias("comp"))
@@ -433,22 +497,9 @@ def join(docs: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str = "text"
     return joined.select("doc_id", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
 
 
-def stars(connected: DataFrame) -> DataFrame:
-    return connected.select(F.col("v").alias("a"), F.col("least").alias("b"))
-
-
-def with_components(pairs: DataFrame, connected: DataFrame) -> DataFrame:
-    """Pairs of different components, with the two components in order."""
-    one = connected.select(F.col("v").alias("a"), F.col("least").alias("ca"))
-    two = connected.select(F.col("v").alias("b"), F.col("least").alias("cb"))
-    both = pairs.join(one, "a", "left").join(two, "b", "left")
-    ca, cb = F.coalesce("ca", "a"), F.coalesce("cb", "b")
-    return both.select("a", "b", F.least(ca, cb).alias("p"), F.greatest(ca, cb).alias("q")).filter("p <> q")
-
-
-def members(placed: DataFrame, connected: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
-    """Classes that share a prefix shingle with one of another component, in groups of bounded size."""
-    named = placed.join(connected.withColumnRenamed("v", "cls"), "cls", "left")
+def members(placed: DataFrame, families: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
+    """Classes that share a prefix shingle with one of another family, in groups of bounded size."""
+    named = placed.join(families.withColumnRenamed("v", "cls"), "cls", "left")
     named = named.select("token", "cls", F.coalesce("least", "cls").alias("comp"))
     who = [F.min("cls").alias("low"), F.max("cls").alias("high"), F.bit_xor(F.xxhash64("cls")).alias("all")]
     groups = named.groupBy("token").agg(F.min("comp").alias("p"), F.max("comp").alias("q"), F.count("*").alias("size"), *who)
