@@ -49,6 +49,7 @@ GROUP = 1024  # members of a block
 BLOCK_SHINGLES = 1 << 20  # and their shingles
 LEAF = 8
 MAX_BITS = 1 << 16
+BITS_EACH = 8  # bits a shingle where sets are at hand; one where bitmaps are shuffled
 
 PROFILE = StructType(
     [
@@ -122,10 +123,10 @@ def class_of(tokens: np.ndarray) -> tuple[np.int64, np.int64]:
     return one.astype(np.int64), two.astype(np.int64)
 
 
-def bitmap(tokens: np.ndarray) -> bytes:
+def bitmap(tokens: np.ndarray, bits_each: int = 1) -> bytes:
     """Bits of the tokens, in a power of two of bits that follows the size of the set."""
     width = 64
-    while width < min(4 * len(tokens), MAX_BITS):
+    while width < min(bits_each * len(tokens), MAX_BITS):
         width *= 2
     bits = np.zeros(width, dtype=bool)
     bits[(tokens >> np.uint64(40)).astype(np.int64) & (width - 1)] = True
@@ -234,7 +235,10 @@ def shared_prefixes(docs: DataFrame, rule: Rule, frequent: np.ndarray, total: in
 
 
 class Tree:
-    """Signature tree of some classes: each level ORs ``LEAF`` nodes of the one below."""
+    """Signature tree of some classes: each level ORs ``LEAF`` nodes of the one below.
+
+    All bitmaps are folded to the least width among them; ``likely_pairs`` keeps like widths together.
+    """
 
     def __init__(self, n: np.ndarray, comp: np.ndarray, bits: list[bytes]) -> None:
         self.order = np.lexsort((comp, n))
@@ -287,6 +291,23 @@ class Tree:
         return (self.order[x], self.order[y]) if len(self.n) > 1 else (np.zeros(0, int), np.zeros(0, int))
 
 
+def likely_pairs(n: np.ndarray, comp: np.ndarray, bits: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the classes that may link: a tree for each width, with the next width folded in.
+
+    Sets that link differ in size by less than a factor of two, and so in width by one step at most.
+    """
+    widths = np.array([len(b) for b in bits])
+    ones, twos = [np.zeros(0, int)], [np.zeros(0, int)]
+    for width in np.unique(widths):
+        own = np.flatnonzero((widths == width) | (widths == 2 * width))
+        x, y = Tree(n[own], comp[own], [bits[i] for i in own]).pairs(percent)
+        x, y = own[x], own[y]
+        least = np.minimum(widths[x], widths[y]) == width
+        ones.append(x[least])
+        twos.append(y[least])
+    return np.concatenate(ones), np.concatenate(twos)
+
+
 def _fold(bits: bytes, width: int) -> np.ndarray:
     """The bitmap in ``width`` bytes: bits that fall together are ORed."""
     return np.bitwise_or.reduce(np.frombuffer(bits, np.uint8).reshape(-1, width), axis=0)
@@ -303,7 +324,7 @@ def candidates(members: DataFrame, rule: Rule) -> DataFrame:
         cls, n, comp, side = (np.array([r[k] for r in rows], dtype=np.int64) for k in (0, 1, 2, 4))
         if len(cls) < 2 or comp.min() == comp.max():
             return None
-        a, b = Tree(n, comp, [r[3] for r in rows]).pairs(rule.percent)
+        a, b = likely_pairs(n, comp, [r[3] for r in rows], rule.percent)
         fine = (comp[a] != comp[b]) & (cls[a] != cls[b])
         if side.min() != side.max():
             fine &= side[a] != side[b]
@@ -403,7 +424,8 @@ def settled(rows: DataFrame, rule: Rule) -> DataFrame:
 
         found = []
         both = side.min() != side.max()
-        for a, b in zip(*(x.tolist() for x in Tree(n, comp, [bitmap(t) for t in sets]).pairs(rule.percent)), strict=True):
+        likely = likely_pairs(n, comp, [bitmap(t, BITS_EACH) for t in sets], rule.percent)
+        for a, b in zip(*(x.tolist() for x in likely), strict=True):
             if both and side[a] == side[b]:
                 continue
             x, y = find(int(comp[a])), find(int(comp[b]))
