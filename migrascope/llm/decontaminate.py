@@ -143,10 +143,15 @@ def passage_frequency(docs: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, f
 
 @dataclass(frozen=True)
 class Projection:
-    """Takes the counts of terms to rows of ``matrix``; ``place`` is a term's row, or -1."""
+    """Takes the counts of terms to rows of ``matrix``; ``place`` is a term's row, or -1.
+
+    The first ``common`` rows are those of common terms, at most ``PASSAGE / COMMON``. They make up
+    most words, so they are counted per run and multiplied at once; the others are looked up.
+    """
 
     place: np.ndarray
     matrix: np.ndarray
+    common: int = 0
 
     def taken(self, found: words.Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """First word and row of each run of ``size`` words; run and matrix row of each word that takes part."""
@@ -157,29 +162,38 @@ class Projection:
 
     def sums(self, runs: int, of: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Projected sum of each run."""
-        out = np.zeros((runs, self.matrix.shape[1]), np.float32)
+        out = self.counts(runs, of, at) @ self.matrix[: self.common]
+        of, at = of[at >= self.common], at[at >= self.common]
         if len(of):
             first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
-            out[of[first]] = np.add.reduceat(self.matrix[at], first, axis=0)
+            out[of[first]] += np.add.reduceat(self.matrix[at], first, axis=0)
         return out
 
+    def counts(self, runs: int, of: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """How often each common term stands in each run."""
+        often = at < self.common
+        found = np.bincount(of[often] * self.common + at[often], minlength=runs * self.common)
+        return found.reshape(runs, self.common).astype(np.float32)
+
 
-def sketch(docs: DataFrame, place: np.ndarray, weighted: np.ndarray) -> np.ndarray:
+def sketch(docs: DataFrame, projection: Projection) -> np.ndarray:
     """Term counts of all passages, transposed, times their projections: A'A omega but for the left weights."""
     kind = arrow_type(SKETCHED)
-    projection = Projection(place, weighted)
+    shape, common = projection.matrix.shape, projection.common
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(weighted.shape, dtype=np.float64)
+        sums = np.zeros(shape, dtype=np.float64)
         for part in slices(batches, "text", SLICE):
             found = plain(part.column("text"))
             starts, _, of, at = projection.taken(found, PASSAGE)
             if len(at):
                 projected = projection.sums(len(starts), of, at)
+                sums[:common] += projection.counts(len(starts), of, at).T @ projected
+                of, at = of[at >= common], at[at >= common]
                 order = np.argsort(at, kind="stable")
                 ordered = at[order]
-                first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-                sums[ordered[first]] += np.add.reduceat(projected[of[order]], first, axis=0)
+                first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(at) else order
+                sums[ordered[first]] += np.add.reduceat(projected[of[order]], first, axis=0) if len(at) else 0.0
         held = np.flatnonzero(sums.any(axis=1))
         rows = sums[held].astype(np.float32)
         offsets = pa.array(np.arange(len(held) + 1) * rows.shape[1], pa.int32())
@@ -187,8 +201,8 @@ def sketch(docs: DataFrame, place: np.ndarray, weighted: np.ndarray) -> np.ndarr
         yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), lists], schema=kind)
 
     parts = docs.select("text").mapInArrow(run, SKETCHED)
-    sums = [F.sum(F.get("row", F.lit(i)).cast("double")).alias(f"s{i}") for i in range(weighted.shape[1])]
-    out = np.zeros(weighted.shape)
+    sums = [F.sum(F.get("row", F.lit(i)).cast("double")).alias(f"s{i}") for i in range(shape[1])]
+    out = np.zeros(shape)
     for r in parts.groupBy("term").agg(*sums).collect():  # TERMS rows at most
         out[r["term"]] = r[1:]
     return out
@@ -212,14 +226,16 @@ def fit(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, seed: int = 1)
     """Latent space of the benchmark's terms over all passages of the documents."""
     frequency, total = passage_frequency(docs, distinct_terms(benchmark))
     needed = np.flatnonzero(needed_terms(benchmark, frequency))
+    needed = needed[np.argsort(frequency[needed] < COMMON, kind="stable")]  # common terms first
+    common = int((frequency[needed] >= COMMON).sum())
     place = np.full(TERMS, -1, dtype=np.int64)
     place[needed] = np.arange(len(needed))
     share = frequency[needed]
     weight = np.maximum(-np.log(np.minimum(share, 1.0)), 0.01) / np.sqrt(share)
     weight = weight[:, None] / weight.max(initial=1.0)
     omega = np.random.default_rng(seed).standard_normal((len(needed), SKETCH))
-    sketched = sketch(docs, place, (weight * omega).astype(np.float32)) * weight
-    return Projection(place, (weight * axes(sketched, omega, rank)).astype(np.float32))
+    sketched = sketch(docs, Projection(place, (weight * omega).astype(np.float32), common)) * weight
+    return Projection(place, (weight * axes(sketched, omega, rank)).astype(np.float32), common)
 
 
 @dataclass(frozen=True)
