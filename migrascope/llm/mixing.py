@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from migrascope.llm.common import fresh, saved, written
 
 ROUNDS = 40
-TOLERANCE = 1e-6
+TOLERANCE = 1e-4  # of a share
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -73,7 +73,6 @@ def rake(cells: DataFrame, margins: list[Margin], rounds: int = ROUNDS, toleranc
     now = saved(cells.withColumn("weight", F.col("tokens")))
     error = 0.0
     for _ in range(rounds if total else 0):
-        errors = []
         for margin, goal in zip(margins, goals, strict=True):
             sums = now.groupBy(F.col(margin.column).alias("value")).agg(F.sum("weight").alias("sum"))
             same = sums["value"].eqNullSafe(goal["value"])
@@ -81,11 +80,13 @@ def rake(cells: DataFrame, margins: list[Margin], rounds: int = ROUNDS, toleranc
             scaled = now.join(factor, now[margin.column].eqNullSafe(factor["value"]), "left")
             now = scaled.select(*cells.columns, (F.col("weight") * F.coalesce("factor", F.lit(1.0))).alias("weight"))
         now = saved(now)
+        off = None
         for margin, goal in zip(margins, goals, strict=True):
             sums = now.groupBy(F.col(margin.column).alias("value")).agg(F.sum("weight").alias("sum"))
-            off = F.max(F.abs(F.col("sum") / total - F.col("goal")))
-            errors.append(sums.join(goal, sums["value"].eqNullSafe(goal["value"])).agg(off).first()[0] or 0.0)
-        error = max(errors)
+            met = sums.join(goal, sums["value"].eqNullSafe(goal["value"]))
+            one = met.select(F.abs(F.col("sum") / total - F.col("goal")).alias("off"))
+            off = one if off is None else off.unionByName(one)
+        error = off.agg(F.max("off")).first()[0] or 0.0
         if error <= tolerance:
             break
     return now.withColumn("error", F.lit(float(error)))

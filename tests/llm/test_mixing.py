@@ -18,6 +18,11 @@ def rows(spark):
     return spark.createDataFrame(data, "doc_id long, source string, lang string, topic string, tokens long, weight string")
 
 
+@pytest.fixture(scope="module")
+def cells(rows):
+    return mixing.rake(mixing.cells_of(rows, MARGINS, "tokens"), MARGINS)
+
+
 def by_hand(table, goals, rounds=200):
     """Raking of a dense array to goals per axis."""
     w = table.astype(float).copy()
@@ -31,9 +36,8 @@ def by_hand(table, goals, rounds=200):
     return w
 
 
-def test_raking_equals_plain_fitting_and_meets_the_margins(spark, rows):
-    cells = mixing.cells_of(rows, MARGINS, "tokens")
-    raked = mixing.rake(cells, MARGINS).toPandas()
+def test_raking_equals_plain_fitting_and_meets_the_margins(cells):
+    raked = cells.toPandas()
     total = raked.tokens.sum()
     assert raked.error.iloc[0] <= mixing.TOLERANCE and raked.weight.sum() == pytest.approx(total)
     names = [sorted(raked[m.column].fillna("~").unique()) for m in MARGINS]
@@ -51,9 +55,8 @@ def test_raking_equals_plain_fitting_and_meets_the_margins(spark, rows):
 
 
 @pytest.mark.parametrize("fraction", [0.1, 0.5, 0.9, 1.0])
-def test_probabilities_meet_the_budget(spark, rows, fraction):
-    raked = mixing.rake(mixing.cells_of(rows, MARGINS, "tokens"), MARGINS)
-    odds = mixing.calibrate(raked, fraction).toPandas()
+def test_probabilities_meet_the_budget(cells, fraction):
+    odds = mixing.calibrate(cells, fraction).toPandas()
     assert odds.probability.between(0, 1).all()
     assert (odds.probability * odds.tokens).sum() == pytest.approx(fraction * odds.tokens.sum(), rel=1e-6)
     open_ = odds[odds.probability < 1]
@@ -61,8 +64,8 @@ def test_probabilities_meet_the_budget(spark, rows, fraction):
     assert len(open_) == 0 or ratio.max() == pytest.approx(ratio.min())
 
 
-def test_sample_follows_the_probabilities(spark, rows):
-    odds = mixing.calibrate(mixing.rake(mixing.cells_of(rows, MARGINS, "tokens"), MARGINS), 0.5)
+def test_sample_follows_the_probabilities(rows, cells):
+    odds = mixing.calibrate(cells, 0.5)
     drawn = mixing.sample(rows, odds, MARGINS, "doc_id", ["topic"])
     again = mixing.sample(rows.repartition(7), odds, MARGINS, "doc_id", ["topic"])
     assert drawn.exceptAll(again).count() == 0 and drawn.columns == [*rows.columns, "_weight", "probability"]
