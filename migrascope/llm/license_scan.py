@@ -4,8 +4,8 @@ Templates are cut into words; hashes of ``GRAM`` words running are winnowed over
 selected ones go to an inverted index of template and place. The index holds the templates alone, a
 parameter of bounded size (``MAX_TEMPLATE_WORDS``), and reaches every task. A text's fingerprints are selected
 by the same rule, so a run of ``GRAM + SPAN - 1`` template words anywhere in a text is always found; runs with
-a word that no template has cannot be in the index and are passed over. Anchors on nearby diagonals are one
-candidate, aligned locally inside a band around them; the alignment gives the share of the template's words
+a word that no template has cannot be in the index and are passed over. Anchors are aligned locally inside a band around
+their diagonal, those that an alignment covers already with it; the alignment gives the share of the template's words
 that match and the span in the text.
 
 Defined cases: null and empty texts have no matches; whole texts are scanned, whatever their length; equal
@@ -139,10 +139,9 @@ class Index:
         found = []
         for name, hits in anchors.items():
             template = self.templates[name]
-            for diagonal in candidates(hits, len(template)):
-                got = align(template, ids, diagonal)
-                if got and got[0] >= least * len(template):
-                    found.append(Match(name, got[0], len(template), got[1], got[2]))
+            for matched, first, last in aligned(template, ids, hits):
+                if matched >= least * len(template):
+                    found.append(Match(name, matched, len(template), first, last))
         return outermost(found)
 
 
@@ -156,21 +155,29 @@ def known_runs(ids: list[int]) -> Iterator[tuple[int, int]]:
             start = i + 1
 
 
-def candidates(hits: list[tuple[int, int]], size: int) -> Iterator[int]:
-    """One diagonal (the middle one) for each cluster of anchors with nearby diagonals and places."""
-    cluster: list[tuple[int, int]] = []
-    for hit in sorted(hits):
-        if cluster and (hit[0] - cluster[0][0] > BAND or abs(hit[1] - cluster[0][1]) > size + BAND):
-            yield cluster[len(cluster) // 2][0]
-            cluster = []
-        cluster.append(hit)
-    if cluster:
-        yield cluster[len(cluster) // 2][0]
+def aligned(template: list[int], ids: list[int], hits: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
+    """Alignments around the anchors (diagonal, place), in the order of places.
 
-
-def align(template: list[int], ids: list[int], diagonal: int) -> tuple[int, int, int] | None:
+    An anchor inside an alignment on a nearby diagonal is part of it; any other starts one of its own, behind
+    the alignments that ended before it.
+    """
+    open_: list[tuple[int, int]] = []  # (diagonal, end) of alignments that reach the current place
+    start = 0
+    for diagonal, place in sorted(set(hits), key=lambda h: (h[1], h[0])):
+        start = max([start, *(end for _, end in open_ if end <= place)])
+        open_ = [o for o in open_ if o[1] > place]
+        if any(abs(diagonal - d) <= BAND for d, _ in open_):
+            continue
+        got = align(template, ids, diagonal, start)
+        if got:
+            open_.append((diagonal, got[2]))
+            yield got
+
+
+def align(template: list[int], ids: list[int], diagonal: int, start: int = 0) -> tuple[int, int, int] | None:
     """Best local alignment inside the band: matched words, first and last place in the text (end exclusive).
 
+    Places before ``start`` are left out.
     A cell holds (score, matches, first place); only one row of the band is kept at a time.
     """
     width = 2 * BAND + 1
@@ -181,7 +188,7 @@ def align(template: list[int], ids: list[int], diagonal: int) -> tuple[int, int,
         left = (0, 0, -1)
         for k in range(width):
             place = diagonal + t + k - BAND
-            if not 0 <= place < len(ids):
+            if not start <= place < len(ids):
                 cell = (0, 0, -1)
             else:
                 score, matches, first = row[k]
