@@ -44,7 +44,7 @@ def test_axes_span_the_leading_directions():
 
 @pytest.fixture(scope="module")
 def corpus(spark):
-    items = [(i, " ".join(prose(20 + 2 * i, 100 + i)) + ". The answer " + " ".join(prose(3, 900 + i))) for i in range(20)]
+    items = [(i, " ".join(prose(20 + 2 * i, 5000 + i)) + ". The answer " + " ".join(prose(3, 900 + i))) for i in range(20)]
     items += [(98, None), (99, "")]
     docs = [(i, " ".join(prose(300, i))) for i in range(150)]
     leaks = set()
@@ -101,7 +101,7 @@ def test_blocks_and_empty_inputs(spark, corpus, monkeypatch):
 
 def test_answer_column_decides_paraphrases(spark, corpus):
     docs, _, _ = corpus
-    words = prose(40, 5)
+    words = prose(40, 12_345)
     partial = [w if k % 3 else "other" for k, w in enumerate(words)]  # two thirds in order
     frame = docs.unionByName(spark.createDataFrame([(1, " ".join(partial) + " forty two")], "doc_id long, text string"))
     for answer, expected in (("forty two", {1}), ("never said", set())):
