@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
 from migrascope.llm import words
 from migrascope.llm.common import arrow_type, slices, written
@@ -72,7 +72,6 @@ PACKED = StructType(
     ]
 )
 SHARED = StructType([StructField("token", LongType()), StructField("cls", LongType())])
-FETCHED = StructType([StructField("cls", LongType()), StructField("text", StringType())])
 PAIRS = StructType([StructField("a", LongType()), StructField("b", LongType())])
 
 
@@ -358,18 +357,26 @@ def blocks(groups: DataFrame) -> DataFrame:
     return spread.withColumns({"i": F.least("side", "other"), "j": F.greatest("side", "other")}).drop("other", "parts", "size")
 
 
+def by_key(df: DataFrame) -> DataFrame:
+    """For the smaller side of a join that grows with the corpus: never to be broadcast, at any size."""
+    return df.hint("merge")
+
+
 def fetched(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
-    """(cls, text) of the wanted classes (doc_id, cls), from one document of each."""
-    kind = arrow_type(FETCHED)
+    """The wanted classes (doc_id, cls and other columns) with the text of one document of each.
+
+    A class comes twice if its document's row is repeated, which does no harm to links.
+    """
+    joined = docs.join(wanted, "doc_id").drop("doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             sets = shingle_sets(part.column("text"), rule.shingle)
             pairs = zip(part.column("cls").to_pylist(), sets, strict=True)
-            own = pa.array([len(s) > 0 and int(class_of(s)[0]) == c for c, s in pairs], pa.bool_())
-            yield pa.RecordBatch.from_arrays([part.column(c).filter(own) for c in FETCHED.names], schema=kind)
+            own = [len(s) > 0 and int(class_of(s)[0]) == c for c, s in pairs]
+            yield part.filter(pa.array(own, pa.bool_()))
 
-    return docs.join(wanted, "doc_id").select("cls", "text").mapInArrow(run, FETCHED).dropDuplicates(["cls"])
+    return joined.mapInArrow(run, joined.schema)
 
 
 def linked(pairs: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
@@ -450,30 +457,32 @@ def settled(rows: DataFrame, rule: Rule) -> DataFrame:
                 members.append(value)
         yield done()
 
-    ordered = rows.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "cls")
+    used = rows.select("family", "i", "j", "cls", "n", "comp", "side", "text")
+    ordered = used.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "cls")
     return ordered.mapInArrow(run, PAIRS)
 
 
 def family_links(classes: DataFrame, families: DataFrame, rows: DataFrame, rule: Rule) -> DataFrame:
     """All links within the families (v, least), as far as components need them."""
-    placed = classes.join(families.select(F.col("v").alias("cls"), F.col("least").alias("family")), "cls")
-    wanted = written(placed.select("cls", "doc_id"), "wanted")
-    texts_ = written(fetched(rows, wanted, rule), "fetched")
+    named = families.select(F.col("v").alias("cls"), F.col("least").alias("family"))
+    placed = classes.select("cls", "doc_id", "n").join(by_key(named), "cls")
     parts = F.ceil(F.greatest(F.count("*") / GROUP, F.sum("n") / BLOCK_SHINGLES)).cast("int")
     sizes = placed.groupBy("family").agg(parts.alias("parts"))
     side = F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")
-    members_ = written(placed.join(sizes, "family").select("family", "cls", "n", "parts", side.alias("side")), "family")
-    alone = members_.withColumns({"i": F.col("side"), "j": F.col("side"), "comp": F.col("cls")})
-    first = written(settled(alone.join(texts_, "cls"), rule), "links")
+    wanted = written(placed.join(by_key(sizes), "family").withColumn("side", side), "family")
+    texts_ = written(fetched(rows, by_key(wanted), rule), "fetched")
+    alone = texts_.withColumns({"i": F.col("side"), "j": F.col("side"), "comp": F.col("cls")})
+    first = written(settled(alone, rule), "links")
     connected = components(first).withColumnRenamed("v", "cls")
-    open_ = members_.filter("parts > 1").join(connected, "cls", "left").withColumn("comp", F.coalesce("least", "cls"))
-    open_ = written(open_.drop("least", "parts"), "open")
+    several = texts_.filter("parts > 1").drop("parts")
+    open_ = several.join(by_key(connected), "cls", "left").withColumn("comp", F.coalesce("least", "cls")).drop("least")
+    open_ = written(open_, "open")
     ends = open_.groupBy("family", "side").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
     one, two = (ends.select("family", *(F.col(c).alias(f"{c}_{k}") for c in ("side", "low", "high"))) for k in "ij")
     wholly = (F.col("low_i") == F.col("high_i")) & (F.col("low_j") == F.col("high_j")) & (F.col("low_i") == F.col("low_j"))
     meet = one.join(two, "family").filter("side_i < side_j").filter(~wholly)
     met = meet.select("family", F.col("side_i").alias("i"), F.col("side_j").alias("j"), F.explode(F.array("side_i", "side_j")).alias("side"))
-    between = settled(open_.join(met, ["family", "side"]).join(texts_, "cls"), rule)
+    between = settled(open_.join(met, ["family", "side"]), rule)
     return written(first.unionByName(between), "links")
 
 
@@ -510,10 +519,10 @@ def join(docs: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str = "text"
     more = linked(left, written(fetched(rows, wanted, rule), "fetched"), rule)
     final = components(links.unionByName(more))
 
-    named = classes.select("cls", "doc_id").join(final.withColumnRenamed("v", "cls"), "cls", "left")
+    named = classes.select("cls", "doc_id").join(by_key(final.withColumnRenamed("v", "cls")), "cls", "left")
     named = named.select("cls", "doc_id", F.coalesce("least", "cls").alias("comp"))
     smallest = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    labelled = named.join(smallest, "comp").select("cls", "component_id")
+    labelled = by_key(named.join(by_key(smallest), "comp").select("cls", "component_id"))
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     joined = documents.select("doc_id", "n", "cls").join(labelled, "cls", "left")
     return joined.select("doc_id", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
@@ -521,13 +530,14 @@ def join(docs: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str = "text"
 
 def members(placed: DataFrame, families: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
     """Classes that share a prefix shingle with one of another family, in groups of bounded size."""
-    named = placed.join(families.withColumnRenamed("v", "cls"), "cls", "left")
+    named = placed.join(by_key(families.withColumnRenamed("v", "cls")), "cls", "left")
     named = named.select("token", "cls", F.coalesce("least", "cls").alias("comp"))
     who = [F.min("cls").alias("low"), F.max("cls").alias("high"), F.bit_xor(F.xxhash64("cls")).alias("all")]
     groups = named.groupBy("token").agg(F.min("comp").alias("p"), F.max("comp").alias("q"), F.count("*").alias("size"), *who)
     # shingles that run together are shared by the same classes: one of them is enough
     once = groups.filter("p <> q").groupBy("size", "low", "high", "all").agg(F.min("token").alias("token"))
-    open_ = written(named.join(once.select("token", "size"), "token"), "open")
+    open_ = written(named.join(by_key(once.select("token", "size")), "token"), "open")
     used = open_.select("cls").distinct()
-    bits = documents.join(classes.select("cls", "doc_id").join(used, "cls"), ["cls", "doc_id"]).select("cls", "n", "bits")
-    return blocks(open_).join(bits.dropDuplicates(["cls"]), "cls")
+    own = classes.select("cls", "doc_id").join(by_key(used), "cls")
+    bits = documents.join(by_key(own), ["cls", "doc_id"]).select("cls", "n", "bits").dropDuplicates(["cls"])
+    return blocks(open_).join(by_key(bits), "cls")
