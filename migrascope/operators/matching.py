@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from migrascope import dims
-from migrascope.operators.proximity import DIGITS, LOOKUP, located, top_places, within_point
+from migrascope.operators.proximity import DIGITS, LOOKUP, top_places, within_point
 
 DETAILS = ["business_name", "business_category", "employees", "business_age"]
 CONTACT = ["address", "phone"]
