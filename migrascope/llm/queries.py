@@ -145,4 +145,65 @@ def shipped(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {f.__name__: shipped(f) for f in OPERATORS}
-ORACLES: dict[str, str] = {}
+
+# DuckDB SQL for the queries that it can express over whole texts.
+CHAT_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+escaped AS (
+  SELECT *, replace(replace(replace(text, '\', '\\'), '<turn', '\lturn'), '</turn', '\l/turn') AS body,
+         replace(replace(replace(replace(role, '\', '\\'), '<turn', '\lturn'), '</turn', '\l/turn'), chr(10), '\n') AS head
+  FROM turns),
+segments AS (SELECT *, '<turn ' || head || chr(10) || body || '</turn>' || chr(10) AS segment FROM escaped)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, segment)) AS turns_sha256,
+       cast(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS bigint) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, segment) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       cast(sum(length(segment)) AS bigint) AS formatted_chars
+FROM segments GROUP BY conv_id
+"""
+
+REPEATS_SQL = rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+starts AS (SELECT doc_id, words, unnest(range(1, len(words) - {REPEAT_WORDS} + 2)) AS p FROM w WHERE len(words) >= {REPEAT_WORDS}),
+windows AS (SELECT doc_id, p, sha256(array_to_string(words[p:p + {REPEAT_WORDS} - 1], ' ')) AS k FROM starts),
+firsts AS (SELECT k, min(doc_id) AS least FROM windows GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + {REPEAT_WORDS})) AS i FROM windows JOIN firsts USING (k) WHERE doc_id > least),
+listed AS (SELECT doc_id, list(i) AS places FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, words, CASE WHEN places IS NULL THEN words
+                             ELSE list_filter(words, lambda x, i: NOT list_contains(places, i)) END AS stay
+  FROM w LEFT JOIN listed USING (doc_id))
+SELECT doc_id, len(words) AS n_words, len(words) - len(stay) AS n_removed, sha256(array_to_string(stay, ' ')) AS kept_sha256
+FROM kept
+"""
+
+LINKS_SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(words) >= {NGRAM_RULE.shingle}
+      THEN list_transform(range(1, len(words) - {NGRAM_RULE.shingle} + 2), lambda i: array_to_string(words[i:i + {NGRAM_RULE.shingle} - 1], ' '))
+    WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS s
+  FROM w),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * c >= {NGRAM_RULE.percent} * (p.n + q.n - c)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT x AS d, y AS r FROM both_ways
+  UNION SELECT reach.d, both_ways.y FROM reach JOIN both_ways ON reach.r = both_ways.x),
+least_of AS (SELECT d, min(r) AS r FROM reach GROUP BY d)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(r, w.doc_id)) AS component_id
+FROM w LEFT JOIN sizes ON sizes.doc_id = w.doc_id LEFT JOIN least_of ON d = w.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op3_chat_format": CHAT_SQL, "op6_substring_dedup": REPEATS_SQL, "op9_ngram_jaccard": LINKS_SQL}
