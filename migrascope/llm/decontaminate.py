@@ -10,7 +10,11 @@
    the corpus holds.
 2. Search: benchmark passages are a stated query set, taken in blocks of ``ITEM_BLOCK`` items; every window of
    every document (a passage long, half a passage apart) is compared with all of a block by cosine.
-3. Check: candidates are compared word by word: the longest common subsequence of the item and the words
+3. Anchors: latent vectors miss items that stand among other rare words, so windows are candidates also by words.
+   The check allows an item to lack a share of its words; of its rarest words, more than that share, some must
+   stand around the window therefore. Windows are looked up by these words, which leaves out none that could pass:
+   the result is that of the check over every window and item.
+4. Check: candidates are compared word by word: the longest common subsequence of the item and the words
    around the window, and whether the item's answer stands there too. Most of an item is a leak; a smaller
    share (a paraphrase) is one only together with the answer.
 
@@ -43,6 +47,7 @@ COMMON = 0.02
 RAREST = 16
 PASSAGE = 32
 ITEM_BLOCK = 2048
+ANCHORED = 256  # items whose anchors are looked up at once
 SLICE = 1_000_000  # bytes of text whose words are projected at once
 MIN_COSINE = 0.55
 VERBATIM = 0.8  # share of an item's words in order that is a leak by itself
@@ -152,6 +157,7 @@ class Projection:
     place: np.ndarray
     matrix: np.ndarray
     common: int = 0
+    share: np.ndarray | None = None  # of the passages, that hold a term
 
     def taken(self, found: words.Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """First word and row of each run of ``size`` words; run and matrix row of each word that takes part."""
@@ -235,7 +241,8 @@ def fit(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, seed: int = 1)
     weight = weight[:, None] / weight.max(initial=1.0)
     omega = np.random.default_rng(seed).standard_normal((len(needed), SKETCH))
     sketched = sketch(docs, Projection(place, (weight * omega).astype(np.float32), common)) * weight
-    return Projection(place, (weight * axes(sketched, omega, rank)).astype(np.float32), common)
+    matrix = (weight * axes(sketched, omega, rank)).astype(np.float32)
+    return Projection(place, matrix, common, frequency.astype(np.float32))
 
 
 @dataclass(frozen=True)
@@ -270,6 +277,60 @@ def last_sentence(text: Column) -> Column:
     return F.regexp_extract(text, r"([^.!?\n]+)[.!?\s]*$", 1)
 
 
+class Anchors:
+    """Where some items can stand at all, told by their rarest words.
+
+    An item of n words may lack m of them, so of its m + k rarest at least k stand in the words that a window
+    is checked with. All words below ``COMMON`` are taken, and m + 1 at least.
+    """
+
+    def __init__(self, items: list[np.ndarray], share: np.ndarray) -> None:
+        self.size = np.array([len(own) for own in items], dtype=np.int64)
+        self.least = np.ones(len(items), dtype=np.int64)
+        keys: list[tuple[int, int]] = []
+        for i, own in enumerate(items):
+            rarity = share[(own & np.uint64(TERMS - 1)).astype(np.int64)]
+            lacking = int(len(own) * (1 - PARAPHRASE) + 1e-9)
+            taken = max(min(lacking + 1, len(own)), int((rarity < COMMON).sum()))
+            self.least[i] = taken - lacking
+            rarest = own[np.argsort(rarity, kind="stable")[:taken]]
+            keys.extend((h, i) for h in np.unique(rarest).tolist())
+        keys.sort()
+        self.word, self.first = np.unique(np.array([h for h, _ in keys], dtype=np.uint64), return_index=True)
+        self.first = np.append(self.first, len(keys))
+        self.item = np.array([i for _, i in keys], dtype=np.uint16)
+        self.flags = np.zeros(TERMS, bool)
+        self.flags[(self.word & np.uint64(TERMS - 1)).astype(np.int64)] = True
+
+    def windows(self, found: words.Words, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(window, item) of every window that is checked with enough of the item's rarest words."""
+        at = np.flatnonzero(self.flags[terms_of(found)])
+        place = np.minimum(np.searchsorted(self.word, found.hash[at]), max(len(self.word) - 1, 0))
+        if not len(at):
+            return at, at
+        exact = self.word[place] == found.hash[at]
+        at, place = at[exact], place[exact]
+        times = self.first[place + 1] - self.first[place]
+        inner = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        item = self.item[np.repeat(self.first[place], times) + inner]
+        order = np.argsort(item, kind="stable")  # by item, then place
+        item, word = item[order].astype(np.int64), np.repeat(at, times)[order]
+        last = np.arange(len(item)) + self.least[item] - 1
+        held = np.flatnonzero(last < len(item))
+        last, reach = last[held], PASSAGE + 2 * self.size[item[held]]
+        near = (item[last] == item[held]) & (word[last] - word[held] < reach)
+        item, low, high = item[held[near]], word[held[near]], word[last[near]]
+        row = np.searchsorted(found.first, low, side="right") - 1
+        inside = high < found.first[row + 1]
+        item, low, high, row = item[inside], low[inside], high[inside], row[inside]
+        opens = np.searchsorted(starts, np.maximum(high - PASSAGE - self.size[item] + 1, found.first[row]))
+        closes = np.searchsorted(starts, np.minimum(low + self.size[item], found.first[row + 1] - 1), side="right")
+        times = np.maximum(closes - opens, 0)
+        inner = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        pairs = np.unique((np.repeat(opens, times) + inner) * len(self.size) + np.repeat(item, times))
+        return pairs // max(len(self.size), 1), pairs % max(len(self.size), 1)
+
+
 class Search:
     """One block of benchmark items, ready to be held against documents."""
 
@@ -277,12 +338,17 @@ class Search:
         self.latent, self.items = latent, []
         texts_ = plain(pa.array([r[1] for r in rows], pa.string()))
         answers = plain(pa.array([r[2] for r in rows], pa.string()))
+        held = []
         for i, r in enumerate(rows):
             own = texts_.hash[texts_.first[i] : texts_.first[i + 1]]
             answer = answers.hash[answers.first[i] : answers.first[i + 1]]
             self.items.append(Item(r[0], len(own), masks_of(own), len(answer), masks_of(answer)))
+            held.append(own)
         vectors, self.owner, _ = self.windows(texts_)
         self.queries = self.unit(vectors)
+        self.query = np.searchsorted(self.owner, np.arange(len(rows) + 1))  # first query of each item
+        share = latent.share if latent.share is not None else np.zeros(TERMS)
+        self.anchors = [Anchors(held[i : i + ANCHORED], share) for i in range(0, len(held), ANCHORED)]
 
     def windows(self, found: words.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Latent vector, row and first word (in the buffer) of each window."""
@@ -301,6 +367,16 @@ class Search:
     def unit(vectors: np.ndarray) -> np.ndarray:
         return vectors / np.maximum(np.sqrt((vectors * vectors).sum(axis=1, keepdims=True)), 1e-12)
 
+    def candidates(self, found: words.Words, starts: np.ndarray, cosine: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(window, item) to be checked, by cosine or by anchors, each once."""
+        window, query = np.nonzero(cosine >= MIN_COSINE)
+        pairs = [window * len(self.items) + self.owner[query]]
+        for k, anchors in enumerate(self.anchors):
+            window, item = anchors.windows(found, starts)
+            pairs.append(window * len(self.items) + item + k * ANCHORED)
+        for pair in np.unique(np.concatenate(pairs)).tolist():
+            yield divmod(pair, len(self.items))
+
     def leaks(self, column: pa.Array) -> Iterator[tuple[int, list[dict]]]:
         """(row, leaks) for each row that leaks."""
         found = plain(column)
@@ -308,10 +384,9 @@ class Search:
         if not len(row) or not len(self.queries):
             return
         cosine = self.unit(vectors) @ self.queries.T
-        window, query = np.nonzero(cosine >= MIN_COSINE)
         best: dict[tuple[int, int], dict] = {}
-        for w, q in zip(window.tolist(), query.tolist(), strict=True):
-            r, item = int(row[w]), self.items[self.owner[q]]
+        for w, i in self.candidates(found, starts, cosine):
+            r, item = int(row[w]), self.items[i]
             low = max(int(found.first[r]), int(starts[w]) - item.size)
             high = min(int(found.first[r + 1]), int(starts[w]) + PASSAGE + item.size)
             text = found.hash[low:high].tolist()
@@ -322,10 +397,11 @@ class Search:
             answered = item.answer_size > 0 and common(item.answer_masks, item.answer_size, text) >= ANSWER * item.answer_size
             if coverage < VERBATIM and not answered:
                 continue
-            hit = (item.item_id, float(cosine[w, q]), lcs, coverage, int(answered))
-            known = best.get((r, self.owner[q]))
-            if known is None or (lcs, hit[1]) > (known["lcs"], known["cosine"]):
-                best[r, self.owner[q]] = dict(zip(LEAK.names, hit, strict=True))
+            alike = float(cosine[w, self.query[i] : self.query[i + 1]].max())
+            hit = (item.item_id, alike, lcs, coverage, int(answered))
+            known = best.get((r, i))
+            if known is None or (lcs, alike) > (known["lcs"], known["cosine"]):
+                best[r, i] = dict(zip(LEAK.names, hit, strict=True))
         rows: dict[int, list[dict]] = {}
         for (r, _), hit in sorted(best.items()):
             rows.setdefault(r, []).append(hit)

@@ -117,3 +117,45 @@ def test_query_finds_every_whole_passage(spark):
     expected = {(r.doc_id, i) for r in read("documents").collect() for i, t in items.items() if f" {t} " in f" {plain(r.text)} "}
     got = {(r.doc_id, r.item_id) for r in entry.queries()["op5_decontamination"](spark, entry.ENTRY_FOLDER).collect()}
     assert expected and expected <= got
+
+
+def checked(item, doc):
+    """Whether any window of the document passes the check, without looking for candidates."""
+    size = len(item)
+    masks = d.masks_of(item)
+    answer = item[-3:]
+    if d.common(masks, size, doc) < 0.6 * size:
+        return False
+    for at in range(0, len(doc), 16):
+        text = doc[max(0, at - size) : at + 32 + size]
+        share = d.common(masks, size, text) / size
+        if share >= 0.8 or share >= 0.6 and d.common(d.masks_of(answer), 3, text) == 3:
+            return True
+    return False
+
+
+def test_planted_items_are_found_as_by_comparing_all(spark):
+    """Short, adjacent and edited items in real documents: as many as the check finds over all windows."""
+    read = lambda t: [r.text or "" for r in spark.read.parquet(f"{entry.ENTRY_FOLDER}/{t}.parquet").collect()]
+    r = random.Random(3)
+    texts = [" ".join("".join(c if c.isascii() and c.isalnum() else " " for c in t).split()) for t in read("benchmark")]
+    texts = [t.split() for t in dict.fromkeys(texts) if len(t.split()) >= 12]
+    texts = [t[: r.choice([6, 9, 12, len(t)])] for t in texts]
+    items = [(i, " ".join(t), " ".join(t[-3:])) for i, t in enumerate(texts)]
+    docs = []
+    for i, text in enumerate(read("documents")[:400]):
+        own, planted = text.split(), []
+        for at in range(r.choice([1, 2, 3])):
+            words = list(r.choice(texts))
+            if at == 1 and i % 3 == 0:
+                words = [w for k, w in enumerate(words) if k % 4 != 1]
+            planted += words
+        at = r.randrange(len(own) + 1)
+        docs.append((i, " ".join([*own[:at], *planted, *own[at:]])))
+    hashes = lambda rows: [d.plain(d.pa.array([t], d.pa.string())).hash for t in rows]
+    of_docs = [h.tolist() for h in hashes(t for _, t in docs)]
+    expected = {(n, i) for i, own in enumerate(hashes(t for _, t, _ in items)) for n, doc in enumerate(of_docs) if checked(own, doc)}
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string, answer string")
+    got = {(row.doc_id, row.item_id) for row in d.leaks(frame, benchmark, d.F.col("answer")).collect()}
+    assert len(expected) > 300 and got == expected
