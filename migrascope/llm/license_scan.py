@@ -34,7 +34,27 @@ MAX_TEMPLATE_WORDS = 200_000
 WORD = re.compile(r"[A-Za-z0-9]+")
 MATCH, MISS = 2, -1
 
-# The wording of public licence notices.
+# The wording of public licence texts and notices, whole.
+BSD_OPENING = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+    "the following conditions are met: Redistributions of source code must retain the above copyright notice, this "
+    "list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above "
+    "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+    "materials provided with the distribution."
+)
+BSD_THIRD = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission."
+)
+BSD_DISCLAIMER = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+    "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF "
+    "SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY "
+    "THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING "
+    "IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
 TEMPLATES = {
     "Apache-2.0 line": "Licensed under the Apache License, Version 2.0",
     "Apache-2.0 notice": (
@@ -51,7 +71,11 @@ TEMPLATES = {
         "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, "
         "and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The "
         "above copyright notice and this permission notice shall be included in all copies or substantial portions of "
-        "the Software. THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND"
+        "the Software. THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT "
+        "NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO "
+        "EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN "
+        "AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE "
+        "OR OTHER DEALINGS IN THE SOFTWARE"
     ),
     "GPL-3.0 line": "This work is licensed under the GNU General Public License, version 3",
     "GPL notice": (
@@ -62,11 +86,8 @@ TEMPLATES = {
         "GNU General Public License for more details."
     ),
     "CC-BY-NC-4.0 line": "Licensed under CC BY-NC 4.0",
-    "BSD": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
-        "the following conditions are met: Redistributions of source code must retain the above copyright notice, this "
-        "list of conditions and the following disclaimer."
-    ),
+    "BSD-2-Clause": f"{BSD_OPENING} {BSD_DISCLAIMER}",
+    "BSD-3-Clause": f"{BSD_OPENING} {BSD_THIRD} {BSD_DISCLAIMER}",
     "MPL-2.0 notice": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
         "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."

@@ -74,3 +74,22 @@ def test_query(spark):
     exact = {d for d, t in plain.items() if any(" ".join(plain_words(v)) in t for v in lines)}
     got = entry.queries()["op4_license_scan"](spark, entry.ENTRY_FOLDER).collect()
     assert exact and {r.doc_id for r in got if r.coverage == 1.0} == exact
+
+
+def test_whole_licences_are_told_from_their_openings(spark, docs):
+    """A full text is reported to its last word, a text that ends early with the share it has."""
+    ends = {"MIT": "DEALINGS IN THE SOFTWARE", "BSD-2-Clause": "POSSIBILITY OF SUCH DAMAGE", "BSD-3-Clause": "POSSIBILITY OF SUCH DAMAGE"}
+    for name, end in ends.items():
+        assert license_scan.TEMPLATES[name].rstrip(".").endswith(end)
+    texts = {i: license_scan.TEMPLATES[name] for i, name in enumerate(ends)}
+    mit = plain_words(MIT)
+    cut = mit.index("noninfringement")
+    rows = docs([*((i, f"before it: {t} And after.") for i, t in texts.items()), (7, " ".join(mit[:cut])), (8, license_scan.BSD_OPENING)])
+    found = [tuple(r) for r in license_scan.scan(rows, least=0.3).collect()]
+    for i, name in enumerate(ends):
+        size = len(plain_words(texts[i]))
+        assert [f for f in found if f[0] == i] == [(i, name, 1.0, size, 11, 11 + len(texts[i].rstrip(".")))]
+    assert [f[1:4] for f in found if f[0] == 7] == [("MIT", cut / len(mit), cut)] and 0.5 < cut / len(mit) < 0.8
+    opening = len(plain_words(license_scan.BSD_OPENING))
+    assert {f[1]: f[2] for f in found if f[0] == 8} == {n: opening / len(plain_words(license_scan.TEMPLATES[n])) for n in list(ends)[1:]}
+    assert {r.doc_id for r in license_scan.scan(rows).collect()} == set(texts)
