@@ -241,6 +241,18 @@ def match_crowded(spark, folder):
     return matched(spark, folder, ["india", "peru"], 5, heavy=2)
 
 
+@query("match_all_origins_full", match_sql(P.hotspots_sql(dims.ORIGINS), scored_sql(), dims.MATCH_TOP_K))
+def match_all_origins_full(spark, folder):
+    """All groups with as many businesses as the matches are made for."""
+    return matched(spark, folder, dims.ORIGINS, dims.MATCH_TOP_K)
+
+
+@query("match_crowded_full", match_sql(P.hotspots_sql(dims.ORIGINS), scored_sql(), dims.MATCH_TOP_K))
+def match_crowded_full(spark, folder):
+    """The same by way of box pruning."""
+    return matched(spark, folder, dims.ORIGINS, dims.MATCH_TOP_K, heavy=2)
+
+
 RECOMMENDATION = """
 business_id, business_name, business_category, latitude, longitude, distance_km, relevance_score,
 cast(employees AS integer) AS employees, business_age, round(cuisine_score, 6) AS cuisine_score,

@@ -1,17 +1,24 @@
-"""Models on the panel, with few small trees. No SQL equivalent; tests check their properties."""
+"""Models on the panel, with the documented settings, for every origin group. No SQL equivalent; tests check
+their properties."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import proxies as P
 from checks.registry import query
+from migrascope import dims
 from migrascope.operators import folds, models, panel
 from migrascope.plans import layers
 
 HORIZON = 2
-REGRESSION = models.small(models.REGRESSOR, trees=3, depth=3)
-CLASSIFICATION = models.small(models.CLASSIFIER, trees=3, depth=3)
+REGRESSION = models.REGRESSOR
+CLASSIFICATION = models.CLASSIFIER
+CONCURRENT = 4  # groups that train at a time, as in ``models.train_all``
 
 
 def features(spark, folder):
@@ -21,77 +28,108 @@ def features(spark, folder):
     return built.checkpoint()
 
 
-def growth_frame(spark, folder, origin="india"):
+def each_origin(origins: list[str], build: Callable[[str], DataFrame]) -> DataFrame:
+    """The rows that ``build`` gives for each group, with its name; a few groups train at a time."""
+    with ThreadPoolExecutor(CONCURRENT) as pool:
+        parts = list(pool.map(build, origins))
+    out = None
+    for origin, part in zip(origins, parts, strict=True):
+        named = part.select(F.lit(origin).alias("origin_group"), "*")
+        out = named if out is None else out.unionByName(named)
+    return out
+
+
+def per_growth(spark, folder, build) -> DataFrame:
+    """``build(frame, inputs)`` for the growth of every origin group."""
     labelled = panel.growth_labels(features(spark, folder), HORIZON, P.ORIGINS)
     inputs = models.feature_columns(labelled.columns)
-    return models.regression_frame(labelled, origin, HORIZON, inputs), inputs
+    return each_origin(P.ORIGINS, lambda o: build(models.regression_frame(labelled, o, HORIZON, inputs), inputs))
 
 
-def hotspot_labelled(spark, folder):
-    return panel.hotspot_labels(
+def per_hotspot(spark, folder, build) -> DataFrame:
+    """``build(frame, inputs)`` for the hotspots of all foreign-born and of every origin group."""
+    labelled = panel.hotspot_labels(
         features(spark, folder), HORIZON, P.ORIGINS, min_population=P.PANEL_MIN_POPULATION
     )
+    inputs = models.feature_columns(labelled.columns, business_last=True)
+
+    def one(origin: str) -> DataFrame:
+        frame = models.classification_frame(labelled, origin, HORIZON, inputs)
+        return build(models.with_class_weight(frame), inputs)
+
+    return each_origin(["foreign_born", *P.ORIGINS], one)
+
+
+def growth_predictions(spark, folder, settings: models.TreeSettings) -> DataFrame:
+    def build(frame, inputs):
+        model = models.regressor(inputs, settings).fit(frame)
+        return model.transform(frame).select("tract_geoid", "year", "target", "prediction")
+
+    return per_growth(spark, folder, build)
 
 
 @query("train_growth_regressor")
 def train_growth_regressor(spark, folder):
-    """Fit on all rows; the result is the prediction per tract and year."""
-    frame, inputs = growth_frame(spark, folder)
-    model = models.regressor(inputs, REGRESSION).fit(frame)
-    return model.transform(frame).select("tract_geoid", "year", "target", "prediction")
+    """Fit on all rows; the result is the prediction per origin group, tract and year."""
+    return growth_predictions(spark, folder, REGRESSION)
 
 
 @query("train_growth_huber")
 def train_growth_huber(spark, folder):
     """The robust linear alternative."""
-    frame, inputs = growth_frame(spark, folder)
-    model = models.regressor(inputs, models.replace(REGRESSION, loss="huber")).fit(frame)
-    return model.transform(frame).select("tract_geoid", "year", "target", "prediction")
+    return growth_predictions(spark, folder, models.replace(REGRESSION, loss="huber"))
 
 
 @query("train_hotspot_classifier")
 def train_hotspot_classifier(spark, folder):
-    labelled = hotspot_labelled(spark, folder)
-    inputs = models.feature_columns(labelled.columns, business_last=True)
-    frame = models.with_class_weight(models.classification_frame(labelled, "foreign_born", HORIZON, inputs))
-    model = models.classifier(inputs, CLASSIFICATION).fit(frame)
-    return model.transform(frame).select("tract_geoid", "year", "target", models.probability().alias("hotspot_prob"))
+    def build(frame, inputs):
+        model = models.classifier(inputs, CLASSIFICATION).fit(frame)
+        scored = model.transform(frame)
+        return scored.select("tract_geoid", "year", "target", models.probability().alias("hotspot_prob"))
+
+    return per_hotspot(spark, folder, build)
 
 
 @query("cross_validate")
 def cross_validate(spark, folder):
-    """Scores of three tract-disjoint folds."""
-    frame, inputs = growth_frame(spark, folder)
-    folded = folds.group_folds(frame, "tract_geoid", 3)
-    return models.cross_validate(
-        folded, lambda held: models.regressor(inputs, REGRESSION, held), models.evaluate_regression, 3
-    )
+    """Scores of the tract-disjoint folds."""
+
+    def build(frame, inputs):
+        folded = folds.group_folds(frame, "tract_geoid", dims.CV_FOLDS)
+        return models.cross_validate(
+            folded, lambda held: models.regressor(inputs, REGRESSION, held), models.evaluate_regression, dims.CV_FOLDS
+        )
+
+    return per_growth(spark, folder, build)
 
 
 @query("calibrate_isotonic")
 def calibrate_isotonic(spark, folder):
-    labelled = hotspot_labelled(spark, folder)
-    inputs = models.feature_columns(labelled.columns, business_last=True)
-    frame = models.with_class_weight(models.classification_frame(labelled, "foreign_born", HORIZON, inputs))
-    calibrated = models.calibrate(frame, inputs, CLASSIFICATION)
-    return calibrated.transform(frame).select("tract_geoid", "year", "target", "hotspot_prob")
+    def build(frame, inputs):
+        calibrated = models.calibrate(frame, inputs, CLASSIFICATION)
+        return calibrated.transform(frame).select("tract_geoid", "year", "target", "hotspot_prob")
+
+    return per_hotspot(spark, folder, build)
 
 
 @query("feature_importance")
 def feature_importance(spark, folder):
-    frame, inputs = growth_frame(spark, folder)
-    model = models.regressor(inputs, REGRESSION).fit(frame)
-    return models.importance_table(spark, model)
+    def build(frame, inputs):
+        return models.importance_table(spark, models.regressor(inputs, REGRESSION).fit(frame))
+
+    return per_growth(spark, folder, build)
 
 
 @query("permutation_importance")
 def permutation_importance(spark, folder):
-    frame, inputs = growth_frame(spark, folder)
-    model = models.regressor(inputs, REGRESSION).fit(frame)
-    keyed = frame.withColumn("row_key", F.concat_ws("|", "tract_geoid", "year"))
-    return models.permutation_importance(
-        keyed, model, lambda: F.abs(F.col("target") - F.col("prediction")), "row_key"
-    )
+    def build(frame, inputs):
+        model = models.regressor(inputs, REGRESSION).fit(frame)
+        keyed = frame.withColumn("row_key", F.concat_ws("|", "tract_geoid", "year"))
+        return models.permutation_importance(
+            keyed, model, lambda: F.abs(F.col("target") - F.col("prediction")), "row_key"
+        )
+
+    return per_growth(spark, folder, build)
 
 
 @query("train_all_origins")
@@ -99,6 +137,6 @@ def train_all_origins(spark, folder):
     """All groups and one that does not exist: its failure is reported, the others are trained."""
     labelled = panel.growth_labels(features(spark, folder), HORIZON, P.ORIGINS)
     _, status = models.train_all(
-        labelled, models.train_regressor, [*P.ORIGINS, "atlantis"], HORIZON, REGRESSION, folds=2
+        labelled, models.train_regressor, [*P.ORIGINS, "atlantis"], HORIZON, REGRESSION, dims.CV_FOLDS
     )
     return status
