@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from migrascope.llm import chat, decontaminate, hnsw, jaccard, license_scan, mixing, secrets, substring, toxicity, url_filter
+from migrascope.llm import (
+    chat,
+    decontaminate,
+    hnsw,
+    jaccard,
+    language,
+    license_scan,
+    mixing,
+    prefix_trie,
+    repair,
+    secrets,
+    substring,
+    toxicity,
+    url_filter,
+)
 from migrascope.llm.common import fresh, row_key, saved, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,7 +144,24 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.judged(secret_rows(table(spark, sf_dir, "documents"))))
 
 
-OPERATORS = (op1_url_filter, op2_toxicity, op3_chat_format, op4_license_scan, op5_decontamination, op6_substring_dedup, op7_mixing, op8_nearest_neighbours, op9_ngram_jaccard, op10_secret_scan)
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return repair.repair(repair.damaged(rows), repair.turns_of(rows))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turns_of(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.rebuilt(turns), turns.select("conv_id").distinct())
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.learn(docs.filter(~language.held_out(F.col("doc_id"))))
+    told = language.predict(docs.select("doc_id", "text"), model)
+    return told.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted")
+
+
+OPERATORS = (op1_url_filter, op2_toxicity, op3_chat_format, op4_license_scan, op5_decontamination, op6_substring_dedup, op7_mixing, op8_nearest_neighbours, op9_ngram_jaccard, op10_secret_scan, op11_structure_repair, op12_prefix_trie, op13_language_id)
 
 
 def shipped(query: Query) -> Query:
@@ -206,4 +237,107 @@ SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(r, w.doc
 FROM w LEFT JOIN sizes ON sizes.doc_id = w.doc_id LEFT JOIN least_of ON d = w.doc_id
 """
 
-ORACLES: dict[str, str] = {"op3_chat_format": CHAT_SQL, "op6_substring_dedup": REPEATS_SQL, "op9_ngram_jaccard": LINKS_SQL}
+CRC_SQL = """
+crc_table AS (
+  SELECT list(list_reduce([i::UBIGINT] || [0::UBIGINT for k in range(8)],
+                          lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i)),
+crcs AS (
+  SELECT name, xor(list_reduce([4294967295::UBIGINT] || list_transform(string_split(name, ''), lambda ch: ascii(ch)::UBIGINT),
+                               lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::INT + 1])), 4294967295::UBIGINT) AS crc
+  FROM (SELECT DISTINCT name FROM names), crc_table)"""
+
+REPAIR_SQL = rf"""
+WITH RECURSIVE original AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+names AS (SELECT name FROM original), {CRC_SQL},
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN crc % 20 = 4 THEN 'user' ELSE role END AS role,
+         CASE crc % 20 WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM original JOIN crcs USING (name), range(CASE WHEN crc % 20 = 3 THEN 2 ELSE 1 END) WHERE crc % 20 <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+judged AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' END AS fault,
+         left(role, 1) AS h, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM placed),
+steps AS (
+  SELECT conv_id, 0::BIGINT AS i, {{'c': 0, 'w': '', 'o': ''}} AS e, NULL::STRUCT(c INTEGER, w VARCHAR, o VARCHAR) AS s,
+         NULL::STRUCT(c INTEGER, w VARCHAR, o VARCHAR) AS u, NULL::STRUCT(c INTEGER, w VARCHAR, o VARCHAR) AS a
+  FROM (SELECT DISTINCT conv_id FROM judged)
+  UNION ALL
+  SELECT conv_id, i, {{'c': e.c + 2, 'w': e.w || 'D', 'o': e.o}},
+         CASE WHEN h = 's' AND free THEN least(s2, {{'c': e.c + more, 'w': e.w || 'K', 'o': e.o || said}}) ELSE s2 END,
+         CASE WHEN free THEN least(u2, {{'c': x.c + more + (h <> 'u')::INT, 'w': x.w || CASE WHEN h = 'u' THEN 'K' ELSE 'R' END,
+                                         'o': x.o || CASE WHEN h = 'u' THEN said ELSE chr(10) || 'user:' || text END}}) ELSE u2 END,
+         CASE WHEN free AND u1 IS NOT NULL
+              THEN least(a2, {{'c': u1.c + more + (h <> 'a')::INT, 'w': u1.w || CASE WHEN h = 'a' THEN 'K' ELSE 'R' END,
+                               'o': u1.o || CASE WHEN h = 'a' THEN said ELSE chr(10) || 'assistant:' || text END}}) ELSE a2 END
+  FROM (
+    SELECT *, CASE WHEN s IS NOT NULL THEN {{'c': s.c + 2, 'w': s.w || 'D', 'o': s.o}} END AS s2,
+           {{'c': u1.c + 2, 'w': u1.w || 'D', 'o': u1.o}} AS u2, {{'c': a1.c + 2, 'w': a1.w || 'D', 'o': a1.o}} AS a2,
+           least(e, s, a1) AS x
+    FROM (
+      SELECT *, least(a, {{'c': u1.c + 5, 'w': u1.w || 'I', 'o': u1.o || chr(10) || 'assistant:'}}) AS a1
+      FROM (
+        SELECT t.conv_id, j.i, e, s, a, h, role, text, chr(10) || role || ':' || text AS said,
+               fault IS NULL OR fault = 'truncated' AS free, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS more,
+               least(u, {{'c': least(e, s, a).c + 5, 'w': least(e, s, a).w || 'I', 'o': least(e, s, a).o || chr(10) || 'user:'}}) AS u1
+        FROM steps t JOIN judged j ON j.conv_id IS NOT DISTINCT FROM t.conv_id AND j.i = t.i + 1)))),
+lasts AS (
+  SELECT conv_id, least(e, a, {{'c': ua.c + 5, 'w': ua.w || 'I', 'o': ua.o || chr(10) || 'assistant:'}}) AS best
+  FROM (SELECT *, least(u, CASE WHEN s IS NOT NULL THEN {{'c': s.c + 5, 'w': s.w || 'I', 'o': s.o || chr(10) || 'user:'}} END,
+                        {{'c': e.c + 5, 'w': e.w || 'I', 'o': e.o || chr(10) || 'user:'}}) AS ua
+        FROM steps QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1)),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || h NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0)::BIGINT AS cost,
+       coalesce(best.w, '') AS audit, sha256(coalesce(substr(best.o, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM original) o
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN lasts l ON l.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+TRIE_SQL = rf"""
+WITH own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos, role, text
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+names AS (SELECT conv_id::VARCHAR AS name FROM own), {CRC_SQL},
+ids AS (
+  SELECT o.conv_id, o.conv_id - o.conv_id % 5 AS base, (crc % 9)::BIGINT AS h, least(crc % 9, coalesce(b.n, 0))::BIGINT AS taken
+  FROM (SELECT DISTINCT conv_id FROM own) o JOIN crcs ON name = o.conv_id::VARCHAR
+  LEFT JOIN (SELECT conv_id, count(*) AS n FROM own GROUP BY conv_id) b ON b.conv_id = o.conv_id - o.conv_id % 5),
+rebuilt AS (
+  SELECT ids.conv_id, pos, role, text FROM ids JOIN own ON own.conv_id = base AND pos < taken
+  UNION ALL SELECT ids.conv_id, pos - h + taken, role, text FROM ids JOIN own ON own.conv_id = ids.conv_id AND pos >= h),
+paths AS (
+  SELECT conv_id, pos + 1 AS depth, octet_length(encode(text)) AS bytes,
+         string_agg(md5(length(role) || ':' || role || ':' || text), '') OVER (PARTITION BY conv_id ORDER BY pos) AS path FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, '' FROM ids),
+lengths AS (SELECT conv_id, max(depth) AS n FROM paths GROUP BY conv_id),
+nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(bytes) AS own,
+         string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth) AS ended
+  FROM paths JOIN lengths USING (conv_id) GROUP BY path, depth),
+children AS (SELECT left(path, 32 * (depth - 1)) AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+ancestors AS (SELECT left(path, 32 * d) AS path, own, n_children FROM nodes LEFT JOIN children USING (path), range(depth + 1) r(d)),
+sums AS (SELECT path, count(*) FILTER (n_children IS NULL) AS n_leaves, sum(own)::BIGINT AS saved_tokens FROM ancestors GROUP BY path)
+SELECT x.conv_id, x.depth, p.conv_id AS parent_conv_id, x.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens,
+       sha256(coalesce(x.ended, '')) AS ends_sha256
+FROM nodes x JOIN sums USING (path) LEFT JOIN children USING (path)
+LEFT JOIN nodes p ON x.depth > 0 AND p.depth = x.depth - 1 AND p.path = left(x.path, 32 * (x.depth - 1))
+"""
+
+ORACLES: dict[str, str] = {
+    "op3_chat_format": CHAT_SQL,
+    "op6_substring_dedup": REPEATS_SQL,
+    "op9_ngram_jaccard": LINKS_SQL,
+    "op11_structure_repair": REPAIR_SQL,
+    "op12_prefix_trie": TRIE_SQL,
+}

@@ -1,8 +1,11 @@
 """Plain Python versions of the contracts, over all pairs where need be."""
 
 import hashlib
+import heapq
+import math
 import re
-from collections import defaultdict
+import zlib
+from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
@@ -78,3 +81,92 @@ def conversations(rows):
         said = "".join(t for _, r, t in own if r == "assistant")
         out[conv] = (len(own), sha("".join(f"{r}\n{t}\n" for _, r, t in own)), len(said), sha(said))
     return out
+
+
+def _turns(rows, filler):
+    """Conversations from (conv_id, turn, role, text) rows, each in order: null turn first, then role, then text."""
+    out = {}
+    for c, t, r, x in rows:
+        out.setdefault(c, []).append((t is not None, t, filler if r is None else r, filler if x is None else x))
+    return {c: sorted(v, key=lambda row: (row[0], row[1] or 0, row[2], row[3])) for c, v in out.items()}
+
+
+def damage(rows):
+    out = []
+    for c, t, r, x in rows:
+        r, x = " " if r is None else r, " " if x is None else x
+        name = f"{' ' if c is None else c}:{' ' if t is None else t}"
+        fault = zlib.crc32(name.encode()) % 20
+        if fault == 0:
+            continue
+        x = "" if fault == 1 else re.sub("[.!?]", "", x) if fault == 2 else x
+        out += [(c, t, "user" if fault == 4 else r, x)] * (2 if fault == 3 else 1)
+    return out
+
+
+def repairs(ids, rows):
+    """Every conversation's report, by trying the cheapest edit lists in order of cost, then of initials."""
+    found = _turns(rows, " ")
+    out = {}
+    for c in ids:
+        turns = [(t, r, x) for _, t, r, x in found.get(c, [])]
+        ails, seen = [], set()
+        for _, r, x in turns:
+            bare = x.strip(" \t\n\v\f\r")
+            ails.append("blank" if not bare else "duplicate" if (r, x) in seen else "truncated" if bare[-1] not in ".!?" else "")
+            seen.add((r, x))
+        heap, done = [(0, "", 0, "", ())], set()
+        while True:
+            cost, audit, at, roles, text = heapq.heappop(heap)
+            if (at, roles[-1:]) in done:
+                continue
+            done.add((at, roles[-1:]))
+            if at == len(turns) and re.fullmatch("(s?(ua)+)?", roles):
+                break
+            state = roles[-1:]
+            fits = "u" if state != "u" else "a"
+            name = {"u": "user", "a": "assistant"}[fits]
+            heapq.heappush(heap, (cost + 5, audit + "I", at, roles + fits, (*text, f"{name}:")))
+            if at < len(turns):
+                _, r, x = turns[at]
+                heapq.heappush(heap, (cost + 2, audit + "D", at + 1, roles, text))
+                if ails[at] in ("", "truncated"):
+                    more = cost + 5 * (ails[at] == "truncated")
+                    heapq.heappush(heap, (more + 1, audit + "R", at + 1, roles + fits, (*text, f"{name}:{x}")))
+                    if r[:1] == fits or r[:1] == "s" and not roles:
+                        heapq.heappush(heap, (more, audit + "K", at + 1, roles + r[:1], (*text, f"{r}:{x}")))
+        known = [t for t, _, _ in turns if t is not None]
+        gaps = max(known) - min(known) + 1 - len(set(known)) if known else 0
+        firsts = [r[:1] for _, r, _ in turns]
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(firsts, firsts[1:], strict=False))
+        digest = hashlib.sha256("\n".join(text).encode()).hexdigest()
+        out[c] = (gaps, *(ails.count(a) for a in ("blank", "duplicate", "truncated")), illegal, cost, audit, digest)
+    return out
+
+
+def trie(rows):
+    """(conv_id, depth, parent, members, children, leaves, saved, digest of ended ids) of every node."""
+    own = {c: [(r, x) for _, _, r, x in v] for c, v in _turns(rows, "").items() if c is not None}
+    rebuilt = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        rebuilt[c] = own.get(c - int(math.fmod(c, 5)), [])[:h] + turns[h:]
+    nodes = {}
+    for c, turns in rebuilt.items():
+        for d in range(len(turns) + 1):
+            nodes.setdefault(tuple(turns[:d]), []).append(c)
+    children, leaves, saved = Counter(), Counter(), Counter()
+    for path in nodes:
+        if path:
+            children[path[:-1]] += 1
+    for path, members in nodes.items():
+        for d in range(len(path) + 1):
+            leaves[path[:d]] += not children[path]
+            saved[path[:d]] += (len(members) - 1) * len(path[-1][1].encode()) if path else 0
+    out = []
+    for path, members in nodes.items():
+        ended = ",".join(str(c) for c in sorted(members) if len(rebuilt[c]) == len(path))
+        parent = min(nodes[path[:-1]]) if path else None
+        digest = hashlib.sha256(ended.encode()).hexdigest()
+        out.append((min(members), len(path), parent, len(members), children[path], leaves[path], saved[path], digest))
+    return sorted(out, key=str)
