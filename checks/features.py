@@ -163,11 +163,13 @@ def rate(c: str) -> str:
     return f"({future(c)} - {c}_density) / ({c}_density + 1e-8) * 100"
 
 
-@query(
-    "growth_labels",
-    f"""SELECT * FROM (SELECT tract_geoid, year, {", ".join(f"{rate(c)} AS label_{c}_growth_2yr" for c in LABELLED)}
-       FROM ({P.PANEL_SQL})) WHERE label_foreign_born_growth_2yr IS NOT NULL""",
-)
+GROWTH_LABELS_SQL = f"""
+SELECT * FROM (SELECT tract_geoid, year, {", ".join(f"{rate(c)} AS label_{c}_growth_2yr" for c in LABELLED)}
+FROM ({P.PANEL_SQL})) WHERE label_foreign_born_growth_2yr IS NOT NULL
+"""
+
+
+@query("growth_labels", GROWTH_LABELS_SQL)
 def growth_labels(spark, folder):
     df = panel.growth_labels(P.panel(spark, folder), HORIZON, P.ORIGINS)
     return df.select(*KEYS, *[panel.growth_label(c, HORIZON) for c in LABELLED])

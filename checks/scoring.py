@@ -25,6 +25,51 @@ def group_folds(spark, folder):
     return folds.group_folds(P.raw_panel(spark, folder).select("tract_geoid", "year"), "tract_geoid")
 
 
+@query(
+    "balanced_group_folds",
+    f"""WITH RECURSIVE sizes AS (SELECT tract_geoid, count(*) AS n FROM ({P.RAW_PANEL_SQL}) GROUP BY 1),
+    placed AS (SELECT n, row_number() OVER (ORDER BY n DESC) AS i FROM sizes),
+    dealt AS (
+      SELECT 0::BIGINT AS i, [0::BIGINT FOR k IN range(5)] AS loads, [0::BIGINT FOR k IN range(5)] AS members
+      UNION ALL
+      SELECT p.i, list_transform(loads, lambda x, k: CASE WHEN k = list_position(loads, list_min(loads)) THEN x + n ELSE x END),
+             list_transform(members, lambda x, k: CASE WHEN k = list_position(loads, list_min(loads)) THEN x + 1 ELSE x END)
+      FROM dealt d JOIN placed p ON p.i = d.i + 1)
+    SELECT (k - 1)::INTEGER AS fold, loads[k] AS rows_in_fold, members[k] AS tracts, 0::BIGINT AS split_tracts
+    FROM (SELECT * FROM dealt ORDER BY i DESC LIMIT 1), range(1, 6) f(k)""",
+)
+def balanced_group_folds(spark, folder):
+    """Folds of nearly equal rows, the largest tract first: rows and tracts of each, and tracts in two folds (none)."""
+    folded = folds.balanced_group_folds(P.raw_panel(spark, folder).select("tract_geoid", "year"), "tract_geoid")
+    tracts = folded.groupBy("tract_geoid").agg(F.min("fold").alias("fold"), F.count(F.lit(1)).alias("n"), F.count_distinct("fold").alias("k"))
+    return tracts.groupBy("fold").agg(
+        F.sum("n").alias("rows_in_fold"), F.count(F.lit(1)).alias("tracts"), F.count_if(F.col("k") > 1).alias("split_tracts")
+    )
+
+
+@query(
+    "label_group_folds",
+    f"""WITH counts AS (
+      SELECT lang, sum((y = 1)::INT) AS ones, sum((y = 0)::INT) AS zeros FROM ({P.SCORES_SQL}) GROUP BY doc_id // 10, lang),
+    most AS (SELECT max(ones) AS a, max(zeros) AS b, sum(ones) AS c, sum(zeros) AS d FROM counts)
+    SELECT k::INTEGER AS fold, c::BIGINT AS ones, d::BIGINT AS zeros, true AS even FROM most, range(5) f(k)""",
+)
+def label_group_folds(spark, folder):
+    """Folds with even label shares over groups of documents: all labels of the table, and whether the fold's share of
+    either label is within one group's share of a fifth."""
+    group = F.concat_ws("|", F.floor(F.col("doc_id") / 10), "lang")
+    rows = P.scores(spark, folder).withColumn("__group_key", group).select("__group_key", "y")
+    table = folds.label_fold_table(rows, "__group_key", "y")
+    folded = rows.join(table, "__group_key")
+    one, zero = (F.sum((F.col("y") == k).cast("long")) for k in (1, 0))
+    groups = folded.groupBy("__group_key").agg(one.alias("ones"), zero.alias("zeros")).agg(
+        F.max("ones").alias("a"), F.max("zeros").alias("b"), F.sum("ones").alias("c"), F.sum("zeros").alias("d")
+    )
+    shares = folded.groupBy("fold").agg(one.alias("mine"), zero.alias("others")).crossJoin(F.broadcast(groups))  # five rows, one row
+    even = (F.abs(F.col("mine") - F.col("c") / 5) <= F.col("a")) & (F.abs(F.col("others") - F.col("d") / 5) <= F.col("b"))
+    return shares.select("fold", F.col("c").alias("ones"), F.col("d").alias("zeros"), even.alias("even"))
+
+
 @query(
     "stratified_group_folds",
     f"""SELECT doc_id, y, cast((row_number() OVER (PARTITION BY y ORDER BY md5('42|' || cast(doc_id AS varchar)), doc_id) - 1) % 5 AS integer) AS fold

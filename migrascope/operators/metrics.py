@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from migrascope import dims
 from migrascope.functions import values
-from migrascope.operators.order_stats import RANGE_ROWS, quantiles, running_totals
+from migrascope.operators.order_stats import RANGE_ROWS, quantiles, quantiles_of_many, running_totals
 
 
 def _grouped(df: DataFrame, groups: list[str] | None, *aggregates: Column) -> DataFrame:
@@ -44,7 +44,7 @@ def brier_score(df: DataFrame, label: str, prob: str, groups: list[str] | None =
     return _grouped(df, groups, F.avg(gap * gap).alias("brier_score"))
 
 
-def _class_totals(
+def class_totals(
     df: DataFrame, label: str, prob: str, groups: list[str] | None, range_rows: int | None
 ) -> DataFrame:
     """Positives and negatives at and below every distinct score."""
@@ -60,7 +60,7 @@ def roc_auc(
     df: DataFrame, label: str, prob: str, groups: list[str] | None = None, range_rows: int | None = RANGE_ROWS
 ) -> DataFrame:
     """Area under the ROC curve: the chance that a positive outranks a negative, ties half."""
-    totals = _class_totals(df, label, prob, groups, range_rows)
+    totals = class_totals(df, label, prob, groups, range_rows)
     won = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0))
     pairs = F.max(F.col("pos_total").cast("double") * F.col("neg_total"))
     return _grouped(totals, groups, values.ratio(won, pairs).alias("roc_auc"))
@@ -78,7 +78,7 @@ def average_precision(
     df: DataFrame, label: str, prob: str, groups: list[str] | None = None, range_rows: int | None = RANGE_ROWS
 ) -> DataFrame:
     """Precision at each distinct threshold, weighted by the recall gained there."""
-    totals = _class_totals(df, label, prob, groups, range_rows)
+    totals = class_totals(df, label, prob, groups, range_rows)
     hits, misses = _from_above()
     gained = values.ratio(F.col("pos"), F.col("pos_total"))
     return _grouped(
@@ -90,7 +90,7 @@ def classification_metrics(
     df: DataFrame, label: str, prob: str, groups: list[str] | None = None, range_rows: int | None = RANGE_ROWS
 ) -> DataFrame:
     """ROC-AUC, average precision and Brier score out of the same class totals."""
-    totals = _class_totals(df, label, prob, groups, range_rows)
+    totals = class_totals(df, label, prob, groups, range_rows)
     hits, misses = _from_above()
     won = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0))
     pairs = F.max(F.col("pos_total").cast("double") * F.col("neg_total"))
@@ -110,7 +110,7 @@ def pr_curve(
     df: DataFrame, label: str, prob: str, groups: list[str] | None = None, range_rows: int | None = RANGE_ROWS
 ) -> DataFrame:
     """Precision and recall at every distinct threshold, plus the end point (1, 0)."""
-    totals = _class_totals(df, label, prob, groups, range_rows)
+    totals = class_totals(df, label, prob, groups, range_rows)
     hits, misses = _from_above()
     keys = groups or []
     curve = totals.select(
@@ -129,19 +129,20 @@ def pr_curve(
     return curve.unionByName(end)
 
 
-def _cells(label: str, predicted: str) -> dict[tuple[int, int], Column]:
+def _cells(label: str, predicted: str, count: str | None = None) -> dict[tuple[int, int], Column]:
+    n = F.col(count) if count else F.lit(1)
     return {
         (y, p): F.coalesce(
-            F.sum(values.flag((F.col(label) == y) & (F.col(predicted) == p))), F.lit(0)
+            F.sum(values.flag((F.col(label) == y) & (F.col(predicted) == p)) * n), F.lit(0)
         )
         for y in (0, 1)
         for p in (0, 1)
     }
 
 
-def confusion_matrix(df: DataFrame, label: str, predicted: str) -> DataFrame:
-    """Four rows (actual, predicted, n), empty cells included."""
-    cells = _cells(label, predicted)
+def confusion_matrix(df: DataFrame, label: str, predicted: str, count: str | None = None) -> DataFrame:
+    """Four rows (actual, predicted, n), empty cells included; ``count``: how many rows each row stands for."""
+    cells = _cells(label, predicted, count)
     one = df.agg(*[c.alias(f"c{y}{p}") for (y, p), c in cells.items()])
     rows = F.array(
         *[
@@ -156,9 +157,9 @@ def confusion_matrix(df: DataFrame, label: str, predicted: str) -> DataFrame:
     return one.select(F.inline(rows))
 
 
-def classification_report(df: DataFrame, label: str, predicted: str) -> DataFrame:
+def classification_report(df: DataFrame, label: str, predicted: str, count: str | None = None) -> DataFrame:
     """Precision, recall, F1 and support per class, then accuracy, macro and weighted means."""
-    one = df.agg(*[c.cast("double").alias(f"c{y}{p}") for (y, p), c in _cells(label, predicted).items()])
+    one = df.agg(*[c.cast("double").alias(f"c{y}{p}") for (y, p), c in _cells(label, predicted, count).items()])
 
     def share(a: Column, b: Column) -> Column:
         return F.coalesce(F.try_divide(a, b), F.lit(0.0))
@@ -239,6 +240,46 @@ def winsorize(
     return clean.withColumn(out or column, values.clip(F.col(out or column), *bounds))
 
 
+def winsorize_many(
+    df: DataFrame, columns: list[str], probs: tuple[float, float] = dims.WINSOR_PROBS, range_rows: int | None = RANGE_ROWS
+) -> DataFrame:
+    """Clip each column to its own percentiles, all bounds from one range sort. NULL stays NULL; other undefined
+    values are set to 0 first."""
+    clean = df.withColumns({c: F.when(F.col(c).isNotNull(), values.finite_or_zero(F.col(c))) for c in columns})
+    bounds = quantiles_of_many(clean, columns, list(probs), range_rows)
+    return clean.withColumns({c: values.clip(F.col(c), *b) for c, b in bounds.items()})
+
+
+def totals_report(totals: DataFrame, prob: str, threshold: float = 0.5) -> dict[str, DataFrame]:
+    """Every classification metric from stored ``class_totals`` alone, at a decision threshold where one is needed.
+
+    Counts per score hold all that area, precision, Brier score, curve, cells and report need, so the rows are not
+    read again.
+    """
+    hits, misses = _from_above()
+    won = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0))
+    pairs = F.max(F.col("pos_total").cast("double") * F.col("neg_total"))
+    gained = values.ratio(F.col("pos"), F.col("pos_total"))
+    p = F.col(prob)
+    squares = F.col("pos") * (1 - p) * (1 - p) + F.col("neg") * p * p
+    curve = totals.select(
+        p.alias("threshold"), values.ratio(hits, hits + misses).alias("precision"), values.ratio(hits, F.col("pos_total")).alias("recall")
+    )
+    end = totals.limit(1).select(F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
+    # A row per class and decision, which stands for as many rows as its count.
+    cell = F.struct(F.lit(1).alias("y"), F.col("pos").alias("n")), F.struct(F.lit(0).alias("y"), F.col("neg").alias("n"))
+    decided = totals.select(values.flag(p >= threshold).alias("d"), F.inline(F.array(*cell)))
+    cells = decided.groupBy("y", "d").agg(F.sum("n").alias("n"))
+    return {
+        "roc_auc": totals.agg(values.ratio(won, pairs).alias("roc_auc")),
+        "average_precision": totals.agg(F.sum(gained * values.ratio(hits, hits + misses)).alias("average_precision")),
+        "brier_score": totals.agg(values.ratio(F.sum(squares), F.sum(F.col("pos") + F.col("neg"))).alias("brier_score")),
+        "classification_report": classification_report(cells, "y", "d", "n"),
+        "confusion_matrix": confusion_matrix(cells, "y", "d", "n"),
+        "pr_curve": curve.unionByName(end),
+    }
+
+
 def calibration_by_decile(
     df: DataFrame, label: str, prob: str, size: str, deciles: int = 10
 ) -> DataFrame:

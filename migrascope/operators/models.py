@@ -1,62 +1,50 @@
 """Boosted-tree models per origin group: growth regression and hotspot classification.
 
-Training, scoring and evaluation are Spark ML jobs over one cached feature table. The driver loops
-over origin groups and folds only to submit jobs.
+All groups, folds and calibration folds of a family are fitted together over one table of binned inputs
+(``boosting``). Scoring walks the trees of all groups in one narrow pass.
 """
 
 from __future__ import annotations
 
 import logging
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import (
-    GBTRegressor,
-    IsotonicRegression,
-    IsotonicRegressionModel,
-    LinearRegression,
-)
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from migrascope import dims
 from migrascope.functions import values
+from migrascope.operators import attribution, boosting, isotonic, metrics
 from migrascope.operators import folds as fold_ops
-from migrascope.operators import metrics
-from migrascope.operators.order_stats import sample_rows
+from migrascope.operators.boosting import Forest, Spec
+from migrascope.operators.isotonic import IsotonicMap
+from migrascope.operators.order_stats import quantiles_of_many, sample_rows
 from migrascope.operators.panel import growth_label, hotspot_label, sanitize
 from migrascope.operators.serving import score_threshold
 from migrascope.session import ensure_checkpoint_dir
 
 log = logging.getLogger(__name__)
 
+TreeSettings = boosting.Settings
 
-@dataclass(frozen=True)
-class TreeSettings:
-    """Settings of a boosted-tree model."""
-
-    trees: int
-    learning_rate: float
-    depth: int
-    min_rows: int
-    row_share: float = 0.8
-    feature_share: str = "0.8"
-    tolerance: float = 0.01
-    loss: str = "absolute"
-    seed: int = dims.CV_SEED
-
-
-# --- Fixed values: tree counts, rates, shares and minimum leaf rows of the two model families. ---
-REGRESSOR = TreeSettings(trees=1200, learning_rate=0.03, depth=6, min_rows=40)
-CLASSIFIER = TreeSettings(trees=1000, learning_rate=0.05, depth=6, min_rows=50)
+# --- Fixed values: tree counts, rates, leaves, shares, penalties and minimum leaf rows of the two model families. ---
+REGRESSOR = TreeSettings(
+    trees=1200, learning_rate=0.03, leaves=64, min_rows=40, row_share=0.8, feature_share=0.8, l1=0.1, l2=0.2,
+    patience=100, loss="huber", huber_quantile=0.85, seed=dims.CV_SEED,
+)
+CLASSIFIER = TreeSettings(
+    trees=1000, learning_rate=0.05, leaves=64, min_rows=50, row_share=0.8, feature_share=0.8, l1=0.1, l2=0.2,
+    patience=100, loss="logistic", seed=dims.CV_SEED,
+)
+ATTRIBUTED_ROWS = 1000  # rows whose predictions are attributed to inputs when a model is trained
 
 
 SHUFFLE_ROWS = 10_000  # rows among which an input is permuted
+KEYS = ["tract_geoid", "year"]
 
 
 def feature_columns(columns: list[str], business_last: bool = False) -> list[str]:
@@ -89,135 +77,64 @@ def feature_columns(columns: list[str], business_last: bool = False) -> list[str
     return [c for c in dict.fromkeys([*listed, *years, *lags]) if not c.startswith("label_")]
 
 
-def regression_frame(labelled: DataFrame, origin: str, horizon: int, inputs: list[str]) -> DataFrame:
-    """Keys, clean inputs and the target clipped to its 1st and 99th percentile."""
-    target = growth_label(origin, horizon)
-    if target not in labelled.columns:
-        raise ValueError(f"no column {target}")
-    kept = [c for c in ("tract_geoid", "year", "total_pop") if c not in inputs]
-    frame = labelled.select(*kept, *inputs, F.col(target).alias("target")).filter("target IS NOT NULL")
-    return metrics.winsorize(sanitize(frame, inputs), "target")
-
-
-def classification_frame(labelled: DataFrame, origin: str, horizon: int, inputs: list[str]) -> DataFrame:
-    target = hotspot_label(origin, horizon)
-    if target not in labelled.columns:
-        raise ValueError(f"no column {target}")
-    kept = [c for c in ("tract_geoid", "year", "total_pop") if c not in inputs]
-    label = F.col(target).cast("double").alias("target")
-    return sanitize(labelled.select(*kept, *inputs, label).filter("target IS NOT NULL"), inputs)
-
-
-def with_class_weight(df: DataFrame, label: str = "target", fitted: Column | None = None) -> DataFrame:
-    """Add ``weight``; the two class weights are fetched and written in as literals.
-
-    ``fitted`` tells the rows that the weights are balanced over, by default all.
-    """
-    weight = F.lit(1.0)
-    rows = df if fitted is None else df.filter(fitted)
-    for row in fold_ops.balanced_weights(rows, label).collect():  # two rows
-        weight = F.when(F.col(label) == row.label, row.weight).otherwise(weight)
-    return df.withColumn("weight", weight)
-
-
-def regressor(inputs: list[str], settings: TreeSettings = REGRESSOR, validation: str | None = None) -> Pipeline:
-    """Boosted trees; ``loss='huber'`` gives the robust linear model instead."""
-    assembler = VectorAssembler(inputCols=inputs, outputCol="inputs")
-    if settings.loss == "huber":
-        model = LinearRegression(
-            featuresCol="inputs", labelCol="target", loss="huber", predictionCol="prediction"
-        )
-        return Pipeline(stages=[assembler, model])
-    model = GBTRegressor(
-        featuresCol="inputs", labelCol="target", lossType=settings.loss, **_tree_arguments(settings)
-    )
-    return Pipeline(stages=[assembler, _stopping(model, validation)])
-
+def row_key(df: DataFrame, inputs: list[str]) -> Column:
+    """What tells rows apart when trees sample them: tract and year, or else all inputs."""
+    keys = [c for c in KEYS if c in df.columns] or inputs
+    return F.struct(*[F.col(c) for c in keys])
 
-def classifier(inputs: list[str], settings: TreeSettings = CLASSIFIER, validation: str | None = None) -> Pipeline:
-    assembler = VectorAssembler(inputCols=inputs, outputCol="inputs")
-    model = GBTClassifier(
-        featuresCol="inputs", labelCol="target", weightCol="weight", **_tree_arguments(settings)
-    )
-    return Pipeline(stages=[assembler, _stopping(model, validation)])
 
+def deltas_of(frame: DataFrame, targets: list[str], settings: TreeSettings) -> list[float] | None:
+    """Huber threshold of each target: a quantile of the distances from the mean, all from one range sort."""
+    if settings.loss != "huber":
+        return None
+    means = frame.agg(*[F.avg(t).alias(t) for t in targets]).first()
+    away = frame.select(*[F.abs(F.col(t) - F.lit(means[t])).alias(t) for t in targets])
+    found = quantiles_of_many(away, targets, [settings.huber_quantile])
+    return [found[t][0] if t in found else 0.0 for t in targets]
 
-def _tree_arguments(settings: TreeSettings) -> dict:
-    return {
-        "maxIter": settings.trees,
-        "stepSize": settings.learning_rate,
-        "maxDepth": settings.depth,
-        "minInstancesPerNode": settings.min_rows,
-        "subsamplingRate": settings.row_share,
-        "featureSubsetStrategy": settings.feature_share,
-        "validationTol": settings.tolerance,
-        "seed": settings.seed,
-        "cacheNodeIds": True,
-        "checkpointInterval": 10,
-    }
-
-
-def _stopping(model, validation: str | None):
-    return model.setValidationIndicatorCol(validation) if validation else model
 
+@dataclass(frozen=True)
+class Booster:
+    """One model over a frame with a ``target`` column."""
 
-def probability(column: str = "probability") -> Column:
-    return vector_to_array(column)[1]
+    inputs: list[str]
+    settings: TreeSettings
 
+    def fit(self, frame: DataFrame) -> Forest:
+        ensure_checkpoint_dir(frame.sparkSession)
+        keyed = frame.withColumn("__row", row_key(frame, self.inputs))
+        deltas = deltas_of(frame, ["target"], self.settings)
+        spec = Spec("model", 0)
+        return boosting.fit(keyed, self.inputs, ["target"], [], "__row", [spec], self.settings, deltas)["model"][0]
 
-def cross_validate(
-    frame: DataFrame,
-    make: Callable[[str], Pipeline],
-    evaluate: Callable[[DataFrame], DataFrame],
-    folds: int = dims.CV_FOLDS,
-    weighted: bool = False,
-) -> DataFrame:
-    """Scores per fold. ``frame`` has a ``fold`` column; ``weighted`` balances the classes of each fit.
 
-    Each fit sees all rows, with the held-out fold marked as validation: boosting stops when the
-    error there no longer falls, and the same fold is then scored.
-    """
-    scores = None
-    for k in range(folds):
-        marked = frame.withColumn("held_out", F.col("fold") == k)
-        if weighted:
-            marked = with_class_weight(marked, fitted=~F.col("held_out"))
-        model = make("held_out").fit(marked)
-        scored = model.transform(marked.filter("held_out"))
-        row = evaluate(scored).select(F.lit(k + 1).alias("fold"), "*")
-        scores = row if scores is None else scores.unionByName(row)
-    return scores
+def regressor(inputs: list[str], settings: TreeSettings = REGRESSOR) -> Booster:
+    return Booster(list(inputs), settings)
 
 
-def evaluate_regression(scored: DataFrame) -> DataFrame:
-    return metrics.regression_metrics(scored, "target", "prediction").drop("n")
+def classifier(inputs: list[str], settings: TreeSettings = CLASSIFIER) -> Booster:
+    return Booster(list(inputs), settings)
 
 
-def evaluate_classification(scored: DataFrame) -> DataFrame:
-    rows = scored.select(F.col("target").cast("int").alias("y"), probability().alias("p"))
-    return metrics.classification_metrics(rows, "y", "p")
+def linear_huber(inputs: list[str]) -> Pipeline:
+    """The robust linear alternative to the boosted regressor."""
+    assembler = VectorAssembler(inputCols=inputs, outputCol="inputs")
+    model = LinearRegression(featuresCol="inputs", labelCol="target", loss="huber", predictionCol="prediction")
+    return Pipeline(stages=[assembler, model])
 
 
-def feature_importance(model: PipelineModel) -> list[tuple[str, float]]:
+def feature_importance(model: Forest) -> list[tuple[str, float]]:
     """(input, share of the total gain), largest first; one entry per input column."""
-    names = model.stages[0].getInputCols()
-    trees = model.stages[-1]
-    if not hasattr(trees, "featureImportances"):
-        coefficients = trees.coefficients.toArray()
-        total = float(abs(coefficients).sum()) or 1.0
-        shares = [abs(float(c)) / total for c in coefficients]
-    else:
-        shares = [float(s) for s in trees.featureImportances.toArray()]
-    return sorted(zip(names, shares, strict=True), key=lambda pair: (-pair[1], pair[0]))
+    return model.importance()
 
 
-def importance_table(spark: SparkSession, model: PipelineModel) -> DataFrame:
+def importance_table(spark: SparkSession, model: Forest) -> DataFrame:
     return spark.createDataFrame(feature_importance(model), "feature string, importance double")
 
 
 def permutation_importance(
     frame: DataFrame,
-    model: PipelineModel,
+    model: Forest,
     error: Callable[[], Column],
     key: str,
     rows: int | None = None,
@@ -229,7 +146,7 @@ def permutation_importance(
     a random permutation that needs one shuffle. Copies of a row, one per input with that input
     replaced, are scored where they arise and leave the task as sums only.
     """
-    names = model.stages[0].getInputCols()
+    names = model.inputs
     used = frame if rows is None else sample_rows(frame, key, rows)
     text = F.col(key).cast("string")
     groups = max(1, used.count() // SHUFFLE_ROWS)
@@ -260,70 +177,200 @@ def permutation_importance(
 class CalibratedClassifier:
     """Classifiers of the calibration folds, each with its isotonic map; probabilities are averaged."""
 
-    members: tuple[tuple[PipelineModel, IsotonicRegressionModel], ...]
+    members: tuple[tuple[Forest, IsotonicMap], ...]
 
     def transform(self, df: DataFrame) -> DataFrame:
         """``df`` plus ``raw_i`` and ``calibrated_i`` per member and their mean ``hotspot_prob``."""
-        out = df
-        for i, (model, isotonic) in enumerate(self.members):
-            scored = model.transform(out).withColumn(f"raw_{i}", probability())
-            scored = scored.drop("inputs", "rawPrediction", "probability", "prediction")
-            out = isotonic.setFeaturesCol(f"raw_{i}").setPredictionCol(f"calibrated_{i}").transform(scored)
-        mean = sum((F.col(f"calibrated_{i}") for i in range(len(self.members))), F.lit(0.0))
-        clipped = F.least(F.lit(1.0), F.greatest(F.lit(0.0), mean / len(self.members)))
-        return out.withColumn("hotspot_prob", clipped)
+        return add_probabilities(df, {"hotspot_prob": self}, {"hotspot_prob": ""})
 
     def save(self, path: str) -> None:
-        for i, (model, isotonic) in enumerate(self.members):
-            model.write().overwrite().save(f"{path}/member={i}/model")
-            isotonic.write().overwrite().save(f"{path}/member={i}/isotonic")
+        for i, (model, isotonic_map) in enumerate(self.members):
+            model.save(isotonic_map.pools.sparkSession, f"{path}/member={i}/model")
+            isotonic_map.save(f"{path}/member={i}/isotonic")
 
     @staticmethod
     def load(path: str, members: int = dims.CALIBRATION_FOLDS) -> "CalibratedClassifier":
+        spark = SparkSession.getActiveSession()
         return CalibratedClassifier(
             tuple(
-                (
-                    PipelineModel.load(f"{path}/member={i}/model"),
-                    IsotonicRegressionModel.load(f"{path}/member={i}/isotonic"),
-                )
+                (Forest.load(spark, f"{path}/member={i}/model"), IsotonicMap.load(spark, f"{path}/member={i}/isotonic"))
                 for i in range(members)
             )
         )
 
 
-def calibrate(
-    frame: DataFrame,
-    inputs: list[str],
-    settings: TreeSettings = CLASSIFIER,
-    folds: int = dims.CALIBRATION_FOLDS,
-    group: str = "tract_geoid",
-) -> CalibratedClassifier:
-    """Fit on all folds but one, fit the isotonic map on the one left out, for each fold.
-
-    Equal probabilities are merged into one weighted point before the isotonic fit.
+def add_probabilities(df: DataFrame, models: dict[str, CalibratedClassifier], marks: dict[str, str]) -> DataFrame:
+    """A probability per classifier; all their trees in one pass, all their isotonic maps in the next.
+
+    ``marks``: what stands before the names of a classifier's ``raw_i`` and ``calibrated_i``.
     """
-    folded = frame.withColumn("calibration_fold", fold_ops.hash_fold(F.col(group), folds))
-    members = []
-    for k in range(folds):
-        held_out = F.col("calibration_fold") == k
-        model = classifier(inputs, settings).fit(with_class_weight(folded.filter(~held_out)))
-        scored = model.transform(folded.filter(held_out)).select("target", probability().alias("p"))
-        points = scored.groupBy("p").agg(
-            F.avg("target").alias("rate"), F.count(F.lit(1)).cast("double").alias("n")
-        )
-        isotonic = IsotonicRegression(featuresCol="p", labelCol="rate", weightCol="n").fit(points)
-        members.append((model, isotonic))
-    return CalibratedClassifier(tuple(members))
+    raw = {f"{marks[n]}raw_{i}": f for n, c in models.items() for i, (f, _) in enumerate(c.members)}
+    scored = boosting.add_scores(df, raw)
+    maps = {f"{marks[n]}calibrated_{i}": (f"{marks[n]}raw_{i}", m) for n, c in models.items() for i, (_, m) in enumerate(c.members)}
+    mapped = isotonic.add_mapped(scored, maps)
+    means = {}
+    for name, c in models.items():
+        members = [F.col(f"{marks[name]}calibrated_{i}") for i in range(len(c.members))]
+        mean = sum(members, F.lit(0.0)) / max(len(members), 1)
+        means[name] = F.least(F.lit(1.0), F.greatest(F.lit(0.0), mean))
+    return mapped.withColumns(means)
 
 
 @dataclass
 class TrainedModel:
     origin: str
     horizon: int
-    model: PipelineModel
+    model: Forest
     inputs: list[str]
     fold_scores: DataFrame
     calibrated: CalibratedClassifier | None = None
+    attributions: DataFrame | None = None  # tract, year, base value and an attribution per input
+    curves: tuple[tuple[float, ...], ...] = ()  # error on the left-out fold after each tree, per fold
+
+
+@dataclass(frozen=True)
+class Family:
+    """What sets the two kinds of models apart."""
+
+    label: Callable[[str, int], str]
+    business_last: bool
+    calibrated: bool
+
+
+GROWTH = Family(growth_label, business_last=False, calibrated=False)
+HOTSPOT = Family(hotspot_label, business_last=True, calibrated=True)
+
+
+def training_frame(labelled: DataFrame, family: Family, origins: list[str], horizon: int, inputs: list[str], folds: int) -> DataFrame:
+    """Keys, clean inputs, a target per group (``__y_…``), fold columns and a row key, stored once.
+
+    Growth is clipped to its percentiles, all groups in one range sort, and groups share one fold column; hotspot
+    folds even out each group's own labels.
+    """
+    kept = [c for c in (*KEYS, "total_pop") if c not in inputs]
+    targets = {o: F.col(family.label(o, horizon)).cast("double").alias(f"__y_{o}") for o in origins}
+    frame = sanitize(labelled.select(*kept, *inputs, *targets.values()), inputs)
+    if family is GROWTH:
+        frame = metrics.winsorize_many(frame, [f"__y_{o}" for o in origins])
+        frame = fold_ops.balanced_group_folds(frame, "tract_geoid", folds, "__fold")
+    else:
+        for o in origins:
+            table = fold_ops.label_fold_table(frame, "tract_geoid", f"__y_{o}", folds, f"__fold_{o}").withColumnRenamed("tract_geoid", "__group")
+            frame = frame.join(table, F.col("tract_geoid").eqNullSafe(F.col("__group"))).drop("__group")
+        frame = frame.withColumn("__calibration", fold_ops.hash_fold(F.col("tract_geoid"), dims.CALIBRATION_FOLDS))
+    return frame.withColumn("__row", row_key(frame, inputs)).checkpoint()
+
+
+def fold_columns(family: Family, origins: list[str]) -> list[str]:
+    return ["__fold"] if family is GROWTH else [*(f"__fold_{o}" for o in origins), "__calibration"]
+
+
+def specs_of(family: Family, origins: list[str], folds: int) -> list[Spec]:
+    """The models of all groups: one on all rows, one without each fold, and those to calibrate."""
+    out = []
+    for t, o in enumerate(origins):
+        fold = 0 if family is GROWTH else t
+        out.append(Spec(f"{o}/all", t))
+        out += [Spec(f"{o}/{k}", t, fold, k, early=True) for k in range(folds)]
+        if family.calibrated:
+            out += [Spec(f"{o}/calibration{k}", t, len(origins), k) for k in range(dims.CALIBRATION_FOLDS)]
+    return out
+
+
+def held_out_scores(frame: DataFrame, family: Family, origins: list[str], folds: int, fitted: dict, column: str | None = None, prefix: str = "") -> DataFrame:
+    """(origin_group, fold, tract_geoid, year, target, prediction): each row scored by the model that did not see it."""
+    parts = {}
+    for o in origins:
+        fold = column or ("__fold" if family is GROWTH else f"__fold_{o}")
+        parts[f"__p_{o}"] = (fold, [fitted[f"{o}/{prefix}{k}"][0] for k in range(folds)])
+    scored = boosting.add_fold_scores(frame, parts)
+    rows = F.array(*[
+        F.struct(
+            F.lit(o).alias("origin_group"), F.col(parts[f"__p_{o}"][0]).cast("int").alias("fold"),
+            F.col(f"__y_{o}").alias("target"), F.col(f"__p_{o}").alias("prediction"),
+        )
+        for o in origins
+    ])
+    return scored.select(*KEYS, F.inline(rows)).filter("target IS NOT NULL")
+
+
+def evaluate_folds(scored: DataFrame, family: Family) -> DataFrame:
+    """Scores per group and fold, numbered from 1, in one pass over all groups' held-out rows."""
+    groups = ["origin_group", "fold"]
+    if family is GROWTH:
+        found = metrics.regression_metrics(scored, "target", "prediction", groups).drop("n")
+    else:
+        rows = scored.select(*groups, F.col("target").cast("int").alias("y"), F.col("prediction").alias("p"))
+        found = metrics.classification_metrics(rows, "y", "p", groups)
+    return found.withColumn("fold", F.col("fold") + 1)
+
+
+def cross_validate(labelled: DataFrame, family: Family, origins: list[str], horizon: int, settings: TreeSettings, folds: int = dims.CV_FOLDS) -> DataFrame:
+    """Scores of every group and fold, with the trees that patience kept.
+
+    Boosting stops when the error on the left-out fold has not fallen for ``settings.patience`` trees, keeps the
+    trees of its least error, and the same fold is then scored.
+    """
+    ensure_checkpoint_dir(labelled.sparkSession)
+    inputs = feature_columns(labelled.columns, family.business_last)
+    frame = training_frame(labelled, family, origins, horizon, inputs, folds)
+    specs = [s for s in specs_of(family, origins, folds) if s.early]
+    fitted = _fit(frame, family, origins, inputs, specs, settings)
+    scores = evaluate_folds(held_out_scores(frame, family, origins, folds, fitted), family)
+    kept = [(o, k + 1, fitted[f"{o}/{k}"][0].trees, len(fitted[f"{o}/{k}"][1])) for o in origins for k in range(folds)]
+    trees = labelled.sparkSession.createDataFrame(kept, "origin_group string, fold int, trees_kept int, trees_grown int")
+    return scores.join(trees, ["origin_group", "fold"])
+
+
+def _fit(frame: DataFrame, family: Family, origins: list[str], inputs: list[str], specs: list[Spec], settings: TreeSettings) -> dict:
+    targets = [f"__y_{o}" for o in origins]
+    deltas = deltas_of(frame, targets, settings)
+    return boosting.fit(frame, inputs, targets, fold_columns(family, origins), "__row", specs, settings, deltas)
+
+
+def calibrators(frame: DataFrame, family: Family, origins: list[str], fitted: dict) -> dict[str, CalibratedClassifier]:
+    """Per group: the models that left a calibration fold out, and the isotonic maps of the probabilities they give
+    that fold. All groups' and folds' maps are pooled in one job; equal probabilities are one weighted point."""
+    n = dims.CALIBRATION_FOLDS
+    scored = held_out_scores(frame, family, origins, n, fitted, "__calibration", "calibration")
+    found = isotonic.pools(scored, ["origin_group", "fold"], "prediction", "target").checkpoint()
+    out = {}
+    for o in origins:
+        maps = [IsotonicMap.of(found.filter((F.col("origin_group") == o) & (F.col("fold") == k)).select("lo", "hi", "value")) for k in range(n)]
+        out[o] = CalibratedClassifier(tuple((fitted[f"{o}/calibration{k}"][0], m) for k, m in enumerate(maps)))
+    return out
+
+
+def calibrate(labelled: DataFrame, origins: list[str], horizon: int, settings: TreeSettings = CLASSIFIER) -> tuple[DataFrame, dict[str, CalibratedClassifier]]:
+    """The training rows of all groups and their calibrated classifiers."""
+    ensure_checkpoint_dir(labelled.sparkSession)
+    inputs = feature_columns(labelled.columns, business_last=True)
+    frame = training_frame(labelled, HOTSPOT, origins, horizon, inputs, dims.CV_FOLDS)
+    specs = [s for s in specs_of(HOTSPOT, origins, 0) if "calibration" in s.name]
+    return frame, calibrators(frame, HOTSPOT, origins, _fit(frame, HOTSPOT, origins, inputs, specs, settings))
+
+
+def train_together(labelled: DataFrame, family: Family, origins: list[str], horizon: int, settings: TreeSettings, folds: int) -> dict[str, TrainedModel]:
+    """Cross-validation, final fits, calibration and attributions of all groups over one binned table."""
+    spark = labelled.sparkSession
+    ensure_checkpoint_dir(spark)
+    for o in origins:
+        if family.label(o, horizon) not in labelled.columns:
+            raise ValueError(f"no column {family.label(o, horizon)}")
+    inputs = feature_columns(labelled.columns, family.business_last)
+    frame = training_frame(labelled, family, origins, horizon, inputs, folds)
+    fitted = _fit(frame, family, origins, inputs, specs_of(family, origins, folds), settings)
+    scored = evaluate_folds(held_out_scores(frame, family, origins, folds, fitted), family)
+    scores = spark.createDataFrame(scored.collect(), scored.schema)  # a row for each group and fold
+    calibrated = calibrators(frame, family, origins, fitted) if family.calibrated else {}
+    sample = sample_rows(frame.withColumn("__key", F.concat_ws("|", *KEYS)), "__key", ATTRIBUTED_ROWS)
+    out = {}
+    for o in origins:
+        forest = fitted[f"{o}/all"][0]
+        own = scores.filter(F.col("origin_group") == o).drop("origin_group")
+        curves = tuple(tuple(fitted[f"{o}/{k}"][1]) for k in range(folds))
+        out[o] = TrainedModel(o, horizon, forest, inputs, own, calibrated.get(o), attribution.attributions(sample, forest, KEYS), curves)
+    return out
 
 
 def train_regressor(
@@ -331,19 +378,7 @@ def train_regressor(
     folds: int = dims.CV_FOLDS,
 ) -> TrainedModel:
     """Grouped cross-validation, then a fit on all rows."""
-    ensure_checkpoint_dir(labelled.sparkSession)
-    inputs = feature_columns(labelled.columns)
-    frame = fold_ops.group_folds(regression_frame(labelled, origin, horizon, inputs), "tract_geoid", folds)
-    frame = frame.persist()
-    try:
-        scores = cross_validate(
-            frame, lambda held: regressor(inputs, settings, held), evaluate_regression, folds
-        )
-        scores = labelled.sparkSession.createDataFrame(scores.collect(), scores.schema)  # one row per fold
-        model = regressor(inputs, settings).fit(frame)
-    finally:
-        frame.unpersist()
-    return TrainedModel(origin, horizon, model, inputs, scores)
+    return train_together(labelled, GROWTH, [origin], horizon, settings, folds)[origin]
 
 
 def train_classifier(
@@ -351,23 +386,11 @@ def train_classifier(
     folds: int = dims.CV_FOLDS,
 ) -> TrainedModel:
     """Stratified grouped cross-validation, a fit on all rows, and isotonic calibration."""
-    ensure_checkpoint_dir(labelled.sparkSession)
-    inputs = feature_columns(labelled.columns, business_last=True)
-    frame = classification_frame(labelled, origin, horizon, inputs)
-    rate = frame.agg(F.avg("target")).first()[0]
-    if rate is not None and rate < dims.LOW_POSITIVE_RATE:
-        log.warning("%s: positive rate %.4f", origin, rate)
-    frame = fold_ops.stratified_group_folds(frame, "tract_geoid", "target", folds).persist()
-    try:
-        scores = cross_validate(
-            frame, lambda held: classifier(inputs, settings, held), evaluate_classification, folds, weighted=True
-        )
-        scores = labelled.sparkSession.createDataFrame(scores.collect(), scores.schema)  # one row per fold
-        model = classifier(inputs, settings).fit(with_class_weight(frame))
-        calibrated = calibrate(frame, inputs, settings)
-    finally:
-        frame.unpersist()
-    return TrainedModel(origin, horizon, model, inputs, scores, calibrated)
+    return train_together(labelled, HOTSPOT, [origin], horizon, settings, folds)[origin]
+
+
+train_regressor.family = GROWTH
+train_classifier.family = HOTSPOT
 
 
 def score_hotspots(
@@ -384,21 +407,15 @@ def score_hotspots(
 def score_all(features: DataFrame, trained: list[TrainedModel], threshold: float = 0.5) -> DataFrame:
     """``score_hotspots`` of several models, in one pass over the features: a row per model and tract-year."""
     inputs = list(dict.fromkeys(c for t in trained for c in t.inputs))
-    kept = [c for c in ("tract_geoid", "year") if c not in inputs]
-    out = sanitize(features.select(*kept, *inputs), inputs)
-    own = []
-    for i, t in enumerate(trained):
-        members = range(len(t.calibrated.members))
-        scored = t.calibrated.transform(out).withColumnRenamed("hotspot_prob", f"prob_{i}")
-        out = scored.drop(*(f"{kind}_{k}" for kind in ("raw", "calibrated") for k in members))
-        own.append(
-            F.struct(
-                F.col(f"prob_{i}").alias("hotspot_prob"),
-                F.lit(t.origin).alias("origin_group"),
-                F.lit(t.horizon).alias("horizon"),
-            )
-        )
-    rows = out.select("tract_geoid", "year", F.inline(F.array(*own)))
+    kept = [c for c in KEYS if c not in inputs]
+    clean = sanitize(features.select(*kept, *inputs), inputs)
+    names = {f"__prob_{i}": t.calibrated for i, t in enumerate(trained)}
+    out = add_probabilities(clean, names, {n: f"{n}_" for n in names})
+    own = [
+        F.struct(F.col(f"__prob_{i}").alias("hotspot_prob"), F.lit(t.origin).alias("origin_group"), F.lit(t.horizon).alias("horizon"))
+        for i, t in enumerate(trained)
+    ]
+    rows = out.select(*KEYS, F.inline(F.array(*own)))
     return rows.withColumn("hotspot_pred", values.flag(F.col("hotspot_prob") >= threshold))
 
 
@@ -418,66 +435,79 @@ def train_all(
     settings: TreeSettings | None = None,
     folds: int = dims.CV_FOLDS,
     path: str | None = None,
-    concurrent: int = 4,
 ) -> tuple[dict[str, TrainedModel], DataFrame]:
-    """One model per origin group; a failure is recorded and does not stop the others.
+    """Models of every origin group; a failure is recorded and does not stop the others.
 
-    Returns the models and a status row per group. The labelled table is cached for the loop; a
-    few groups train at a time so that short stages of one fill the gaps of another.
+    Returns the models and a status row per group. Groups with a label and rows are trained together; should that
+    fail, or for a ``train`` of the caller's own, one after another.
     """
     spark = labelled.sparkSession
     names = origins or dims.ORIGINS
     settings = settings or (REGRESSOR if train is train_regressor else CLASSIFIER)
-    cached = labelled.persist()
-
-    def one(origin: str) -> tuple[str, TrainedModel | None, str | None]:
+    errors: dict[str, str | None] = dict.fromkeys(names)
+    trained: dict[str, TrainedModel] = {}
+    family = getattr(train, "family", None)
+    together: list[str] = []
+    if family:
+        together = usable(labelled, family, names, horizon, errors)
+        try:
+            trained = train_together(labelled, family, together, horizon, settings, folds) if together else {}
+            together = []
+        except Exception:  # tried again one by one, to tell whose fault it is
+            log.exception("training together failed")
+    for origin in together if family else names:
         try:
-            trained = train(cached, origin, horizon, settings, folds)
-            if path:
-                save_trained(trained, path)
-            return origin, trained, None
+            trained[origin] = train(labelled, origin, horizon, settings, folds)
         except Exception as error:  # recorded in the status table
             log.exception("training failed for %s", origin)
-            return origin, None, f"{type(error).__name__}: {error}"
-
-    try:
-        with ThreadPoolExecutor(concurrent) as pool:
-            results = list(pool.map(one, names))
-    finally:
-        cached.unpersist()
-    trained = {origin: model for origin, model, _ in results if model is not None}
+            errors[origin] = f"{type(error).__name__}: {error}"
+    if path:
+        for t in trained.values():
+            save_trained(t, path)
     status = spark.createDataFrame(
-        [(origin, horizon, model is not None, error) for origin, model, error in results],
+        [(origin, horizon, origin in trained, errors[origin]) for origin in names],
         "origin_group string, horizon int, succeeded boolean, error string",
     )
     return trained, status
 
 
+def usable(labelled: DataFrame, family: Family, names: list[str], horizon: int, errors: dict[str, str | None]) -> list[str]:
+    """Groups whose label column is there and holds a value; what is wrong with the others goes into ``errors``."""
+    there = [o for o in names if family.label(o, horizon) in labelled.columns]
+    for o in names:
+        if o not in there:
+            errors[o] = f"ValueError: no column {family.label(o, horizon)}"
+    counts = labelled.agg(*[F.count(family.label(o, horizon)).alias(o) for o in there]).first() if there else {}
+    for o in there:
+        if not counts[o]:
+            errors[o] = f"ValueError: no value in {family.label(o, horizon)}"
+    return [o for o in there if counts[o]]
+
+
 def save_trained(trained: TrainedModel, path: str) -> None:
-    """Model, calibration, fold scores and importances under ``origin=…/horizon=…``."""
+    """Model, calibration, fold scores, importances and attributions under ``origin=…/horizon=…``."""
     root = f"{path}/origin={trained.origin}/horizon={trained.horizon}"
-    trained.model.write().overwrite().save(f"{root}/model")
+    spark = trained.fold_scores.sparkSession
+    trained.model.save(spark, f"{root}/model")
     if trained.calibrated is not None:
         trained.calibrated.save(f"{root}/calibrated")
-    trained.fold_scores.write.mode("overwrite").parquet(f"{root}/fold_scores")
-    importance_table(trained.fold_scores.sparkSession, trained.model).write.mode("overwrite").parquet(
-        f"{root}/importance"
-    )
+    trained.fold_scores.coalesce(1).write.mode("overwrite").parquet(f"{root}/fold_scores")
+    importance_table(spark, trained.model).coalesce(1).write.mode("overwrite").parquet(f"{root}/importance")
+    if trained.attributions is not None:
+        trained.attributions.write.mode("overwrite").parquet(f"{root}/attributions")
 
 
-def load_model(path: str, origin: str, horizon: int) -> PipelineModel:
-    return PipelineModel.load(f"{path}/origin={origin}/horizon={horizon}/model")
+def load_model(path: str, origin: str, horizon: int) -> Forest:
+    return Forest.load(SparkSession.getActiveSession(), f"{path}/origin={origin}/horizon={horizon}/model")
 
 
 def load_trained(spark: SparkSession, path: str, origin: str, horizon: int) -> TrainedModel:
     """What ``save_trained`` stored: enough to score and evaluate in another session."""
     root = f"{path}/origin={origin}/horizon={horizon}"
-    model = load_model(path, origin, horizon)
+    model = Forest.load(spark, f"{root}/model")
     scores = spark.read.parquet(f"{root}/fold_scores")
-    calibrated = None
-    if isinstance(model.stages[-1], GBTClassificationModel):
-        calibrated = CalibratedClassifier.load(f"{root}/calibrated")
-    return TrainedModel(origin, horizon, model, list(model.stages[0].getInputCols()), scores, calibrated)
+    calibrated = CalibratedClassifier.load(f"{root}/calibrated") if model.loss == "logistic" else None
+    return TrainedModel(origin, horizon, model, model.inputs, scores, calibrated, spark.read.parquet(f"{root}/attributions"))
 
 
 def evaluate_regressor(labelled: DataFrame, trained: TrainedModel) -> dict[str, DataFrame]:
@@ -496,9 +526,13 @@ def evaluate_regressor(labelled: DataFrame, trained: TrainedModel) -> dict[str,
 
 
 def evaluate_classifier(labelled: DataFrame, trained: TrainedModel) -> dict[str, DataFrame]:
-    """Calibrated predictions and every classification metric over them."""
+    """Calibrated predictions and every classification metric over them.
+
+    The features are scored once and stored; the metrics come from one table of counts by score, stored too.
+    """
+    ensure_checkpoint_dir(labelled.sparkSession)
     target = hotspot_label(trained.origin, trained.horizon)
-    kept = [c for c in ("tract_geoid", "year") if c not in trained.inputs]
+    kept = [c for c in KEYS if c not in trained.inputs]
     clean = sanitize(
         labelled.select(*kept, *trained.inputs, F.col(target).cast("int").alias("actual")),
         trained.inputs,
@@ -506,18 +540,11 @@ def evaluate_classifier(labelled: DataFrame, trained: TrainedModel) -> dict[str,
     scored = trained.calibrated.transform(clean).withColumn(
         "hotspot_pred", values.flag(F.col("hotspot_prob") >= 0.5)
     )
-    rows = scored.select("tract_geoid", "year", "actual", "hotspot_prob", "hotspot_pred")
-    return {
-        "predictions": rows,
-        "roc_auc": metrics.roc_auc(rows, "actual", "hotspot_prob"),
-        "average_precision": metrics.average_precision(rows, "actual", "hotspot_prob"),
-        "brier_score": metrics.brier_score(rows, "actual", "hotspot_prob"),
-        "classification_report": metrics.classification_report(rows, "actual", "hotspot_pred"),
-        "confusion_matrix": metrics.confusion_matrix(rows, "actual", "hotspot_pred"),
-        "pr_curve": metrics.pr_curve(rows, "actual", "hotspot_prob"),
-    }
+    rows = scored.select(*KEYS, "actual", "hotspot_prob", "hotspot_pred").checkpoint()
+    totals = metrics.class_totals(rows, "actual", "hotspot_prob", None, None).checkpoint()
+    return {"predictions": rows, **metrics.totals_report(totals, "hotspot_prob")}
 
 
 def small(settings: TreeSettings, trees: int, depth: int = 3, min_rows: int = 5) -> TreeSettings:
-    """Cheaper settings for trials and checks."""
-    return replace(settings, trees=trees, depth=depth, min_rows=min_rows)
+    """Cheaper settings for trials and checks: trees of at most 2 ** ``depth`` leaves."""
+    return replace(settings, trees=trees, leaves=2**depth, min_rows=min_rows)

@@ -18,8 +18,8 @@ from migrascope.session import ensure_checkpoint_dir
 RANGE_ROWS: int | None = None  # distinct values of a range; None: as many ranges as shuffle partitions
 
 
-def _ranges(distinct: DataFrame, value: str, range_rows: int | None) -> DataFrame:
-    """Add ``__range``, an order-preserving number of the range (one Spark partition) of a value.
+def _ranges(distinct: DataFrame, keys: list[str], range_rows: int | None) -> DataFrame:
+    """Add ``__range``, a number of the range (one Spark partition) that keeps the order of the keys.
 
     The result is saved, so that every use of it sees the same ranges.
     """
@@ -28,7 +28,7 @@ def _ranges(distinct: DataFrame, value: str, range_rows: int | None) -> DataFram
         parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     else:
         parts = max(1, math.ceil(distinct.count() / range_rows))
-    ranged = distinct.repartitionByRange(parts, value)
+    ranged = distinct.repartitionByRange(parts, *keys)
     return ranged.withColumn("__range", F.spark_partition_id()).checkpoint()
 
 
@@ -49,7 +49,7 @@ def running_totals(
         F.col(value).isNotNull() & ~F.isnan(value)
     )
     distinct = ordered.groupBy(*groups, value).agg(*[c.alias(n) for n, c in sums.items()])
-    ranged = _ranges(distinct, value, range_rows)
+    ranged = _ranges(distinct, [*groups, value], range_rows)
     totals = ranged.groupBy(*groups, "__range").agg(*[F.sum(n).alias(n) for n in sums])
     lower = Window.partitionBy(*groups).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*groups)
@@ -101,6 +101,39 @@ def quantiles(
     return out
 
 
+def quantiles_of_many(
+    df: DataFrame, columns: list[str], probs: list[float], range_rows: int | None = RANGE_ROWS
+) -> dict[str, list[float]]:
+    """``quantiles`` of many columns at once; a column without values is left out.
+
+    All columns' values share one range sort by (column, value). A value answers the ranks that fall among its
+    copies, so two rows a column and probability come back, whatever the size of the table.
+    """
+    if not columns:
+        return {}
+    pair = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
+    stacked = df.select(F.explode(F.array(*pair)).alias("pair")).select("pair.*")
+    totals = running_totals(stacked, "value", {"n": F.count(F.lit(1))}, ["column"], range_rows)
+    asked = []
+    for i, p in enumerate(probs):
+        position = F.lit(float(p)) * (F.col("n_total") - 1)
+        for side, rank in ((0, F.floor(position)), (1, F.ceil(position))):
+            mine = (F.col("n_below") <= rank) & (rank < F.col("n_below") + F.col("n"))
+            asked.append(F.when(mine, F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"))))
+    found = totals.select("column", "value", "n_total", F.explode(F.array_compact(F.array(*asked))).alias("a"))
+    ends: dict[str, dict] = {}
+    for r in found.select("column", "value", "n_total", "a.*").collect():
+        ends.setdefault(r["column"], {})[r["i"], r["side"]] = (r["value"], r["n_total"])
+    out = {}
+    for column, sides in ends.items():
+        out[column] = []
+        for i, p in enumerate(probs):
+            (low, n), (high, _) = sides[i, 0], sides[i, 1]
+            position = p * (n - 1)
+            out[column].append(low + (high - low) * (position - math.floor(position)))
+    return out
+
+
 def sample_rows(df: DataFrame, key: str, n: int, seed: int | None = None) -> DataFrame:
     """At most ``n`` rows in the order of a digest of the key: a repeatable random sample."""
     text = F.col(key).cast("string")

@@ -17,16 +17,12 @@ def test_every_origin_is_trained(spark, monkeypatch):
     assert {r[0] for r in found.select("origin_group").distinct().collect()} == set(P.ORIGINS)
 
 
-def test_every_fold_of_every_origin_is_scored(spark, monkeypatch):
-    seen = []
-
-    def fake(frame, make, evaluate, folds):
-        seen.append(folds)
-        return spark.range(1, folds + 1).toDF("fold")
-
-    monkeypatch.setattr(models, "cross_validate", fake)
-    scores = entry.queries()["cross_validate"](spark, entry.ENTRY_FOLDER)
-    assert {(r.origin_group, r.fold) for r in scores.collect()} == {(o, k + 1) for o in P.ORIGINS for k in range(dims.CV_FOLDS)}
+def test_every_fold_of_every_origin_keeps_its_best_trees(spark):
+    small = models.replace(models.REGRESSOR, trees=40, patience=8, learning_rate=0.3)
+    scores = models.cross_validate(training.growth(spark, entry.ENTRY_FOLDER), models.GROWTH, P.ORIGINS, training.HORIZON, small)
+    rows = scores.collect()
+    assert {(r.origin_group, r.fold) for r in rows} == {(o, k + 1) for o in P.ORIGINS for k in range(dims.CV_FOLDS)}
+    assert all(r.trees_grown == min(r.trees_kept + 8, 40) for r in rows) and max(r.trees_kept for r in rows) > 1
 
 
 def test_whole_matches_are_registered(spark):
