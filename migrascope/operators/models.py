@@ -254,9 +254,15 @@ def training_frame(labelled: DataFrame, family: Family, origins: list[str], hori
         frame = metrics.winsorize_many(frame, [f"__y_{o}" for o in origins])
         frame = fold_ops.balanced_group_folds(frame, "tract_geoid", folds, "__fold")
     else:
+        frame = frame.checkpoint()
+        tables = None
         for o in origins:
-            table = fold_ops.label_fold_table(frame, "tract_geoid", f"__y_{o}", folds, f"__fold_{o}").withColumnRenamed("tract_geoid", "__group")
-            frame = frame.join(table, F.col("tract_geoid").eqNullSafe(F.col("__group"))).drop("__group")
+            one = fold_ops.label_fold_table(frame, "tract_geoid", f"__y_{o}", folds).withColumn("__of", F.lit(o))
+            tables = one if tables is None else tables.unionByName(one)
+        wide = tables.groupBy(F.col("tract_geoid").alias("__group")).agg(
+            *[F.max(F.when(F.col("__of") == o, F.col("fold"))).alias(f"__fold_{o}") for o in origins]
+        )
+        frame = frame.join(wide, F.col("tract_geoid").eqNullSafe(F.col("__group"))).drop("__group")
         frame = frame.withColumn("__calibration", fold_ops.hash_fold(F.col("tract_geoid"), dims.CALIBRATION_FOLDS))
     return frame.withColumn("__row", row_key(frame, inputs)).checkpoint()
 
