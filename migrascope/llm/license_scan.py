@@ -5,8 +5,10 @@ selected ones go to an inverted index of template and place. The index holds the
 parameter of bounded size (``MAX_TEMPLATE_WORDS``), and reaches every task. A text's fingerprints are selected
 by the same rule, so a run of ``GRAM + SPAN - 1`` template words anywhere in a text is always found; runs with
 a word that no template has cannot be in the index and are passed over. Anchors are aligned locally inside a band around
-their diagonal, those that an alignment covers already with it; the alignment gives the share of the template's words
-that match and the span in the text.
+their diagonal, those that an alignment covers already with it. Where more words were put in or left out than the band
+is wide, a text falls into several alignments: those of one template that follow each other in the text and in the
+template are chained, over gaps of at most the template's own length in the text. A chain gives the share of the
+template's words that match, each word once, and the outer span in the text.
 
 Defined cases: null and empty texts have no matches; whole texts are scanned, whatever their length; equal
 matches of several templates are all reported, a match inside a larger match of another template is not;
@@ -85,6 +87,32 @@ TEMPLATES = {
         "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
         "GNU General Public License for more details."
     ),
+    "AGPL notice": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT "
+        "ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See "
+        "the GNU Affero General Public License for more details."
+    ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE "
+        "IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+        "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+        "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH "
+        "THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "Zlib": (
+        "This software is provided as-is, without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software. Permission is granted to anyone to use this "
+        "software for any purpose, including commercial applications, and to alter it and redistribute it freely, "
+        "subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not "
+        "claim that you wrote the original software. If you use this software in a product, an acknowledgment in the "
+        "product documentation would be appreciated but is not required. 2. Altered source versions must be plainly "
+        "marked as such, and must not be misrepresented as being the original software. 3. This notice may not be "
+        "removed or altered from any source distribution."
+    ),
     "CC-BY-NC-4.0 line": "Licensed under CC BY-NC 4.0",
     "BSD-2-Clause": f"{BSD_OPENING} {BSD_DISCLAIMER}",
     "BSD-3-Clause": f"{BSD_OPENING} {BSD_THIRD} {BSD_DISCLAIMER}",
@@ -160,7 +188,7 @@ class Index:
         found = []
         for name, hits in anchors.items():
             template = self.templates[name]
-            for matched, first, last in aligned(template, ids, hits):
+            for matched, first, last in chained(list(aligned(template, ids, hits)), len(template)):
                 if matched >= least * len(template):
                     found.append(Match(name, matched, len(template), first, last))
         return outermost(found)
@@ -176,57 +204,104 @@ def known_runs(ids: list[int]) -> Iterator[tuple[int, int]]:
             start = i + 1
 
 
-def aligned(template: list[int], ids: list[int], hits: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
+Part = tuple[int, int, int, int, int]  # matched words; places in the text, then in the template, ends exclusive
+
+
+def chained(parts: list[Part], size: int) -> list[tuple[int, int, int]]:
+    """Chains (matched, first, last) of alignments, each in one chain, the longest chains first.
+
+    A part follows another if it begins and ends behind it in the text and in the template, at most ``size`` words
+    behind its end in the text; words that both cover count once. Parts are at least ``GRAM`` words long, so only so many
+    before a part can reach it.
+    """
+    parts = sorted(parts, key=lambda p: (p[1], p[2]))
+    best: list[tuple[int, int]] = []  # matched words of the best chain that ends with a part, and the part before it
+    for i, (matched, first, last, low, high) in enumerate(parts):
+        top = (matched, -1)
+        for j in range(i - 1, -1, -1):
+            _, first_j, last_j, low_j, high_j = parts[j]
+            if first - first_j > 3 * size + 2 * BAND:
+                break
+            if first_j < first <= last_j + size and last_j < last and low_j < low and high_j < high:
+                gained = matched - max(0, high_j - low, last_j - first)
+                if gained > 0 and best[j][0] + gained > top[0]:
+                    top = (best[j][0] + gained, j)
+        best.append(top)
+    out, used = [], set()
+    for i in sorted(range(len(parts)), key=lambda i: (-best[i][0], i)):
+        chain, at = [], i
+        while at >= 0 and at not in used:
+            chain.append(at)
+            at = best[at][1]
+        if chain:
+            used.update(chain)
+            whole = best[i][0] - (best[at][0] if at >= 0 else 0)
+            out.append((whole, parts[chain[-1]][1], parts[i][2]))
+    return out
+
+
+def aligned(template: list[int], ids: list[int], hits: list[tuple[int, int]]) -> Iterator[Part]:
     """Alignments around the anchors (diagonal, place), in the order of places.
 
-    An anchor inside an alignment on a nearby diagonal is part of it; any other starts one of its own, behind
-    the alignments that ended before it.
+    An anchor inside an alignment on a nearby diagonal is part of it; any other gets one of its own, between
+    the alignments before and behind it. The best one of a band may lie off the anchor: then it is kept, and the one
+    at the anchor is looked for in what is left.
     """
-    open_: list[tuple[int, int]] = []  # (diagonal, end) of alignments that reach the current place
+    known: list[tuple[int, int, int]] = []  # (diagonal, first, end) of alignments that end behind the current place
     start = 0
     for diagonal, place in sorted(set(hits), key=lambda h: (h[1], h[0])):
-        start = max([start, *(end for _, end in open_ if end <= place)])
-        open_ = [o for o in open_ if o[1] > place]
-        if any(abs(diagonal - d) <= BAND for d, _ in open_):
+        start = max([start, *(end for _, _, end in known if end <= place)])
+        known = [k for k in known if k[2] > place]
+        near = [k for k in known if abs(diagonal - k[0]) <= BAND]
+        if any(first <= place for _, first, _ in near):
             continue
-        got = align(template, ids, diagonal, start)
-        if got:
-            open_.append((diagonal, got[2]))
+        low, high = start, min((first for _, first, _ in near), default=len(ids))
+        while got := align(template, ids, diagonal, low, high):
             yield got
+            known.append((diagonal, got[1], got[2]))
+            if place < got[1]:
+                high = got[1]
+            elif place >= got[2]:
+                low = got[2]
+            else:
+                break
 
 
-def align(template: list[int], ids: list[int], diagonal: int, start: int = 0) -> tuple[int, int, int] | None:
-    """Best local alignment inside the band: matched words, first and last place in the text (end exclusive).
+def align(template: list[int], ids: list[int], diagonal: int, start: int = 0, stop: int | None = None) -> Part | None:
+    """Best local alignment inside the band: matched words, its places in the text and in the template.
 
-    Places before ``start`` are left out.
-    A cell holds (score, matches, first place); only one row of the band is kept at a time.
+    Places before ``start`` and from ``stop`` on are left out.
+    A cell holds (score, matches, first place, first template word); only one row of the band is kept at a time.
     """
     width = 2 * BAND + 1
-    row: list[tuple[int, int, int]] = [(0, 0, -1)] * (width + 1)
-    best, best_end = (0, 0, -1), -1
+    stop = len(ids) if stop is None else stop
+    none = (0, 0, -1, -1)
+    row: list[tuple[int, int, int, int]] = [none] * (width + 1)
+    best, best_end, best_word = none, -1, -1
     for t, word in enumerate(template):
-        now: list[tuple[int, int, int]] = []
-        left = (0, 0, -1)
+        now: list[tuple[int, int, int, int]] = []
+        left = none
         for k in range(width):
             place = diagonal + t + k - BAND
-            if not start <= place < len(ids):
-                cell = (0, 0, -1)
+            if not start <= place < stop:
+                cell = none
             else:
-                score, matches, first = row[k]
+                score, matches, first, at = row[k]
                 same = ids[place] == word
-                cell = (score + (MATCH if same else MISS), matches + same, first if first >= 0 else place)
+                opened = (first, at) if first >= 0 else (place, t)
+                cell = (score + (MATCH if same else MISS), matches + same, *opened)
                 up = row[k + 1]
                 for other in (up, left):
                     if other[2] >= 0 and (other[0] + MISS, other[1]) > cell[:2]:
                         cell = (other[0] + MISS, *other[1:])
                 if cell[0] <= 0:
-                    cell = (0, 0, -1)
+                    cell = none
                 elif cell[:2] > best[:2]:
-                    best, best_end = cell, place + 1
+                    best, best_end, best_word = cell, place + 1, t + 1
             now.append(cell)
             left = cell
-        row = [*now, (0, 0, -1)]
-    return (best[1], best[2], best_end) if best_end >= 0 else None
+        row = [*now, none]
+    return (best[1], best[2], best_end, best[3], best_word) if best_end >= 0 else None
 
 
 def outermost(found: list[Match]) -> list[Match]:

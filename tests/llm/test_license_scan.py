@@ -88,8 +88,60 @@ def test_whole_licences_are_told_from_their_openings(spark, docs):
     found = [tuple(r) for r in license_scan.scan(rows, least=0.3).collect()]
     for i, name in enumerate(ends):
         size = len(plain_words(texts[i]))
-        assert [f for f in found if f[0] == i] == [(i, name, 1.0, size, 11, 11 + len(texts[i].rstrip(".")))]
+        own = [f for f in found if f[0] == i]
+        assert own[0] == (i, name, 1.0, size, 11, 11 + len(texts[i].rstrip("."))) and all(f[3] <= size for f in own)
     assert [f[1:4] for f in found if f[0] == 7] == [("MIT", cut / len(mit), cut)] and 0.5 < cut / len(mit) < 0.8
     opening = len(plain_words(license_scan.BSD_OPENING))
     assert {f[1]: f[2] for f in found if f[0] == 8} == {n: opening / len(plain_words(license_scan.TEMPLATES[n])) for n in list(ends)[1:]}
     assert {r.doc_id for r in license_scan.scan(rows).collect()} == set(texts)
+
+
+def longest_common(template, ids):
+    """Words of the template that occur in the text in order, over the whole table."""
+    above = [0] * (len(ids) + 1)
+    for w in template:
+        row = [0]
+        for j, x in enumerate(ids, 1):
+            row.append(above[j - 1] + 1 if x == w else max(above[j], row[-1]))
+        above = row
+    return above[-1]
+
+
+def test_texts_that_the_band_parts_are_chained(spark, docs):
+    """Words put in between clauses, or a holder's long name for a short one: whole coverage and outer span."""
+    bsd = license_scan.TEMPLATES["BSD-3-Clause"]
+    filler = "Owing to a request by our office of records a remark stands here"
+    texts = [
+        MIT.replace("The above copyright", f"{filler} The above copyright"),
+        bsd.replace("the copyright holder nor", "the Regents of all Colleges and Schools in that large old Town nor"),
+        MIT.replace("AUTHORS OR COPYRIGHT", "MANY PEOPLE WHO WROTE LARGE AND SMALL PARTS OF THIS OVER LONG YEARS OR COPYRIGHT"),
+    ]
+    got = {r.doc_id: r for r in license_scan.scan(docs([(i, f"so: {t} end") for i, t in enumerate(texts)])).collect()}
+    for i, (name, text) in enumerate(zip(("MIT", "BSD-3-Clause", "MIT"), texts, strict=True)):
+        words = plain_words(license_scan.TEMPLATES[name])
+        assert got[i].license == name and (got[i].start, got[i].end) == (4, 4 + len(text.rstrip(".")))
+        assert got[i].matched_words >= longest_common(words, plain_words(text)) - 2
+
+
+def test_chains_against_the_longest_common_subsequence():
+    """A template with foreign words put in and own words left out anywhere keeps all words that are left."""
+    rng = random.Random(11)
+    template = [f"w{i}" for i in range(120)]
+    index = Index({"T": " ".join(template)})
+    for _ in range(60):
+        text, gone = list(template), 0
+        for _ in range(rng.randrange(5)):
+            at = rng.randrange(8, len(text) - 8)
+            if rng.random() < 0.5:
+                text[at:at] = ["zz"] * rng.randrange(1, 60)
+            elif gone < 12:
+                n = rng.randrange(1, 4)
+                gone += n
+                del text[at : at + n]
+        found = index.matches(["zz"] * 5 + text + ["zz"] * 5, 0.8)
+        best = longest_common(template, text)
+        assert len(found) == 1 and found[0].matched == best and (found[0].first, found[0].last) == (5, 5 + len(text))
+    twice = index.matches(template + ["zz"] * 3 + template, 0.8)
+    assert [(m.first, m.last, m.matched) for m in twice] == [(0, 120, 120), (123, 243, 120)]
+    far = index.matches(template[:60] + ["zz"] * 121 + template[60:], 0.4)
+    assert [m.matched for m in far] == [60, 60]
