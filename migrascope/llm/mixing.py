@@ -2,8 +2,8 @@
 
 Documents are summed to cells (one per combination of margin values) with partial aggregation; everything
 iterative runs on the cells, as joins and sums that stay distributed however many sources there are. A round
-scales the cells to each margin in turn; rounds end when all margins agree to ``TOLERANCE`` or after
-``ROUNDS``. A cell's probability is its weight over its tokens, times one factor that meets the token budget
+scales the cells to each margin in turn; rounds end when every value's share is within ``TOLERANCE`` of its own goal
+or after ``ROUNDS``; the greatest error left goes with every drawn document. A cell's probability is its weight over its tokens, times one factor that meets the token budget
 with no probability above 1. A document is drawn if a hash of its id falls below its cell's probability, so a
 draw is repeatable and does not depend on partitions.
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from migrascope.llm.common import fresh, saved, written
 
 ROUNDS = 40
-TOLERANCE = 1e-4  # of a share
+TOLERANCE = 1e-6  # of each goal, however small
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -79,12 +79,12 @@ def rake(cells: DataFrame, margins: list[Margin], rounds: int = ROUNDS, toleranc
             factor = sums.join(goal, same).select(sums["value"], (F.col("goal") * total / F.col("sum")).alias("factor"))
             scaled = now.join(factor, now[margin.column].eqNullSafe(factor["value"]), "left")
             now = scaled.select(*cells.columns, (F.col("weight") * F.coalesce("factor", F.lit(1.0))).alias("weight"))
-        now = saved(now)
+        now = written(now, "raked")  # a table: a checkpoint keeps what the plan knew of each round, which piles up
         off = None
         for margin, goal in zip(margins, goals, strict=True):
             sums = now.groupBy(F.col(margin.column).alias("value")).agg(F.sum("weight").alias("sum"))
             met = sums.join(goal, sums["value"].eqNullSafe(goal["value"]))
-            one = met.select(F.abs(F.col("sum") / total - F.col("goal")).alias("off"))
+            one = met.select(F.abs(F.col("sum") / total / F.col("goal") - 1).alias("off"))
             off = one if off is None else off.unionByName(one)
         error = off.agg(F.max("off")).first()[0] or 0.0
         if error <= tolerance:
@@ -121,10 +121,11 @@ def uniform(seed: int, *columns: Column) -> Column:
 
 
 def sample(docs: DataFrame, calibrated: DataFrame, margins: list[Margin], doc_id: str, content: list[str], seed: int = 1) -> DataFrame:
-    """The drawn documents, with ``weight`` (of their cell) and ``probability``."""
-    weight, probability = fresh(docs, "weight"), fresh(docs, "probability")
+    """The drawn documents, with ``weight`` (of their cell), ``probability`` and ``error``, the margins' greatest
+    relative error when raking ended (over ``TOLERANCE``: the margins can't be met together in ``ROUNDS``)."""
+    weight, probability, error = (fresh(docs, n) for n in ("weight", "probability", "error"))
     keys = [F.col(m.column).alias(f"__{i}") for i, m in enumerate(margins)]
-    chosen = calibrated.select(*keys, F.col("weight").alias(weight), F.col("probability").alias(probability))
+    chosen = calibrated.select(*keys, F.col("weight").alias(weight), F.col("probability").alias(probability), F.col("error").alias(error))
     odds = written(chosen, "odds")  # a table of known size: Spark broadcasts it if it is small enough
     same = F.lit(True)
     for i, m in enumerate(margins):

@@ -68,12 +68,25 @@ def test_sample_follows_the_probabilities(rows, cells):
     odds = mixing.calibrate(cells, 0.5)
     drawn = mixing.sample(rows, odds, MARGINS, "doc_id", ["topic"])
     again = mixing.sample(rows.repartition(7), odds, MARGINS, "doc_id", ["topic"])
-    assert drawn.exceptAll(again).count() == 0 and drawn.columns == [*rows.columns, "_weight", "probability"]
+    assert drawn.exceptAll(again).count() == 0 and drawn.columns == [*rows.columns, "_weight", "probability", "error"]
     assert drawn.filter("source IS NULL").count() > 0
     expected = odds.agg(F.sum(F.col("probability") * F.col("documents"))).first()[0]
     assert drawn.count() == pytest.approx(expected, rel=0.1)
 
 
+def test_small_values_meet_their_goals_and_unmet_margins_show(spark):
+    rows = [(i, "tiny" if i == 0 else f"s{i % 3}", ["en", "de"][i % 2], 1 + i % 7) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, lang string, tokens long")
+    margins = [Margin("source", power=0.5), Margin("lang", shares=(("en", 0.9), ("de", 0.1)))]
+    raked = mixing.rake(mixing.cells_of(df, margins, "tokens"), margins).toPandas()
+    natural = raked.groupby("source").tokens.sum() / raked.tokens.sum()
+    goal = natural**0.5 / (natural**0.5).sum()
+    assert (abs(raked.groupby("source").weight.sum() / raked.tokens.sum() / goal - 1) <= 2e-6).all() and raked.error.max() <= mixing.TOLERANCE
+    apart = df.withColumn("lang", F.when(F.col("source") == "s0", "en").otherwise("de"))  # source fixes language
+    odds = mixing.calibrate(mixing.rake(mixing.cells_of(apart, margins, "tokens"), margins, rounds=4), 0.5)
+    assert mixing.sample(apart, odds, margins, "doc_id", ["lang"]).first().error > 0.01
+
+
 def test_odd_tables(spark):
     schema = "doc_id long, source string, lang string, topic string, tokens long"
     empty = spark.createDataFrame([], schema)
@@ -92,3 +105,29 @@ def test_query(spark):
     ids = {r.doc_id for r in docs.select("doc_id").collect()}
     assert 0 < len(rows) < len(ids) and {r.doc_id for r in rows} <= ids
     assert all(0 < r.probability <= 1 and r.weight >= 0 for r in rows)
+
+
+def test_query_draws_what_plain_raking_says(spark):
+    """The drawn rows of the query, from a dense table raked by hand and the same hash draw."""
+    from migrascope.llm import queries
+
+    docs = spark.read.parquet(f"{entry.ENTRY_FOLDER}/documents.parquet").select("doc_id", "text", "lang", "source")
+    rows = queries.measured(docs).withColumn("u", mixing.uniform(1, F.xxhash64("doc_id"))).collect()
+    names = [sorted({r[c] for r in rows}) for c in ("source", "lang", "topic")]
+    dense = np.zeros([len(n) for n in names])
+    for r in rows:
+        dense[tuple(n.index(r[c]) for n, c in zip(names, ("source", "lang", "topic"), strict=True))] += r.n_words
+    natural = [dense.sum(axis=tuple(k for k in range(3) if k != a)) / dense.sum() for a in range(3)]
+    given = {"en": 0.55, "de": 0.16, "fr": 0.16, "es": 0.13}
+    lang = np.array([given[n] for n in names[1]])
+    goals = [natural[0] ** 0.7 / (natural[0] ** 0.7).sum(), lang / lang.sum(), natural[2] ** 0.8 / (natural[2] ** 0.8).sum()]
+    weight = by_hand(dense, goals, 40)
+    low, high = 0.0, 1e6
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if np.minimum(weight * mid, dense).sum() < queries.MIX_FRACTION * dense.sum() else (low, mid)
+    odds = np.divide(np.minimum(weight * low, dense), dense, out=np.full(dense.shape, queries.MIX_FRACTION), where=dense > 0)
+    at = lambda r: odds[tuple(n.index(r[c]) for n, c in zip(names, ("source", "lang", "topic"), strict=True))]
+    drawn = {r.doc_id for r in entry.queries()["op7_mixing"](spark, entry.ENTRY_FOLDER).collect()}
+    sure = {r.doc_id for r in rows if r.u < at(r) * (1 - 1e-3)}
+    assert sure <= drawn <= {r.doc_id for r in rows if r.u < at(r) * (1 + 1e-3)}
