@@ -1,8 +1,8 @@
 """Secret scan: patterns find candidates, corpus-wide ownership tells examples from live credentials.
 
-Every candidate's hash is counted by distinct repositories and owners over the whole corpus. A candidate seen
-with at most ``MAX_OWNERS`` owners and varied enough in its letters looks live; one that many owners copied
-is an example. The base spans stay whatever the counts say; the method adds a span of kind ``live`` over the
+Every candidate's hash is counted by distinct repositories and owners over the whole corpus. A candidate looks live
+if it was seen with at most ``MAX_OWNERS`` owners, in at most ``MAX_REPOSITORIES`` repositories for each of them, and is
+varied enough in its letters. One that many owners copied, or one owner into many repositories, is an example. The base spans stay whatever the counts say; the method adds a span of kind ``live`` over the
 secret of each live-looking candidate, and candidates of further patterns (``EXTRA``) if they look live.
 
 Counting first reduces to distinct (hash, repository, owner), in each task before the shuffle, so that an
@@ -37,6 +37,7 @@ HEX = re.compile(r"[0-9a-f]{16,}")  # the whole run: [0-9a-f]+ of 16 and more
 EXTRA = re.compile(r"gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9]{20,}|eyJ[\w-]+\.eyJ[\w-]+\.[\w-]+|://[^\s/:@]+:([^\s/@]{8,})@")
 BASE_KINDS = ("assign", "access", "hex")
 MAX_OWNERS = 2
+MAX_REPOSITORIES = 3  # for each owner
 MIN_BITS = 2.5  # of entropy a letter
 
 SPAN = StructType(
@@ -112,10 +113,13 @@ def ownership(found: DataFrame) -> DataFrame:
     )
 
 
-def judged(docs: DataFrame, max_owners: int = MAX_OWNERS, min_bits: float = MIN_BITS) -> DataFrame:
+def judged(
+    docs: DataFrame, max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES, min_bits: float = MIN_BITS
+) -> DataFrame:
     """Each scanned row with its base spans and, as ``live``, the spans of live-looking secrets."""
     found = saved(scan(docs))
-    owned = ownership(found).filter(F.col("owners") <= max_owners)
+    few = (F.col("owners") <= max_owners) & (F.col("repositories") <= F.col("owners") * max_repositories)
+    owned = ownership(found).filter(few)
     spread = found.select("row", "doc_id", F.explode("spans").alias("s")).select("row", "s.*")
     live = (
         spread.filter(F.col("bits") >= min_bits)

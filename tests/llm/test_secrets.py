@@ -42,6 +42,14 @@ def test_examples_are_told_from_live_credentials(docs):
     assert got[100].spans.split(",")[-1] == f"live:{inner}:{inner + 16}"
 
 
+def test_many_repositories_of_one_owner_make_an_example(spark):
+    schema = "row string, doc_id long, repo string, owner string, text string"
+    rows = [(f"{i}", i, f"r{i % n}", o, f"password = 'xK9+mQ2/vT7=p{o}{n}'") for o, n in (("a", 3), ("b", 4)) for i in range(10 * n, 11 * n)]
+    rows += [(f"s{i}", 100 + i, f"r{i}", f"o{i % 2}", "password = 'Zq8+wE4/rT2=yU6i'") for i in range(6)]
+    got = {r.doc_id: len(r.live) for r in secrets.judged(spark.createDataFrame(rows, schema)).collect()}
+    assert all(got[i] == 1 for i in range(30, 33)) and all(got[i] == 0 for i in range(40, 44)) and all(got[100 + i] == 1 for i in range(6))
+
+
 def test_repeated_rows_missing_values_and_empty_table(spark, docs):
     frame = docs([(1, LIVE), (1, LIVE), (None, LIVE, None, None), (2, None, None, None)])
     rows = sorted(report(frame.withColumnRenamed("n_chars", "row")), key=lambda r: r.doc_id or 0)
@@ -60,7 +68,21 @@ def test_redaction_touches_live_spans_only(spark, docs):
 
 
 def test_query(spark):
-    path = f"{entry.ENTRY_FOLDER}/documents.parquet"
-    text = {r.doc_id: r.text for r in spark.read.parquet(path).collect()}
+    """Base spans and live spans of every document, counted over all pairs of secret and document."""
+    rows = spark.read.parquet(f"{entry.ENTRY_FOLDER}/documents.parquet").collect()
+    seen = {}
+    for r in rows:
+        for _, _, _, a, b in secrets.spans_of(r.text or ""):
+            repos, owners = seen.setdefault(r.text[a:b], (set(), set()))
+            repos.add("/".join(x for x in (r.source, r.lang) if x is not None))
+            owners.add(r.source)
+    live = {s for s, (repos, owners) in seen.items() if len(owners) <= 2 and len(repos) <= 3 * len(owners) and secrets.entropy(s) >= 2.5}
+    text = {r.doc_id: r.text or "" for r in rows}
+    found = 0
     for r in entry.queries()["op10_secret_scan"](spark, entry.ENTRY_FOLDER).collect():
-        assert r.base_sha256 == brute.sha(",".join(brute.base_spans(text[r.doc_id])))
+        base = brute.base_spans(text[r.doc_id])
+        own = {(a, b) for _, _, _, a, b in secrets.spans_of(text[r.doc_id]) if text[r.doc_id][a:b] in live}
+        assert r.base_sha256 == brute.sha(",".join(base)) and r.n_live == len(own)
+        assert set(filter(None, r.spans.split(","))) == set(base) | {f"live:{a}:{b}" for a, b in own}
+        found += len(own)
+    assert found > 0
