@@ -24,6 +24,7 @@ rows that repeat an id are one document; an empty table gives no rows; other col
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -291,14 +292,15 @@ class Tree:
 
 
 def likely_pairs(n: np.ndarray, comp: np.ndarray, bits: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the classes that may link: a tree for each width, with the next width folded in.
+    """Places of the classes that may link: a tree for each width, with wider bitmaps folded in.
 
-    Sets that link differ in size by less than a factor of two, and so in width by one step at most.
+    Sets that link differ in size by a factor of 100 / ``percent`` at most, and so in width by that many doublings.
     """
+    reach = 1 << np.arange(max(1, math.ceil(math.log2(100 / percent))) + 1)
     widths = np.array([len(b) for b in bits])
     ones, twos = [np.zeros(0, int)], [np.zeros(0, int)]
     for width in np.unique(widths):
-        own = np.flatnonzero((widths == width) | (widths == 2 * width))
+        own = np.flatnonzero(np.isin(widths, width * reach))
         x, y = Tree(n[own], comp[own], [bits[i] for i in own]).pairs(percent)
         x, y = own[x], own[y]
         least = np.minimum(widths[x], widths[y]) == width

@@ -81,3 +81,9 @@ def test_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{entry.ENTRY_FOLDER}/documents.parquet").select("doc_id", "text").collect()]
     got = entry.queries()["op9_ngram_jaccard"](spark, entry.ENTRY_FOLDER).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.components(rows, 4, 85)
+
+
+def test_sets_of_unlike_sizes_link_at_a_low_percentage(spark, docs):
+    rows = [(1, " ".join(f"w{i}" for i in range(61))), (2, " ".join(f"w{i}" for i in range(201))), (3, " ".join(f"v{i}" for i in range(61)))]
+    got = {r.doc_id: r.component_id for r in jaccard.join(docs(rows), jaccard.Rule(shingle=2, percent=30)).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
