@@ -2,9 +2,9 @@
 
 Equal vectors are indexed once; of each, the least ids that any answer can need are kept, found by a ranking
 that Spark limits in each task before the shuffle. Distinct vectors are dealt to shards of about ``SHARD_ROWS`` by a
-hash. Each shard's graph is built in one task and stored as flat neighbour arrays, a row a shard. Queries meet
-every shard in blocks of ``QUERY_BLOCK``, so that a task holds one shard and one block; the shards' results
-are merged by exact scores. Inside a shard all points of a batch, or all queries of a block, walk the graph
+hash. Each shard's graph is built in one task and stored as flat neighbour arrays, a row a shard. A shard travels
+once for every ``GROUP_BLOCKS`` blocks of ``QUERY_BLOCK`` queries: the blocks follow it in the same task, which holds one
+shard and one block at a time; the shards' results are merged by exact scores. Inside a shard all points of a batch, or all queries of a block, walk the graph
 side by side in numpy.
 
 Scores are cosines in double precision on the original vectors. Ties go to the smaller id.
@@ -29,6 +29,7 @@ from migrascope.llm.common import arrow_type, written
 
 SHARD_ROWS = 4096
 QUERY_BLOCK = 512
+GROUP_BLOCKS = 64  # blocks that meet a shard one after another in a task
 DEGREE = 16  # links of a point on the upper levels; twice as many on the lowest
 BUILD_WIDTH = 64
 SEARCH_WIDTH = 96
@@ -233,7 +234,7 @@ def index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Shards of ``distinct_vectors`` rows, each with its graph, as stored rows."""
     sizes = vectors.groupBy("dim").agg(F.ceil(F.count("*") / shard_rows).cast("int").alias("shards"))
     total = sizes.agg(F.sum("shards")).first()[0] or 1
-    dealt = vectors.join(sizes, "dim").withColumn("shard", F.pmod("h", F.col("shards")).cast("int"))
+    dealt = vectors.join(F.broadcast(sizes), "dim").withColumn("shard", F.pmod("h", F.col("shards")).cast("int"))
     dealt = dealt.repartition(int(total), "dim", "shard")  # a given number: building is worth a task a shard
     kind = arrow_type(SHARD)
 
@@ -261,7 +262,7 @@ def index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
 def query_blocks(queries: DataFrame, size: int = QUERY_BLOCK) -> DataFrame:
     """Queries (vec_id, v, dim) in rows of up to about ``size``."""
     sizes = queries.groupBy("dim").agg(F.ceil(F.count("*") / size).cast("long").alias("blocks"))
-    dealt = queries.join(sizes, "dim").withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.col("blocks")))
+    dealt = queries.join(F.broadcast(sizes), "dim").withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.col("blocks")))
     kind = arrow_type(BLOCK)
 
     def pack(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,36 +279,59 @@ def search(shards: DataFrame, blocks: DataFrame, k: int, width: int = SEARCH_WID
     kind = arrow_type(HITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard: _Shard | None = None
         for batch in batches:
             for row in batch.to_pylist():
-                yield _answers(row, k, width, kind)
-
-    met = shards.join(blocks, "dim").repartition("dim", "shard", "block")
+                at = row["dim"], row["shard"], row["group"]
+                if row["vectors"] is not None:
+                    shard = _Shard(at, row)
+                elif shard is not None and shard.at == at:
+                    yield shard.answers(row, k, width, kind)
+
+    # How many shards and groups of blocks there are, a row for each length of vectors.
+    counted = shards.groupBy("dim").agg((F.max("shard") + 1).alias("n_shards"))
+    grouped = blocks.groupBy("dim").agg((F.max("block") + 1).alias("n_blocks"))
+    last = F.floor((F.col("n_blocks") - 1) / GROUP_BLOCKS)
+    counts = counted.join(grouped, "dim").withColumn("last", last)
+    sizes = F.broadcast(counts)
+    tasks = counts.agg(F.sum(F.col("n_shards") * (F.col("last") + 1))).first()[0] or 1
+    groups = F.explode(F.sequence(F.lit(0).cast("long"), F.col("last")))
+    left = shards.join(sizes, "dim").select(*SHARD.names, groups.alias("group"), F.lit(-1).cast("long").alias("block"))
+    own = F.floor(F.col("block") / GROUP_BLOCKS).alias("group")
+    right = blocks.join(sizes, "dim").select(*BLOCK.names, F.explode(F.sequence(F.lit(0), F.col("n_shards") - 1)).alias("shard"), own)
+    both = left.unionByName(right, allowMissingColumns=True)
+    met = both.repartition(int(tasks), "dim", "shard", "group")  # a given number: a shard's walk is worth a task
+    met = met.sortWithinPartitions("dim", "shard", "group", "block")
     hits = met.mapInArrow(run, HITS).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def _answers(row: dict, k: int, width: int, kind: pa.Schema) -> pa.RecordBatch:
-    """The shard's best for each query of the block, by exact cosine; of equal vectors the least ids."""
-    dim = row["dim"]
-    vectors = np.frombuffer(row["vectors"], np.float64).reshape(-1, dim)
-    queries = np.frombuffer(row["queries"], np.float64).reshape(-1, dim)
-    levels = [np.frombuffer(b, np.int32).reshape(len(vectors), -1) for b in row["neighbours"]]
-    graph = Graph(normalised(vectors), levels, row["entry"])
-    unit = normalised(queries)
-    vectors, queries = scaled(vectors), scaled(queries)
-    found, _ = graph.search(unit, width, 0, graph.descend(unit, 0))
-    length = np.sqrt((vectors * vectors).sum(axis=1))
-    out: list[dict] = []
-    for i, query_id in enumerate(row["query_ids"]):
-        near = found[i][found[i] >= 0]
-        query = queries[i]
-        score = (vectors[near] * query).sum(axis=1) / (length[near] * np.sqrt((query * query).sum()))
-        pairs = [(-s, v) for s, j in zip(score.tolist(), near.tolist(), strict=True) for v in row["ids"][j] if v != query_id]
-        out += [{"query_id": query_id, "vec_id": v, "score": -s} for s, v in sorted(pairs)[:k]]
-    return pa.RecordBatch.from_pylist(out, schema=kind)
+class _Shard:
+    """A shard that answers blocks of queries."""
+
+    def __init__(self, at: tuple, row: dict) -> None:
+        vectors = np.frombuffer(row["vectors"], np.float64).reshape(-1, row["dim"])
+        levels = [np.frombuffer(b, np.int32).reshape(len(vectors), -1) for b in row["neighbours"]]
+        self.at, self.ids = at, row["ids"]
+        self.graph = Graph(normalised(vectors), levels, row["entry"])
+        self.vectors = scaled(vectors)
+        self.length = np.sqrt((self.vectors * self.vectors).sum(axis=1))
+
+    def answers(self, row: dict, k: int, width: int, kind: pa.Schema) -> pa.RecordBatch:
+        """The shard's best for each query of the block, by exact cosine; of equal vectors the least ids."""
+        queries = np.frombuffer(row["queries"], np.float64).reshape(-1, row["dim"])
+        unit, queries = normalised(queries), scaled(queries)
+        found, _ = self.graph.search(unit, width, 0, self.graph.descend(unit, 0))
+        out: list[dict] = []
+        for i, query_id in enumerate(row["query_ids"]):
+            near = found[i][found[i] >= 0]
+            query = queries[i]
+            score = (self.vectors[near] * query).sum(axis=1) / (self.length[near] * np.sqrt((query * query).sum()))
+            pairs = [(-s, v) for s, j in zip(score.tolist(), near.tolist(), strict=True) for v in self.ids[j] if v != query_id]
+            out += [{"query_id": query_id, "vec_id": v, "score": -s} for s, v in sorted(pairs)[:k]]
+        return pa.RecordBatch.from_pylist(out, schema=kind)
 
 
 def nearest(

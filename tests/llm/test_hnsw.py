@@ -33,9 +33,12 @@ def search(df, k=5, every=10):
     return got
 
 
-@pytest.mark.parametrize(("rows", "shard"), [(900, 200), (900, 4096)])
-def test_recall_against_brute_force(spark, monkeypatch, rows, shard):
+@pytest.mark.parametrize(("rows", "shard", "block"), [(900, 200, 7), (900, 4096, 512)])
+def test_recall_against_brute_force(spark, monkeypatch, rows, shard, block):
+    """Also with several shards, and blocks of queries in several groups."""
     monkeypatch.setattr(hnsw.index, "__defaults__", (shard,))
+    monkeypatch.setattr(hnsw.query_blocks, "__defaults__", (block,))
+    monkeypatch.setattr(hnsw, "GROUP_BLOCKS", 3)
     rng = np.random.default_rng(rows + shard)
     centres = rng.standard_normal((12, 24))
     vectors = {i: (centres[i % 12] + 0.7 * rng.standard_normal(24)).tolist() for i in range(rows)}
