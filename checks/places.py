@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks import proxies as P
+from checks.etl import scratch_folder
 from checks.registry import query, r
 from migrascope import dims
 from migrascope.functions.text import text_array
 from migrascope.operators import matching, proximity, serving, spatial
 from migrascope.operators.panel import growth_rates
+from migrascope.sources import readers, writers
 
 USER = (37.5, -121.5)
 RANK = "ORDER BY relevance_score DESC, distance_km, business_id"
@@ -405,3 +409,46 @@ def morans_i(spark, folder):
     return spatial.morans_i(mean, rook, "x").select("n", "weights", r("morans_i"))
 
 
+
+
+# --- stored layers, written and read back ---
+
+
+@query("business_roundtrip", f"SELECT business_id, business_name, business_category, employees, latitude, longitude FROM ({P.BUSINESS_SQL})")
+def business_roundtrip(spark, folder):
+    """The business layer written twice, the second time as a whole, and read back."""
+    path = f"{scratch_folder(spark, 'businesses')}/{uuid.uuid4().hex}"
+    businesses = P.businesses(spark, folder)
+    writers.write_businesses(businesses.limit(3), path)
+    writers.write_businesses(businesses, path)
+    stored = readers.read_table(spark, path)
+    return stored.select("business_id", "business_name", "business_category", "employees", "latitude", "longitude")
+
+
+@query(
+    "score_roundtrip",
+    f"SELECT tract_geoid, latitude, longitude, hotspot_prob, 'peru' AS origin_group, 2::INTEGER AS horizon "
+    f"FROM ({P.hotspots_sql(['india', 'peru'])}) WHERE origin_group = 'peru'",
+)
+def score_roundtrip(spark, folder):
+    """Scores of two groups and horizons; one of them is written anew, and the others stay."""
+    path = f"{scratch_folder(spark, 'scores')}/{uuid.uuid4().hex}"
+    spots = P.hotspots(spark, folder, ["india", "peru"])
+    scores = spots.select("tract_geoid", "origin_group", "hotspot_prob", F.lit(2).alias("horizon"))
+    writers.write_scores(scores.unionByName(scores.withColumn("horizon", F.lit(5))), path)
+    writers.write_scores(scores.filter("origin_group = 'india'").withColumn("hotspot_prob", F.lit(0.0)), path)
+    found = readers.read_hotspot_scores(spark, path, "peru", spots.filter("origin_group = 'peru'"), 2)
+    return found.select("tract_geoid", "latitude", "longitude", "hotspot_prob", "origin_group", F.col("horizon").cast("int").alias("horizon"))
+
+
+@query(
+    "match_roundtrip",
+    f"SELECT tract_geoid, business_id, origin_group, rank FROM ({match_sql(P.hotspots_sql(['india', 'peru']), scored_sql(), dims.MATCH_TOP_K)})",
+)
+def match_roundtrip(spark, folder):
+    """Matches replace what an older run stored, other groups included."""
+    path = f"{scratch_folder(spark, 'matches')}/{uuid.uuid4().hex}"
+    found = matched(spark, folder, ["india", "peru"], dims.MATCH_TOP_K)
+    writers.write_matches(found.limit(5).withColumn("origin_group", F.lit("gone")), path)
+    writers.write_matches(found, path)
+    return readers.read_table(spark, path).select("tract_geoid", "business_id", "origin_group", "rank")

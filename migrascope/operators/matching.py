@@ -71,9 +71,9 @@ def score_businesses(businesses: DataFrame, origin: str, tastes: Tastes | None =
 
 
 def tasted_places(businesses: DataFrame, tastes: Tastes, wanted: list[int] | None = None) -> DataFrame:
-    """Businesses with their score for each taste, for ``top_places``."""
+    """Businesses with their score for each taste, for ``top_places``. Of what else is known of a business only a
+    hash goes through the search (``place_row``); ``with_details`` joins the rest to the chosen ones."""
     columns = businesses.columns
-    extra = [c for c in (*DETAILS, *CONTACT) if c in columns]
     offers = []
     for (preferred, cuisine), n in tastes.numbered().items():
         if wanted is not None and n not in wanted:
@@ -90,11 +90,26 @@ def tasted_places(businesses: DataFrame, tastes: Tastes, wanted: list[int] | Non
         F.col("business_id").alias("place_id"),
         F.col("latitude").alias("place_latitude"),
         F.col("longitude").alias("place_longitude"),
-        *extra,
+        _row_hash(businesses).alias("place_row"),
         F.array(*offers).alias("offers"),
     )
 
 
+def _row_hash(businesses: DataFrame) -> Column:
+    """Tells rows of one business id apart, should there be several."""
+    known = [c for c in (*DETAILS, *CONTACT) if c in businesses.columns]
+    return F.xxhash64("latitude", "longitude", *known)
+
+
+def with_details(best: DataFrame, businesses: DataFrame) -> DataFrame:
+    """Chosen places with name, category and contact of their business."""
+    extra = [c for c in (*DETAILS, *CONTACT) if c in businesses.columns]
+    rows = businesses.select(F.col("business_id").alias("__id"), _row_hash(businesses).alias("__row"), *extra)
+    rows = rows.dropDuplicates(["__id", "__row"])
+    same = F.col("place_id").eqNullSafe(F.col("__id")) & (F.col("place_row") == F.col("__row"))
+    return best.join(rows, same).drop("__id", "__row", "place_row")
+
+
 def match_hotspots(
     hotspots: DataFrame,
     businesses: DataFrame,
@@ -129,7 +144,7 @@ def match_hotspots(
     )
     places = tasted_places(businesses, tastes, wanted)
     best = top_places(spots, places, [float(max_distance)], max_businesses, **limits)
-    return spots.join(best, LOOKUP).select(
+    return spots.join(with_details(best, businesses), LOOKUP).select(
         "tract_geoid",
         F.col("latitude").alias("hotspot_latitude"),
         F.col("longitude").alias("hotspot_longitude"),
@@ -277,6 +292,7 @@ def recommend_batch(
     sizes = sorted({r.grid_km for r in used})  # at most the grid sizes times the tastes
     places = tasted_places(businesses, tastes, sorted({r.taste for r in used}))
     best = top_places(known_radius, places, sizes, max((r.k or 0 for r in used), default=0), **limits)
+    best = with_details(best, businesses)
 
     def known(column: str) -> Column:
         return F.col(column) if column in best.columns else F.lit(None)
