@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +26,7 @@ def read_acs(
     if fmt == "parquet":
         df = spark.read.schema(schemas.ACS_RAW).parquet(path)
     else:
-        df = typed(read_delimited(spark, path), schemas.ACS_RAW)
+        df = typed(read_delimited(spark, path, marks=["tract_geoid", "year"]), schemas.ACS_RAW)
     if years:
         df = df.filter(F.col("year").isin(years))
     if states:
@@ -45,7 +46,7 @@ def read_county_industry(
 
     FIPS parts and NAICS stay text so that leading zeros survive.
     """
-    raw = read_delimited(spark, path, sep)
+    raw = read_delimited(spark, path, sep, ["fipstate", "naics"])
     fields = [f for f in schemas.CBP_RAW.fields if f.name in raw.columns]
     missing = {"fipstate", "fipscty", "naics", "est"} - {f.name for f in fields}
     if missing:
@@ -57,20 +58,31 @@ def read_county_industry(
     return df.filter(F.col("year").isin(years)) if years else df
 
 
-def read_delimited(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+def layouts(spark: SparkSession, path: str, marks: list[str]) -> dict[str, list[str]]:
+    """Header line -> files that have it, found in one distributed scan; headers hold all of ``marks``.
+
+    A line counts only where it begins its file, so the same words further down are no header.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    place = F.monotonically_increasing_id()  # grows along a file's first block
+    opening = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), place.alias("place"))
+    opening = opening.filter("block = 0")
+    firsts = opening.groupBy("file").agg(F.min("place").alias("place"))  # a short row per delivered file
+    marked = opening.filter(" AND ".join(f"contains(lower(value), '{m}')" for m in marks)) if marks else opening
+    heads = marked.join(firsts, ["file", "place"]).groupBy("value").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    plain = {r["value"]: [unquote(f) for f in r["files"]] for r in heads.collect()}  # a row per layout
+    return dict(sorted(plain.items(), key=lambda kv: kv[1][0]))
+
+
+def read_delimited(spark: SparkSession, path: str, sep: str = ",", marks: list[str] | None = None) -> DataFrame:
     """Text columns of delimited files, named in lower case by each file's own header.
 
     Layouts change between deliveries. Files with the same header are one scan, and the scans are
-    put together by name; a column that a file does not have is NULL for it. Only the headers are
-    read while the plan is built, a line of each file.
+    put together by name; a column that a file does not have is NULL for it. Headers are found by one
+    distributed scan, whatever the number of files; ``marks`` are words that every header holds.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for row in files.sort("path").collect():  # one short row per delivered file
-        header = spark.read.option("header", True).option("sep", sep).csv(row.path).columns
-        layouts.setdefault(tuple(header), []).append(row.path)
     frames = []
-    for paths in layouts.values():
+    for paths in layouts(spark, path, marks or []).values():
         reader = spark.read.option("header", True).option("sep", sep).option("basePath", path)
         frame = reader.csv(paths)
         frames.append(frame.select([F.col(f"`{c}`").cast("string").alias(c.lower()) for c in frame.columns]))

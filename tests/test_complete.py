@@ -75,6 +75,19 @@ def test_county_files_of_different_layouts(spark, tmp_path):
     assert got == {2017: ("01", 2, 5, 50), 2018: ("01", 9, 60, 800)}
 
 
+def test_many_small_files_are_planned_in_one_scan(spark, tmp_path):
+    """Headers in other orders, a space in a name, a file without rows, and header words in the middle of a file."""
+    for i in range(60):
+        head = "FIPSTATE,fipscty,naics,est" if i % 2 else "est,naics,fipscty,fipstate"
+        row = f"01,00{i % 10},722,{i}" if i % 2 else f"{i},722,00{i % 10},01"
+        (tmp_path / f"part {i}+a.csv").write_text(f"{head}\n{row}\n" if i else f"{head}\n")
+    (tmp_path / "odd.csv").write_text("fipscty,fipstate,naics,est\n1,fipstate naics,722,999\n")
+    found = readers.layouts(spark, str(tmp_path), ["fipstate", "naics"])
+    assert sorted(len(f) for f in found.values()) == [1, 30, 30]
+    got = readers.read_county_industry(spark, str(tmp_path)).collect()
+    assert sorted(r.est for r in got) == [*range(1, 60), 999] and {r.fipstate for r in got} == {"01", "fipstate naics"}
+
+
 def test_absent_industry_layer_is_empty(spark, tmp_path):
     path = str(tmp_path / "none")
     got = readers.read_years(spark, path, [2018], required=False)
