@@ -305,3 +305,30 @@ def equalized_odds(spark, folder):
 def equalized_odds_gap(spark, folder):
     gap = metrics.equalized_odds_gap(metrics.equalized_odds(flagged(spark, folder), "y", "pred", "lang"))
     return gap.select(r("max_tpr_gap"), r("max_fpr_gap"))
+
+
+@query(
+    "evaluation_bundle",
+    f"""SELECT 'roc_auc' AS metric, '' AS part, round({AUC}, 6) AS value FROM ({ALL_RANKED_SQL})
+        UNION ALL SELECT 'average_precision', '', round({AP}, 6) FROM ({ALL_RANKED_SQL})
+        UNION ALL SELECT 'brier_score', '', round(avg((p - y) * (p - y)), 6) FROM ({P.SCORES_SQL})
+        UNION ALL SELECT 'confusion', concat(y, '/', pred), count(*)::double FROM ({FLAGGED_SQL}) GROUP BY y, pred
+        UNION ALL SELECT 'accuracy', '', round(avg((y = pred)::integer), 6) FROM ({FLAGGED_SQL})
+        UNION ALL SELECT 'curve_points', '', count(DISTINCT p)::double + 1 FROM ({P.SCORES_SQL})""",
+)
+def evaluation_bundle(spark, folder):
+    """All classification metrics from one stored table of counts by score; the scored rows are read once."""
+    order_stats.ensure_checkpoint_dir(spark)
+    totals = metrics.class_totals(P.scores(spark, folder), "y", "p", None, None).checkpoint()
+    found = metrics.totals_report(totals, "p")
+    blank = F.lit("")
+    parts = [found[m].select(F.lit(m).alias("metric"), blank.alias("part"), r(m).alias("value")) for m in ("roc_auc", "average_precision", "brier_score")]
+    cells = found["confusion_matrix"].filter("n > 0")
+    parts.append(cells.select(F.lit("confusion").alias("metric"), F.concat("actual", F.lit("/"), "predicted").alias("part"), F.col("n").cast("double").alias("value")))
+    accuracy = found["classification_report"].filter(F.col("class") == "accuracy")
+    parts.append(accuracy.select(F.lit("accuracy").alias("metric"), blank.alias("part"), F.round("precision", 6).alias("value")))
+    parts.append(found["pr_curve"].agg(F.count(F.lit(1)).cast("double").alias("value")).select(F.lit("curve_points").alias("metric"), blank.alias("part"), "value"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
