@@ -13,7 +13,7 @@ from checks import features as feature_checks
 from checks import proxies as P
 from checks.registry import query
 from migrascope import dims
-from migrascope.operators import attribution, isotonic, models, panel
+from migrascope.operators import attribution, isotonic, models, panel, serving
 from migrascope.operators import folds as fold_ops
 from migrascope.operators import metrics as metric_ops
 from migrascope.plans import layers
@@ -207,6 +207,24 @@ def tree_attributions(spark, folder):
     return out
 
 
+@query(
+    "predict_growth_model",
+    f"""SELECT tract_geoid, year, round(india_density, 6) AS current_density, true AS centred, 'india' AS origin_group, 2::INTEGER AS horizon
+       FROM ({P.PANEL_SQL}) WHERE cast(substr(tract_geoid, 1, 5) AS integer) % 2 = 0""",
+)
+def predict_growth_model(spark, folder):
+    """The trained regressor's growth of every second county's tracts; ``centred``: five points to either side of it."""
+    built = features(spark, folder)
+    _, forests = final_models(panel.growth_labels(built, HORIZON, P.ORIGINS), models.GROWTH, ["india"], REGRESSION)
+    trained = models.TrainedModel("india", HORIZON, forests["india"], forests["india"].inputs, None)
+    wanted = built.filter(F.substring("tract_geoid", 1, 5).cast("int") % 2 == 0).select("tract_geoid")
+    found = serving.predict_growth(built, models.score_growth(built, trained), "india", HORIZON, wanted)
+    away = [F.abs(F.col(f"confidence_interval.{side}") - F.col("predicted_growth")) for side in ("lower", "upper")]
+    near = 1e-9 * (1 + F.abs("predicted_growth"))
+    centred = (F.abs(away[0] - 5) <= near) & (F.abs(away[1] - 5) <= near)
+    return found.select("tract_geoid", "year", F.round("current_density", 6).alias("current_density"), centred.alias("centred"), "origin_group", "horizon")
+
+
 @query(
     "train_all_origins",
     "SELECT unnest({names}) AS origin_group, 2::INTEGER AS horizon, unnest({done}) AS succeeded, unnest({errors}) AS error".format(

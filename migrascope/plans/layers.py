@@ -150,3 +150,12 @@ def run_inference(
         serving.predict_hotspots(scores, origin, horizon),
         matching.recommend(businesses, latitude, longitude, origin, tastes=tastes),
     )
+
+
+def run_growth(
+    spark: SparkSession, out: str, path: str, origin: str, horizon: int = 2, tract_geoids: list[str] | DataFrame | None = None
+) -> DataFrame:
+    """Growth that the stored regressor of an origin group predicts for the stored features, with its interval."""
+    features = readers.read_table(spark, f"{out}/features")
+    trained = models.load_trained(spark, f"{path}/regression", origin, horizon)
+    return serving.predict_growth(features, models.score_growth(features, trained), origin, horizon, tract_geoids)

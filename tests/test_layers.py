@@ -159,6 +159,11 @@ def test_train_score_match(spark, country, tmp_path):
     evaluated = models.evaluate_regressor(labelled, regressor)
     assert evaluated["error_by_population"].count() == 5 and evaluated["metrics"].first().n == 120
 
+    grown = layers.run_growth(spark, out, str(tmp_path), "india").collect()
+    predicted = {(r.tract_geoid, r.year): r.predicted_growth for r in again.collect()}
+    assert len(grown) == 200 and all(r.predicted_growth == predicted[r.tract_geoid, r.year] for r in grown)
+    assert all(r.confidence_interval.upper - r.confidence_interval.lower == pytest.approx(10) for r in grown)
+
     classifier = trained["classification"][0]["india"]
     loaded = models.CalibratedClassifier.load(str(tmp_path / "classification/origin=india/horizon=2/calibrated"))
     scored = models.score_hotspots(features, classifier, threshold=0.1)
