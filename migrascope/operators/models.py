@@ -251,7 +251,7 @@ def training_frame(labelled: DataFrame, family: Family, origins: list[str], hori
     targets = {o: F.col(family.label(o, horizon)).cast("double").alias(f"__y_{o}") for o in origins}
     frame = sanitize(labelled.select(*kept, *inputs, *targets.values()), inputs)
     if family is GROWTH:
-        frame = metrics.winsorize_many(frame, [f"__y_{o}" for o in origins])
+        frame = metrics.winsorize_many(frame, [f"__y_{o}" for o in origins]).checkpoint()
         frame = fold_ops.balanced_group_folds(frame, "tract_geoid", folds, "__fold")
     else:
         frame = frame.checkpoint()
@@ -356,6 +356,13 @@ def calibrate(labelled: DataFrame, origins: list[str], horizon: int, settings: T
     return frame, calibrators(frame, HOTSPOT, origins, _fit(frame, HOTSPOT, origins, inputs, specs, settings))
 
 
+def warn_if_rare(frame: DataFrame, origins: list[str]) -> None:
+    rates = frame.agg(*[F.avg(f"__y_{o}").alias(o) for o in origins]).first()
+    for o in origins:
+        if rates[o] is not None and rates[o] < dims.LOW_POSITIVE_RATE:
+            log.warning("%s: positive rate %.4f", o, rates[o])
+
+
 def train_together(labelled: DataFrame, family: Family, origins: list[str], horizon: int, settings: TreeSettings, folds: int) -> dict[str, TrainedModel]:
     """Cross-validation, final fits, calibration and attributions of all groups over one binned table."""
     spark = labelled.sparkSession
@@ -365,6 +372,8 @@ def train_together(labelled: DataFrame, family: Family, origins: list[str], hori
             raise ValueError(f"no column {family.label(o, horizon)}")
     inputs = feature_columns(labelled.columns, family.business_last)
     frame = training_frame(labelled, family, origins, horizon, inputs, folds)
+    if family.calibrated:
+        warn_if_rare(frame, origins)
     fitted = _fit(frame, family, origins, inputs, specs_of(family, origins, folds), settings)
     scored = evaluate_folds(held_out_scores(frame, family, origins, folds, fitted), family)
     scores = spark.createDataFrame(scored.collect(), scored.schema)  # a row for each group and fold
