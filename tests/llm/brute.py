@@ -170,3 +170,55 @@ def trie(rows):
         digest = hashlib.sha256(ended.encode()).hexdigest()
         out.append((min(members), len(path), parent, len(members), children[path], leaves[path], saved[path], digest))
     return sorted(out, key=str)
+
+
+def toxic_score(text, model, distance):
+    """The score of a text by distances to all entries and windows of eight words on each side."""
+    marks, ends = "\"“”„«»", ".,;:!?\"'`“”„«»‘’()[]{}<>*#$%&|~^=+-_/\\…"
+    said = "said says say saying wrote writes called calls quote quotes quoted word words term dit dijo sagte".split()
+    address = "you your you're youre yours u ur du dich dein ihr tu toi vous usted tú".split()
+
+    def kinds(word):
+        whole = [(distance(e.term, word), e.edits) for e in model.entries if not e.stem]
+        if any(d == 0 for d, _ in whole):
+            return ["whole", 1.0]
+        stems = [e for e in model.entries if e.stem]
+        if any(word.startswith(e.term) and len(word) > len(e.term) for e in stems):
+            return ["stem", 1.0]
+        if word in model.innocent:
+            return None
+        if any(d <= most for d, most in whole):
+            return ["whole", 0.5]
+        if any(distance(e.term, word[:n]) <= e.edits for e in stems for n in range(1, len(word) - 1)):
+            return ["stem", 0.5]
+        return None
+
+    def hits(token):
+        bare = token.strip(ends)
+        own = [kinds(bare)] if bare else []
+        if not any(own):
+            cut = "".join(" " if c in ends else c for c in bare).split()
+            own = [kinds(p) for p in cut]
+        return [h for h in own if h]
+
+    tokens = (text or "").lower().split()
+    found = [(i, hits(t)) for i, t in enumerate(tokens)]
+    found = [(i, h) for i, h in found if h]
+    total, quoted = {"whole": 0.0, "stem": 0.0}, 0
+    for i, own in found:
+        token, left, right = tokens[i], tokens[max(0, i - 8) : i], tokens[i + 1 : i + 9]
+        count = lambda part: sum((w[0] in marks) + (len(w) > 1 and w[-1] in marks) for w in part)
+        inside = token[0] in marks and token.rstrip(".,;:!?")[-1:] in tuple(marks)
+        opened = (count(left) + (token[0] in marks)) % 2 == 1 and count([token, *right]) > 0
+        window = [w.strip(ends) for w in left + right]
+        quote = inside or opened or any(w in said for w in window)
+        weight = (0.25 if quote else 1.0) * (1.5 if any(w in address for w in window) else 1.0)
+        before = max((j for j, _ in found if j < i), default=-99)
+        after = min((j for j, _ in found if j > i), default=10**9)
+        weight *= 1 + 0.1 * ((i - before <= 8) + (after - i <= 8))
+        quoted += quote
+        for kind, share in own:
+            total[kind] += share * weight
+    whole, stem = total["whole"], total["stem"]
+    features = [math.log1p(whole), math.log1p(stem), stem / math.sqrt(len(tokens)) if tokens else 0.0, math.log1p(quoted)]
+    return 1 / (1 + math.exp(-(model.intercept + sum(f * w for f, w in zip(features, model.weights, strict=True)))))

@@ -1,12 +1,13 @@
 import random
 import zlib
 
+import brute
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from migrascope.llm import toxicity
-from migrascope.llm.toxicity import Automaton, Entry, Scorer
+from migrascope.llm.toxicity import Automaton, Entry, Scorer, entry as allowed
 
 BAD = ["worthless", "idiot", "scumbag"]
 
@@ -24,7 +25,7 @@ def distance(a, b):
 def test_automaton_equals_edit_distance():
     rng = random.Random(3)
     lexicon = ["idiot", "worthless", "trash", "scum", "moron", "disgusting"]
-    automaton = Automaton([Entry(w, False) for w in lexicon])
+    automaton = Automaton([allowed(w) for w in lexicon])
     for _ in range(4000):
         word = list(rng.choice(lexicon))
         for _ in range(rng.randrange(4)):
@@ -41,18 +42,59 @@ def test_automaton_equals_edit_distance():
 
 
 def test_stems_match_longer_words_only():
-    automaton = Automaton([Entry("réeux", True), Entry("idiot", False)])
+    automaton = Automaton([allowed("réeux", stem=True), allowed("idiot")])
     assert automaton.match("réeuxment") == "stem" and automaton.match("réeux") is None
+    assert automaton.match("rèeuxment") == "near stem" and automaton.match("rèex") is None
     assert automaton.match("réeu") is None and automaton.match("idiots") == "near" and automaton.match("") is None
 
 
 def test_quotation_counts_less_and_address_more():
-    scorer = Scorer([Entry("idiot", False)])
+    scorer = Scorer([allowed("idiot")])
     plain = scorer.features("well the idiot came by again")[0]
     assert scorer.features('he wrote "the idiot" in the letter')[0] < plain < scorer.features("you idiot came by again")[0]
     assert scorer.features("an 1diot, or an id!ot: twice")[0] > 0 and scorer.features("nothing here") == [0.0] * 4
 
 
+def test_words_are_cut_at_inner_punctuation():
+    scorer = Scorer([allowed("idiot"), allowed("scum"), allowed("stupid", stem=True)])
+    kinds = {w: [h[0] for h in scorer.found(w)] for w in ("idiot/moron", "idiot...scum", "id!ot", "scumm", "stupdity", "fine/day", "--", "")}
+    assert kinds == {
+        "idiot/moron": ["exact"],
+        "idiot...scum": ["exact", "exact"],
+        "id!ot": ["near"],
+        "scumm": ["near"],
+        "stupdity": ["near stem"],
+        "fine/day": [],
+        "--": [],
+        "": [],
+    }
+
+
+def test_neighbours_in_clean_documents_forbid_edits(spark):
+    clean = [(0, "the closer and lower slum of scab"), (0, "a closer look at the slum"), (0, "scam here"), (0, "well spoken")]
+    sample = spark.createDataFrame([*clean, *[(1, "you losers and scumm")] * 3], "toxic long, text string")
+    entries = [allowed("loser"), allowed("scum"), allowed("moro"), allowed("spoke", stem=True)]
+    kept, innocent = toxicity.permitted(sample, entries, 3, 4)
+    assert innocent == {"closer", "slum"}  # of two clean documents; ``losers`` marks the toxic ones
+    assert {e.term: e.edits for e in kept} == {"loser": 1, "scum": 0, "moro": 1, "spoke": 1}
+    scorer = Scorer(kept, innocent)
+    assert scorer.found("closer") == [] and [h[0] for h in scorer.found("losers")] == ["near"] and scorer.found("scam") == []
+
+
+def test_scores_equal_all_distances(spark):
+    """Scores of whole rows next to edit distances to every entry and context windows counted one by one."""
+    rng = random.Random(9)
+    entries = [allowed("idiot"), allowed("scum"), allowed("worthless"), allowed("stupid", stem=True), Entry("trash", False, 0)]
+    model = toxicity.Model(entries, [1.5, 0.7, 2.0, -0.3], -2.0, frozenset({"idiom", "slum"}))
+    pool = ["idiot", "idiom", "1diot,", "scum", "slum", "scam", "'worthles'", "wortless", "stupidity", "stuppidly", "trash", "trush"]
+    pool += ["you", "said", '"well', 'good"', "«so»", "fine", "day", "idiot/scum", "not-so-stupider", "...", "(dich)"] + ["so", "it", "goes"] * 6
+    rows = [(i, " ".join(rng.choice(pool) for _ in range(rng.randrange(60)))) for i in range(300)]
+    docs = spark.createDataFrame([*rows, (300, None), (301, '"idiot"')], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.add_score(docs, model).collect()}
+    for doc_id, text in [*rows, (300, None), (301, '"idiot"')]:
+        assert got[doc_id] == pytest.approx(brute.toxic_score(text, model, distance), abs=1e-12), text
+
+
 @pytest.fixture(scope="module")
 def corpus(spark):
     rng = random.Random(1)
@@ -75,7 +117,7 @@ def corpus(spark):
 def test_held_out_accuracy(spark, corpus):
     docs, labels, truth = corpus
     model = toxicity.learn(docs, labels)
-    assert {e.term for e in model.entries if not e.stem} >= set(BAD) or {e.term for e in model.entries}
+    assert {e.term for e in model.entries if not e.stem} >= set(BAD)
     rows = toxicity.add_score(docs, model).withColumn("held", toxicity.held_out(F.col("doc_id"))).collect()
     held = [r for r in rows if r.held]
     assert all((r.score >= 0.3) == bool(truth[r.doc_id]) for r in held) and len(held) > 150
