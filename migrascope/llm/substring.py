@@ -6,8 +6,9 @@ run of windows it anchors, and its extent is all their words.
 
 Extend: occurrences are grouped by anchor. Those with equal extents form a class, of which only the least
 document keeps its windows; this settles copies, however many, with one row each and no pairs. Only where an
-anchor has several classes, one occurrence of each is extended window by window inside its extent, by the
-hashes of the windows. Overlapping repeats are united to maximal spans at the end.
+anchor has several classes, one occurrence of each is extended to both sides of the anchor, window by window
+inside its extent, by the hashes of the windows. Repeated windows that overlap or touch are united to maximal
+spans, each at least ``length`` words long, and the words of the spans are removed.
 
 No step compares pairs of documents, so a passage in a third of all documents costs as many rows as it has
 occurrences. Counts are aggregated before shuffling; joins are plain equi-joins that adaptive execution may
@@ -175,24 +176,24 @@ def spans(runs: DataFrame, length: int) -> DataFrame:
 
 
 def kept(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
-    """Counts and digest of the words that stay, for every row of ``identified``."""
+    """Counts and digest of the words outside the maximal spans of the runs, for every row of ``identified``."""
     kind = arrow_type(RESULT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             rows = []
             for doc_id, text, own in zip(
-                part.column("doc_id").to_pylist(), texts(part, "text"), part.column("runs").to_pylist(), strict=True
+                part.column("doc_id").to_pylist(), texts(part, "text"), part.column("spans").to_pylist(), strict=True
             ):
                 found = text.encode().split()  # bytes split on exactly 0x20 and 0x09-0x0D
                 keep = np.ones(len(found), bool)
-                for r in own or ():
-                    keep[r["lo"] : r["hi"] + length] = False
+                for span in own or ():
+                    keep[span["start"] : span["end"]] = False
                 stay = [w for w, k in zip(found, keep, strict=True) if k] if own else found
                 digest = hashlib.sha256(b" ".join(stay)).hexdigest()
                 rows.append((doc_id, len(found), len(found) - len(stay), digest))
             yield pa.RecordBatch.from_pylist([dict(zip(RESULT.names, r, strict=True)) for r in rows], schema=kind)
 
-    listed = runs.groupBy("doc_id", "fp").agg(F.collect_set(F.struct("lo", "hi")).alias("runs"))
+    listed = spans(runs, length).groupBy("doc_id", "fp").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     joined = docs.join(listed, ["doc_id", "fp"], "left")
-    return joined.select("doc_id", "text", "runs").mapInArrow(run, RESULT)
+    return joined.select("doc_id", "text", "spans").mapInArrow(run, RESULT)

@@ -49,3 +49,13 @@ def test_query(spark):
     rows = spark.read.parquet(f"{entry.ENTRY_FOLDER}/documents.parquet").select("doc_id", "text").collect()
     got = entry.queries()["op6_substring_dedup"](spark, entry.ENTRY_FOLDER).collect()
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == brute.repeats([tuple(r) for r in rows], 50)
+
+
+def test_very_long_texts_and_clashing_columns(spark):
+    rng = random.Random(8)
+    long = [f"w{rng.randrange(400)}" for _ in range(120_000)]
+    rows = [(1, " ".join(long)), (2, " ".join(long[500:560])), (3, " ".join(["x"] * 30 + long[90_000:] + ["y"] * 30)), (4, "x" * 300_000)]
+    names = ("fp", "lo", "hi", "runs", "spans", "start", "anchor", "n_words", "kept_sha256")
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", *(f"'mine' AS {n}" for n in names))
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in run(frame, 50)}
+    assert got == brute.repeats(rows, 50) and got[2][1] == 60 and got[3][1] == 30_000
