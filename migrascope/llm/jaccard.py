@@ -45,6 +45,7 @@ BAND = 1.4  # ratio of sizes that families are looked for in
 FREQUENT = 65_536  # bound of the list of frequent shingles
 FREQUENT_SHARE = 0.005  # of the documents of a task
 BUCKET = 1 << 18  # prefix shingles that one group of a task holds
+HOT = 0.25  # of a bucket that one shingle may fill
 FLUSH = 1 << 20  # prefix shingles a task holds before it passes them on
 GROUP = 1024  # members of a block
 BLOCK_SHINGLES = 1 << 20  # and their shingles
@@ -169,23 +170,40 @@ def profiles(docs: DataFrame, rule: Rule) -> DataFrame:
     return docs.mapInArrow(run, PROFILE)
 
 
-def shared_prefixes(docs: DataFrame, rule: Rule, frequent: np.ndarray, total: int) -> DataFrame:
+def shared_prefixes(docs: DataFrame, rule: Rule, frequent: np.ndarray, times: np.ndarray, total: int) -> DataFrame:
     """(token, cls): prefix shingles that at least two classes have; ``total`` of them set the number of buckets.
 
     Tasks pass on packed arrays instead of a row a shingle. A shingle goes to the bucket that its hash names,
     where 32 more bits of the hash tell shingles apart; should two agree in all, that adds a candidate.
+
+    A shingle that would fill much of a bucket (``HOT`` of its size, by the counted ``times`` of the frequent ones)
+    goes to none: its classes are spread over ``salts`` buckets by their own hash, and the shingle by its number.
     """
     buckets = 1
     while buckets * BUCKET < total:
         buckets *= 2
+    hot = frequent[times >= HOT * BUCKET]
+    salts = np.uint64(1 + int(times[times >= HOT * BUCKET].sum()) // BUCKET)
     packed_kind, kind = arrow_type(PACKED), arrow_type(SHARED)
 
-    def pack(parts: list[np.ndarray], classes: list[int]) -> pa.RecordBatch:
-        token = words.mix(np.concatenate(parts))
-        cls = np.repeat(np.array(classes, np.int64), [len(p) for p in parts])
-        bucket = (token & np.uint64(buckets - 1)).astype(np.int64)
+    def parted(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of ordinary buckets, and the numbers of the hot ones."""
+        if not len(hot):
+            return tokens, np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)
+        is_hot = hot[at] == tokens
+        return tokens[~is_hot], at[is_hot]
+
+    def pack(parts: list[tuple[np.ndarray, np.ndarray]], classes: list[int]) -> pa.RecordBatch:
+        mixed = words.mix(np.concatenate([p for p, _ in parts]))
+        own = np.array(classes, np.int64)
+        cls, of_hot = (np.repeat(own, [len(p[k]) for p in parts]) for k in range(2))
+        salt = (words.mix(of_hot.view(np.uint64)) % salts).astype(np.int64)
+        bucket = np.concatenate([(mixed & np.uint64(buckets - 1)).astype(np.int64), buckets + salt])
+        token = np.concatenate([(mixed >> np.uint64(32)).astype(np.uint32), *(p.astype(np.uint32) for _, p in parts)])
+        cls = np.concatenate([cls, of_hot])
         order = np.lexsort((cls, bucket))
-        bucket, cls, token = bucket[order], cls[order], (token[order] >> np.uint64(32)).astype(np.uint32)
+        bucket, cls, token = bucket[order], cls[order], token[order]
         new = np.append(True, (bucket[1:] != bucket[:-1]) | (cls[1:] != cls[:-1]))
         first = np.flatnonzero(new)
         counts = np.diff(np.append(first, len(cls))).astype(np.uint32)
@@ -209,7 +227,7 @@ def shared_prefixes(docs: DataFrame, rule: Rule, frequent: np.ndarray, total: in
                 if len(frequent):
                     often = frequent[np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)] == tokens
                     tokens = np.concatenate([tokens[~often], tokens[often]])
-                parts.append(tokens[:length].copy())
+                parts.append(parted(tokens[:length].copy()))
                 classes.append(cls)
                 held += length
             if held > FLUSH:
@@ -226,10 +244,14 @@ def shared_prefixes(docs: DataFrame, rule: Rule, frequent: np.ndarray, total: in
         cls, token = cls[order], token[order]
         new = np.append(True, (token[1:] != token[:-1]) | (cls[1:] != cls[:-1]))
         cls, token = cls[new], token[new].astype(np.int64)
-        same = token[1:] == token[:-1]
-        several = np.append(same, False) | np.append(False, same)
-        named = (key[0].as_py() << 32) | token[several]
-        yield pa.RecordBatch.from_arrays([pa.array(named), pa.array(cls[several])], schema=kind)
+        bucket = key[0].as_py()
+        if bucket >= buckets:  # classes of hot shingles; others of these may be in other salts
+            named = (buckets + token) << 32
+        else:
+            same = token[1:] == token[:-1]
+            several = np.append(same, False) | np.append(False, same)
+            named, cls = (bucket << 32) | token[several], cls[several]
+        yield pa.RecordBatch.from_arrays([pa.array(named), pa.array(cls)], schema=kind)
 
     return docs.select("text").mapInArrow(run, PACKED).groupBy("bucket").applyInArrow(meet, SHARED)
 
@@ -509,12 +531,14 @@ def join(docs: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str = "text"
         .limit(FREQUENT)
         .collect()
     )
-    often = np.sort(np.array([r["frequent"] for r in top], dtype=np.int64).view(np.uint64))
+    often = np.array([r["frequent"] for r in top], dtype=np.int64).view(np.uint64)
+    order = np.argsort(often)
+    often, times = often[order], np.array([r["times"] for r in top], dtype=np.int64)[order]
     total = classes.agg(F.sum("n")).first()[0] or 0
 
     families = written(components(near(classes)), "families")
     links = family_links(classes, families, rows, rule)
-    placed = shared_prefixes(rows.filter("doc_id IS NOT NULL"), rule, often, total * (100 - rule.percent) // 100)
+    placed = shared_prefixes(rows.filter("doc_id IS NOT NULL"), rule, often, times, total * (100 - rule.percent) // 100)
     left = written(candidates(members(written(placed, "placed"), families, classes, documents), rule), "candidates")
     used = left.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     wanted = written(classes.select("cls", "doc_id").join(used, "cls"), "wanted")

@@ -1,5 +1,8 @@
 import random
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
@@ -87,3 +90,35 @@ def test_sets_of_unlike_sizes_link_at_a_low_percentage(spark, docs):
     rows = [(1, " ".join(f"w{i}" for i in range(61))), (2, " ".join(f"w{i}" for i in range(201))), (3, " ".join(f"v{i}" for i in range(61)))]
     got = {r.doc_id: r.component_id for r in jaccard.join(docs(rows), jaccard.Rule(shingle=2, percent=30)).collect()}
     assert got == {1: 1, 2: 1, 3: 3}
+
+
+def test_hot_shingles_are_spread_over_salts(spark, monkeypatch):
+    """With buckets of a few shingles the frequent ones are salted; the groups of classes stay the same."""
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(240):
+        own = list(base)
+        for _ in range(rng.randrange(1, 12)):
+            own[rng.randrange(60)] = f"v{rng.randrange(200)}"
+        rows.append((i, " ".join(own)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    rule = Rule(4, 85)
+    shingles = [s for _, t in rows for s in jaccard.shingle_sets(pa.array([t]), 4)[0].tolist()]
+    counts = Counter(shingles).most_common(40)
+    order = sorted(range(40), key=lambda i: counts[i][0])
+    often, times = (np.array([counts[i][k] for i in order], t) for k, t in ((0, np.uint64), (1, np.int64)))
+
+    def groups(bucket):
+        monkeypatch.setattr(jaccard, "BUCKET", bucket)
+        members = {}
+        for r in jaccard.shared_prefixes(frame, rule, often, times, len(shingles) // 6).collect():
+            members.setdefault(r.token, []).append(r.cls)
+        assert all(len(m) == len(set(m)) for m in members.values())
+        return sorted(sorted(m) for m in members.values() if len(m) > 1)
+
+    assert groups(64) == groups(1 << 18)
+    monkeypatch.setattr(jaccard, "BUCKET", 64)
+    monkeypatch.setattr(jaccard, "near", lambda classes: classes.sparkSession.createDataFrame([], "a long, b long"))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join(frame, rule).collect()}
+    assert got == brute.components(rows, 4, 85)
