@@ -65,12 +65,18 @@ def location_wide(rollup: DataFrame, categories: list[str] | None = None) -> Dat
 
 
 def cuisine_rollup(tagged: DataFrame) -> DataFrame:
-    """Count and employees of tagged businesses per county and primary cuisine."""
-    rows = tagged.filter("has_cuisine_tag").dropna(subset=["county_fips", "primary_cuisine"])
-    return rows.groupBy("county_fips", "primary_cuisine").agg(
-        F.count("business_name").alias("business_count"),
-        F.sum("employees").alias("employees"),
+    """Count and employees of tagged businesses per county and primary cuisine.
+
+    The tag and the cuisine are tested within the sums. Spark would push a filter on them below the
+    tagging, with the search for keywords written out anew for every use of every score.
+    """
+    tag, cuisine = F.col("has_cuisine_tag"), F.col("primary_cuisine")
+    sums = tagged.dropna(subset=["county_fips"]).groupBy("county_fips", "primary_cuisine").agg(
+        F.count(F.when(tag, F.col("business_name"))).alias("business_count"),
+        F.sum(F.when(tag, F.col("employees"))).alias("employees"),
+        F.count(F.when(tag & cuisine.isNotNull(), 1)).alias("__tagged"),
     )
+    return sums.filter("__tagged > 0").drop("__tagged")
 
 
 def cuisine_wide(rollup: DataFrame, cuisines: list[str] | None = None) -> DataFrame:

@@ -145,3 +145,26 @@ def test_county_in_one_table_only_keeps_nulls(spark):
     )
     out = {r.county_fips: r for r in rollup.aggregate_by_location(businesses).collect()}
     assert out["A"].thai_business_count is None and out["B"].thai_business_count == 1
+
+
+def test_cuisine_rollup_searches_each_name_once(spark, capsys):
+    """A filter on the tag would be pushed below the tagging, with the search repeated for every use of a score."""
+    name = F.when(F.col("id") % 3 == 0, "Pho Hanoi").when(F.col("id") % 3 == 1, "Main Street Laundry")
+    rows = spark.range(9).select(
+        name.alias("business_name"),
+        F.when(F.col("id") < 6, "A").alias("county_fips"),
+        F.col("id").cast("double").alias("employees"),
+    )
+    out = rollup.cuisine_rollup(clean.tag_cuisines(rows))
+    assert [tuple(r) for r in out.collect()] == [("A", "vietnamese", 2, 3.0)]
+    out.explain()
+    assert capsys.readouterr().out.split("== Physical Plan ==")[-1].count("regexp_extract_all(") == 1
+
+
+def test_cuisine_rollup_leaves_out_null_keys_and_tags(spark):
+    rows = spark.createDataFrame(
+        [("A", "x", 1.0, None, True), (None, "x", 1.0, "thai", True), ("A", "x", 1.0, "thai", None),
+         ("B", None, None, "thai", True), ("B", "y", 2.0, "thai", False), ("C", "y", 2.0, "thai", False)],
+        "county_fips string, business_name string, employees double, primary_cuisine string, has_cuisine_tag boolean",
+    )
+    assert [tuple(r) for r in rollup.cuisine_rollup(rows).collect()] == [("B", "thai", 0, None)]
