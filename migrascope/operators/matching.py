@@ -105,7 +105,8 @@ def with_details(best: DataFrame, businesses: DataFrame) -> DataFrame:
     """Chosen places with name, category and contact of their business."""
     extra = [c for c in (*DETAILS, *CONTACT) if c in businesses.columns]
     rows = businesses.select(F.col("business_id").alias("__id"), _row_hash(businesses).alias("__row"), *extra)
-    rows = rows.dropDuplicates(["__id", "__row"])
+    # Spread by the key before rows are made distinct: a task of the scan would sort all it reads.
+    rows = rows.repartition("__id", "__row").dropDuplicates(["__id", "__row"])
     same = F.col("place_id").eqNullSafe(F.col("__id")) & (F.col("place_row") == F.col("__row"))
     return best.join(rows, same).drop("__id", "__row", "place_row")
 

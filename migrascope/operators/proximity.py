@@ -16,6 +16,8 @@ check the exact distance. Points with a NULL or NaN coordinate never match.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +28,7 @@ from migrascope.session import ensure_checkpoint_dir
 
 DIGITS = 6  # scores and distances are ranked and reported to this many decimals
 FANOUT = 8  # boxes per side when a box is split; a power of two keeps boxes exactly nested
+PLACES_PER_TASK = 50_000  # places whose offers one task sorts at once
 MAX_LEVEL = 12  # boxes are then smaller than the spacing of coordinates: each holds one coordinate
 TIE_SLACK_KM = 2 * 10.0**-DIGITS  # distances this close may round to the same value
 LOOKUP = ["taste", "grid_km", "radius_km", "k", "latitude", "longitude"]
@@ -125,8 +128,10 @@ def _distance() -> Column:
 def _best_per_coordinate(places: DataFrame, max_k: int) -> DataFrame:
     """The best ``max_k`` places of each coordinate and taste.
 
-    Spark prunes each task to ``max_k`` rows per coordinate before the shuffle.
+    Spark prunes each task to ``max_k`` rows per coordinate before the shuffle. For that a task sorts
+    its offers, so the places are spread first: few files or row groups make few and large tasks.
     """
+    places = _spread(places)
     best = Window.partitionBy("taste", "place_latitude", "place_longitude").orderBy(
         F.desc("score"), "place_id"
     )
@@ -141,6 +146,17 @@ def _best_per_coordinate(places: DataFrame, max_k: int) -> DataFrame:
     )
 
 
+def _spread(places: DataFrame) -> DataFrame:
+    """The places in tasks of about ``PLACES_PER_TASK``, however they were read.
+
+    By id and coordinate: a crowded coordinate is spread as well. Reads the coordinates once more, to count.
+    """
+    tasks = math.ceil(places.count() / PLACES_PER_TASK)
+    if tasks <= 1:
+        return places
+    return places.repartition(tasks, "place_id", "place_latitude", "place_longitude")
+
+
 def _in_grid(places: DataFrame, grid_sizes: list[float]) -> DataFrame:
     """Add the grid cell, once per grid size in use."""
     sizes = F.array(*[F.lit(float(s)) for s in grid_sizes])

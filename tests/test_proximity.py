@@ -180,3 +180,31 @@ def test_match_plan_has_no_nested_loop(spark, shops):
     )
     plan = matching.match_hotspots(spots, shops)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "WindowGroupLimit" in plan
+
+
+def test_places_of_one_task_are_spread_before_they_are_ranked(spark, monkeypatch):
+    monkeypatch.setattr(proximity, "PLACES_PER_TASK", 50)
+    offer = F.struct(F.lit(0).alias("taste"), (F.col("id") % 7 / 7.0).alias("score"))
+    places = spark.range(400).coalesce(1).select(
+        F.col("id").cast("string").alias("place_id"),
+        F.lit(1.0).alias("place_latitude"),
+        F.lit(2.0).alias("place_longitude"),
+        F.array(offer).alias("offers"),
+    )
+    sizes = proximity._spread(places).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 4 and sum(r["count"] for r in sizes) == 400
+    best = proximity._best_per_coordinate(places, 3).collect()
+    expected = sorted((str(i) for i in range(400) if i % 7 == 6))[:3]
+    assert sorted(r.place_id for r in best) == expected
+    monkeypatch.setattr(proximity, "PLACES_PER_TASK", 400)
+    assert proximity._spread(places) is places
+
+
+def test_details_are_spread_before_they_are_made_distinct(spark, shops, capsys):
+    best = shops.select(
+        F.col("business_id").alias("place_id"), matching._row_hash(shops).alias("place_row"), F.lit(1).alias("rank")
+    )
+    out = matching.with_details(best, shops.unionByName(shops))
+    assert out.count() == shops.dropDuplicates().count()
+    out.explain()
+    assert "REPARTITION_BY_COL" in capsys.readouterr().out
