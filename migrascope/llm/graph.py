@@ -22,6 +22,7 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = both.groupBy("v").agg(F.least(F.min("u"), F.first("v")).alias("m"))
         large = both.filter("u > v").join(least, "v").filter("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
+        large = written(large, "stars")  # read three times below: one plan of both stars would hold the links a dozen times
         least = large.groupBy("v").agg(F.min("u").alias("m"))
         hung = large.join(least, "v").filter("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u"))
         small = hung.unionByName(least.select("v", F.col("m").alias("u")))

@@ -79,7 +79,9 @@ def rake(cells: DataFrame, margins: list[Margin], rounds: int = ROUNDS, toleranc
             factor = sums.join(goal, same).select(sums["value"], (F.col("goal") * total / F.col("sum")).alias("factor"))
             scaled = now.join(factor, now[margin.column].eqNullSafe(factor["value"]), "left")
             now = scaled.select(*cells.columns, (F.col("weight") * F.coalesce("factor", F.lit(1.0))).alias("weight"))
-        now = written(now, "raked")  # a table: a checkpoint keeps what the plan knew of each round, which piles up
+            # Each margin is a table: the next one reads it twice, so that one plan of all would double with each
+            # margin; a checkpoint keeps what the plan knew, which piles up.
+            now = written(now, "raked")
         off = None
         for margin, goal in zip(margins, goals, strict=True):
             sums = now.groupBy(F.col(margin.column).alias("value")).agg(F.sum("weight").alias("sum"))

@@ -122,3 +122,19 @@ def test_hot_shingles_are_spread_over_salts(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "near", lambda classes: classes.sparkSession.createDataFrame([], "a long, b long"))
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join(frame, rule).collect()}
     assert got == brute.components(rows, 4, 85)
+
+
+def test_a_round_of_stars_is_no_single_plan(spark, monkeypatch, capsys):
+    """One plan of both stars reads the links a dozen times, which fills the driver."""
+    leaves, written = [], graph.written
+
+    def seen(df, name):
+        capsys.readouterr()
+        df.explain()
+        leaves.append(capsys.readouterr().out.count("Scan "))
+        return written(df, name)
+
+    monkeypatch.setattr(graph, "written", seen)
+    links = spark.createDataFrame([(i, i + 1) for i in range(9)], "a long, b long")
+    assert {r.least for r in graph.components(links).collect()} == {0}
+    assert leaves and max(leaves) <= 4

@@ -131,3 +131,18 @@ def test_query_draws_what_plain_raking_says(spark):
     drawn = {r.doc_id for r in entry.queries()["op7_mixing"](spark, entry.ENTRY_FOLDER).collect()}
     sure = {r.doc_id for r in rows if r.u < at(r) * (1 - 1e-3)}
     assert sure <= drawn <= {r.doc_id for r in rows if r.u < at(r) * (1 + 1e-3)}
+
+
+def test_a_round_of_raking_is_no_single_plan(spark, rows, monkeypatch, capsys):
+    """One plan of all margins reads the cells 2 ** margins times, which fills the driver."""
+    leaves, written = [], mixing.written
+
+    def seen(df, name):
+        capsys.readouterr()
+        df.explain()
+        leaves.append(capsys.readouterr().out.count("Scan "))
+        return written(df, name)
+
+    monkeypatch.setattr(mixing, "written", seen)
+    mixing.rake(mixing.cells_of(rows, MARGINS, "tokens"), MARGINS, rounds=2)
+    assert len(leaves) == 2 * len(MARGINS) and max(leaves) <= 3
